@@ -32,23 +32,30 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, label: str, per_class: int, seed: int) -> DataFrame:
-    """At most ``per_class`` rows of each value of ``label``, chosen by a hash of the id.
+def unused(name: str, df: DataFrame) -> str:
+    """``name``, with underscores added until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
-    The bound is what makes it safe to fit a model from the rows on the driver.
-    A hash threshold cuts the rows down before the small final top-k of each class.
+
+def labelled_sample(rows: DataFrame, label: str, per_class: int, seed: int) -> DataFrame:
+    """(doc_id, label) of at most ``per_class`` rows of each non-null label, chosen by a hash of the id.
+
+    ``rows`` holds doc_id and the label. The bound is what makes it safe to fit a model from these
+    rows on the driver. A hash threshold cuts each class down before its small top-k.
     """
-    keyed = docs.withColumn("_order", F.xxhash64(F.col("doc_id"), F.lit(seed)))
-    counts = {r[0]: r[1] for r in keyed.groupBy(label).count().collect()}
-    parts = []
-    for value, count in sorted(counts.items(), key=str):
-        rows = keyed.where(F.col(label).eqNullSafe(F.lit(value)))
+    keyed = rows.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select(
+        "doc_id", F.col(label).alias("label"), F.xxhash64(F.col("doc_id"), F.lit(seed)).alias("order")
+    )
+    found: DataFrame | None = None
+    for value, count in sorted(keyed.groupBy("label").count().collect()):
+        own = keyed.where(F.col("label") == F.lit(value))
         if count > 2 * per_class:
-            # twice the share: the top-k below then finds per_class rows with near certainty
-            share = 2.0 * per_class / count
-            rows = rows.where(F.pmod(F.col("_order"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1))
-        parts.append(rows.orderBy("_order", "doc_id").limit(per_class))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.drop("_order")
+            # twice the share, so that the top-k finds per_class rows with near certainty
+            share = int(2.0 * per_class / count * (1 << 20)) + 1
+            own = own.where(F.pmod("order", F.lit(1 << 20)) < share)
+        own = own.orderBy("order", "doc_id").limit(per_class).select("doc_id", "label")
+        found = own if found is None else found.union(own)
+    return keyed.select("doc_id", "label").limit(0) if found is None else found
