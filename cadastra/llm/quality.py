@@ -23,10 +23,10 @@ BITS = 18
 GRAMS = (3, 4, 5)
 #: Labelled rows of each class that training may use.
 PER_CLASS = 3000
-DIMENSION = 16
-EPOCHS = 6
-RATE = 0.05
-BATCH = 32
+DIMENSION = 8
+EPOCHS = 5
+RATE = 3.0
+BATCH = 64
 
 
 def _piece_features(piece: bytes) -> Iterator[np.ndarray]:
@@ -60,18 +60,16 @@ def features(text: bytes) -> Iterator[np.ndarray]:
 
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for label, text in zip(batch.column(0), batch.column(1)):
-            counts = np.zeros(1 << BITS, dtype=np.int64)
-            for found in features(text.as_py() or b""):
-                counts += np.bincount(found, minlength=1 << BITS)
-            at = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "label": pa.array([label.as_py()], pa.int32()),
-                    "ids": pa.array([at.astype(np.int32)], pa.list_(pa.int32())),
-                    "counts": pa.array([counts[at].astype(np.float32)], pa.list_(pa.float32())),
-                }
-            )
+        ids, counts = [], []
+        for text in batch.column(1):
+            found = list(features(text.as_py() or b"")) or [np.zeros(0, dtype=np.uint32)]
+            at, n = np.unique(np.concatenate(found), return_counts=True)
+            ids.append(at.astype(np.int32))
+            counts.append(n.astype(np.float32))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.float32()))],
+            ["label", "ids", "counts"],
+        )
 
 
 def train(examples: list[tuple[int, np.ndarray, np.ndarray]], base_rate: float, seed: int = 11) -> dict:
@@ -84,22 +82,22 @@ def train(examples: list[tuple[int, np.ndarray, np.ndarray]], base_rate: float,
     if len(set(labels.tolist())) < 2:
         return {"table": table, "bias": _logit(base_rate)}
     rng = np.random.default_rng(seed)
-    vectors = rng.uniform(-1, 1, (1 << BITS, DIMENSION)).astype(np.float32) / DIMENSION
-    output = rng.normal(0, 0.3, (DIMENSION, 2)).astype(np.float32)
+    # features that training never met must not move a score, so the vectors start near zero
+    vectors = rng.normal(0, 1e-4, (1 << BITS, DIMENSION)).astype(np.float32)
+    output = rng.normal(0, DIMENSION**-0.5, (DIMENSION, 2)).astype(np.float32)
     bias = np.zeros(2, dtype=np.float32)
-    seen = np.full(1 << BITS, 1e-8, dtype=np.float32)
-    seen_output = np.full((DIMENSION, 2), 1e-8, dtype=np.float32)
     weights = [c / max(c.sum(), 1) for _, _, c in examples]
+    lengths = np.array([max(float(w @ w), 1e-9) for w in weights], dtype=np.float32)
     steps = EPOCHS * ((len(examples) + BATCH - 1) // BATCH)
     step = 0
     for _ in range(EPOCHS):
         order = rng.permutation(len(examples))
         for at in range(0, len(order), BATCH):
-            chosen = [i for i in order[at : at + BATCH] if len(examples[i][1])]
+            chosen = np.array([i for i in order[at : at + BATCH] if len(examples[i][1])], dtype=np.int64)
             step += 1
-            if not chosen:
+            if not len(chosen):
                 continue
-            rate = RATE * (1 - (step - 1) / steps)
+            rate = RATE * (1 - (step - 1) / steps) / len(chosen)
             ids = np.concatenate([examples[i][1] for i in chosen])
             share = np.concatenate([weights[i] for i in chosen])
             sizes = np.array([len(examples[i][1]) for i in chosen])
@@ -108,18 +106,14 @@ def train(examples: list[tuple[int, np.ndarray, np.ndarray]], base_rate: float,
             p = np.exp(logits - logits.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
             p[np.arange(len(chosen)), labels[chosen]] -= 1
-            back = p @ output.T
-            rows, inverse = np.unique(ids, return_inverse=True)
+            # a text's step is divided by its squared length, so long and short texts learn alike
+            back = (p @ output.T) / lengths[chosen, None]
             doc = np.repeat(np.arange(len(chosen)), sizes)
-            grad = np.stack(
-                [np.bincount(inverse, weights=share * back[doc, d], minlength=len(rows)) for d in range(DIMENSION)], axis=1
-            ).astype(np.float32)
-            seen[rows] += (grad**2).mean(axis=1)
-            vectors[rows] -= rate * grad / np.sqrt(seen[rows])[:, None]
-            grad = hidden.T @ p
-            seen_output += grad**2
-            output -= rate * grad / np.sqrt(seen_output)
-            bias -= rate * p.mean(axis=0)
+            rows, inverse = np.unique(ids, return_inverse=True)
+            for d in range(DIMENSION):
+                vectors[rows, d] -= rate * np.bincount(inverse, weights=share * back[doc, d], minlength=len(rows))
+            output -= 0.1 * rate * (hidden.T @ p)
+            bias -= 0.1 * rate * p.sum(axis=0)
     # with two classes the softmax is the logistic of a difference, linear in the averaged vectors
     towards = output[:, 1] - output[:, 0]
     shift = _logit(base_rate) - _logit(labels.mean())
@@ -151,6 +145,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
         .mapInArrow(_featurise, schema)
         .toArrow()
     )
+
     examples = [
         (label_, np.asarray(ids.values), np.asarray(counts.values))
         for label_, ids, counts in zip(rows["label"].to_pylist(), rows["ids"], rows["counts"])

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.llm import simhash
-from cadastra.llm.common import table
+from cadastra.llm import decontaminate, quality, simhash, toxicity
+from cadastra.llm.common import held_out, table
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,8 +18,48 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = held_out(F.col("doc_id"), 5, 0)
+    model = quality.fit(docs, labels.where(~out))
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    score = F.col("quality_score")
+    return scored.select(
+        "doc_id", out.alias("held_out"), score.alias("score"), (score >= 0.3).cast("int").alias("predicted")
+    )
+
+
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = held_out(F.col("doc_id"), 4, 2)
+    model = toxicity.fit(docs, labels.where(~out))
+    score = F.col("toxicity.score")
+    return toxicity.score(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        out.alias("held_out"),
+        score.alias("score"),
+        (score >= 0.3).cast("int").alias("predicted"),
+        F.size("toxicity.spans").alias("n_passages"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op3_quality_classifier": op3_quality_classifier,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op9_toxicity": op9_toxicity,
 }
 
 #: Queries that SQL can express; the others are tested against brute force.

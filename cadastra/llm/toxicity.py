@@ -23,9 +23,10 @@ from cadastra.llm.common import labelled_sample, unused
 
 #: Labelled rows of each class that the fit may use.
 PER_CLASS = 4000
-#: Mass of the Dirichlet prior, and the z-score from which a token's ratio counts.
+#: The Dirichlet prior of a token is FLOOR plus its share of PRIOR; its ratio counts from the z-score Z on.
+FLOOR = 0.5
 PRIOR = 500.0
-Z = 3.5
+Z = 3.3
 _GAMMA = 0.5772156649
 
 
@@ -95,12 +96,16 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for label, text in zip(batch.column(0), batch.column(1)):
-            ids, counts = np.unique(tokens(text.as_py() or b""), return_counts=True)
+            found = tokens(text.as_py() or b"")
+            ids, counts = np.unique(found, return_counts=True)
+            triples = found[:-2] * np.uint64(9) + found[1:-1] * np.uint64(3) + found[2:]
+            least = hashing.mix(triples).min() if len(triples) else ids[:1].sum()
             yield pa.RecordBatch.from_pydict(
                 {
                     "label": pa.array([label.as_py()], pa.int32()),
                     "ids": pa.array([ids.view(np.int64)], pa.list_(pa.int64())),
                     "counts": pa.array([counts], pa.list_(pa.int64())),
+                    "least": pa.array([int(np.uint64(least).view(np.int64))], pa.int64()),
                 }
             )
 
@@ -118,16 +123,17 @@ def _decay(scores: np.ndarray, share: np.ndarray) -> float:
     return (low + high) / 2
 
 
-def learn(examples: list[tuple[int, np.ndarray, np.ndarray]], base_rate: float) -> dict:
-    """Token scores and calibration from (label, distinct token hashes, counts) of texts.
+def learn(examples: list[tuple[int, np.ndarray, np.ndarray, int]], base_rate: float) -> dict:
+    """Token scores and calibration from (label, distinct token hashes, counts, least triple hash) of texts.
 
-    Copies of a text must not vote many times: texts whose two least token hashes agree share one vote.
+    Copies of a text must not vote many times: texts that agree in the least hash of their word
+    triples, as near copies mostly do, share one vote.
     """
     empty = {"tokens": np.zeros(0, dtype=np.uint64), "scores": np.zeros(0), "rest": 0.0, "decay": 1.0, "slope": 0.0, "shift": _logit(base_rate)}
     labels = np.array([x[0] for x in examples])
     if len(set(labels.tolist())) < 2:
         return empty
-    keys = [(x[0], x[1][:2].tobytes()) for x in examples]
+    keys = [(x[0], x[3]) for x in examples]
     sizes: dict = {}
     for k in keys:
         sizes[k] = sizes.get(k, 0) + 1
@@ -137,8 +143,8 @@ def learn(examples: list[tuple[int, np.ndarray, np.ndarray]], base_rate: float)
     doc = np.repeat(np.arange(len(examples)), [len(x[1]) for x in examples])
     in_toxic = np.bincount(inverse, weights=votes[doc] * (labels[doc] == 1), minlength=len(ids))
     in_clean = np.bincount(inverse, weights=votes[doc] * (labels[doc] == 0), minlength=len(ids))
-    prior = PRIOR * (in_toxic + in_clean) / (in_toxic + in_clean).sum()
-    n1, n0 = in_toxic.sum() + PRIOR, in_clean.sum() + PRIOR
+    prior = FLOOR + PRIOR * (in_toxic + in_clean) / (in_toxic + in_clean).sum()
+    n1, n0 = in_toxic.sum() + prior.sum(), in_clean.sum() + prior.sum()
     t, c = in_toxic + prior, in_clean + prior
     ratio = np.log(t / (n1 - t)) - np.log(c / (n0 - c))
     z = ratio / np.sqrt(1 / t + 1 / c)
@@ -148,7 +154,7 @@ def learn(examples: list[tuple[int, np.ndarray, np.ndarray]], base_rate: float)
     model = empty | {"tokens": ids[use], "scores": ratio[use], "rest": rest}
     clean_counts = np.zeros(int(use.sum()) + 1)
     best, lengths = np.zeros(len(examples)), np.zeros(len(examples))
-    for k, (label, own, counts) in enumerate(examples):
+    for k, (label, own, counts, _) in enumerate(examples):
         s = token_scores(own, model)
         lengths[k] = counts.sum()
         # the order is not kept in the sample: significant tokens spread evenly stand for the segment
@@ -206,12 +212,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
         docs.select("doc_id", F.col("text").cast("binary").alias("text"))
         .join(F.broadcast(chosen), "doc_id")
         .select("label", "text")
-        .mapInArrow(_featurise, "label int, ids array<bigint>, counts array<bigint>")
+        .mapInArrow(_featurise, "label int, ids array<bigint>, counts array<bigint>, least bigint")
         .toArrow()
     )
     examples = [
-        (y, np.asarray(ids.values).view(np.uint64), np.asarray(counts.values))
-        for y, ids, counts in zip(rows["label"].to_pylist(), rows["ids"], rows["counts"])
+        (y, np.asarray(ids.values).view(np.uint64), np.asarray(counts.values), least)
+        for y, ids, counts, least in zip(rows["label"].to_pylist(), rows["ids"], rows["counts"], rows["least"].to_pylist())
     ]
     examples.sort(key=lambda x: (x[0], len(x[1]), x[1].tobytes(), x[2].tobytes()))
     return learn(examples, ones / n if n else 0.1)
