@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.llm import decontaminate, quality, simhash, toxicity
+from cadastra.llm import decontaminate, langid, quality, simhash, toxicity
 from cadastra.llm.common import held_out, table
 
 
@@ -41,6 +41,15 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = held_out(F.col("doc_id"), 3, 1)
+    model = langid.fit(docs.where(~out & F.col("lang").isNotNull()))
+    return langid.label(docs, model).select(
+        "doc_id", out.alias("held_out"), F.col("lang").alias("lang_pred"), "score", F.size("spans").alias("n_spans")
+    )
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     out = held_out(F.col("doc_id"), 4, 2)
@@ -59,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op3_quality_classifier": op3_quality_classifier,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
 }
 
