@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.llm import decontaminate, langid, quality, simhash, toxicity
+from cadastra.llm import decontaminate, langid, mixing, quality, simhash, toxicity
 from cadastra.llm.common import held_out, table
 
 
@@ -41,6 +41,18 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixed.select(
+        "doc_id",
+        "mix.size",
+        "mix.source_size",
+        "mix.target",
+        (F.size("mix.shards") * F.col("mix.size")).alias("taken"),
+        "mix.shards",
+    )
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = held_out(F.col("doc_id"), 3, 1)
@@ -68,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op3_quality_classifier": op3_quality_classifier,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op7_source_mixing": op7_source_mixing,
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
 }
