@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.llm import decontaminate, langid, mixing, quality, simhash, toxicity
+from cadastra.llm import decontaminate, html, langid, mixing, quality, simhash, toxicity
 from cadastra.llm.common import held_out, table
 
 
@@ -76,6 +76,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html.main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op3_quality_classifier": op3_quality_classifier,
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_source_mixing": op7_source_mixing,
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 #: Queries that SQL can express; the others are tested against brute force.
