@@ -12,18 +12,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the cluster's shared checkpoint folder and go on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for tables between jobs: the session's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset
-    (tests, a single machine) a local one is made.
+    Only where that is unset (tests, a single machine) a local one is made.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(
-            context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-cut-")
-        )
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-cut-"))
+    return named or context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` to the shared folder and go on from there, so lost executors cost no recomputation."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.llm import decontaminate, html, langid, mixing, quality, simhash, toxicity
+import corpus_pipeline
+from cadastra.llm import decontaminate, html, langid, lines, mixing, quality, simhash, toxicity
 from cadastra.llm.common import held_out, table
 
 
@@ -29,6 +30,13 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "line_counts.*", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -84,12 +92,14 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_line_dedup": op4_line_dedup,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_source_mixing": op7_source_mixing,
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
     "op10_html_extraction": op10_html_extraction,
+    "pipeline": corpus_pipeline.run,
 }
 
 #: Queries that SQL can express; the others are tested against brute force.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_line_dedup": lines.ORACLE}
