@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cadastra.llm import decontaminate, html, langid, lines, mixing, quality, simhash, toxicity
+from cadastra.llm import decontaminate, fingerprint, html, langid, lines, mixing, quality, simhash, toxicity
 from cadastra.llm.common import held_out, table
 
 
@@ -49,6 +49,10 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edit_and_compare(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixed.select(
@@ -94,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_classifier": op3_quality_classifier,
     "op4_line_dedup": op4_line_dedup,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_document_fingerprints": op6_document_fingerprints,
     "op7_source_mixing": op7_source_mixing,
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
