@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cadastra.llm import decontaminate, fingerprint, html, langid, lines, mixing, quality, simhash, toxicity
+from cadastra.llm import decontaminate, fingerprint, html, langid, lines, mixing, quality, simhash, suffix, toxicity
 from cadastra.llm.common import held_out, table
 
 
@@ -19,6 +19,18 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        (F.octet_length("kept") + removed).cast("long").alias("n_bytes"),
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     out = held_out(F.col("doc_id"), 5, 0)
@@ -95,6 +107,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_line_dedup": op4_line_dedup,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
