@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pathlib import Path
-
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -27,9 +26,16 @@ def require(df: DataFrame, columns: list[str]) -> DataFrame:
     return df
 
 
-def required_inputs(paths: list[str]) -> list[str]:
-    """Local paths that don't exist."""
-    return [p for p in paths if not Path(p).exists()]
+def require_inputs(spark: SparkSession, paths: list[str]) -> None:
+    """ValueError naming the paths that Spark can't find, in whatever store they are; called at job start."""
+    missing = []
+    for path in paths:
+        try:
+            spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        except AnalysisException:
+            missing.append(path)
+    if missing:
+        raise ValueError(f"missing inputs: {', '.join(missing)}")
 
 
 def volume_and_nulls(df: DataFrame, table: str, columns: list[str], least: int, ceiling: float = 0.1) -> DataFrame:
