@@ -465,8 +465,7 @@ _add("fn_05_year_quarter", lambda t: t("v_tx").select(F.year("date_mutation").al
 _add("fn_06_iso_date", lambda t: t("v_tx").select(dates.iso(_C("date_mutation")).alias("d")), "SELECT strftime(date_mutation, '%Y-%m-%d') AS d FROM v_tx")
 _add("fn_07_round", lambda t: t("v_tx").select(numbers.rounded(_C("valeur_fonciere") / 7, 2).alias("r")), f"SELECT {_R('valeur_fonciere / 7', 2)} AS r FROM v_tx")
 _add("fn_08_case_chain", lambda t: t("v_crime").select("indicateur", jobs.crime_category(_C("indicateur")).alias("categorie")), f"SELECT indicateur, CASE {' '.join(f'WHEN indicateur IN ({chr(44).join(chr(39) + x.replace(chr(39), chr(39) * 2) + chr(39) for x in v)}) THEN {chr(39)}{k}{chr(39)}' for k, v in schemas.CRIME_CATEGORIES.items())} END AS categorie FROM v_crime")
-_LABEL_MAP = F.create_map(*[F.lit(x) for kv in schemas.AIR_LABELS.items() for x in kv])
-_add("fn_09_label_map", lambda t: t("v_air").select("lib_qualif", _LABEL_MAP[F.lower(F.trim("lib_qualif"))].alias("colonne")), f"SELECT lib_qualif, CASE lower(trim(lib_qualif)) {' '.join(f'WHEN {chr(39)}{k}{chr(39)} THEN {chr(39)}{v}{chr(39)}' for k, v in schemas.AIR_LABELS.items())} END AS colonne FROM v_air")
+_add("fn_09_label_map", lambda t: t("v_air").select("lib_qualif", jobs.air_column(_C("lib_qualif")).alias("colonne")), f"SELECT lib_qualif, CASE lower(trim(lib_qualif)) {' '.join(f'WHEN {chr(39)}{k}{chr(39)} THEN {chr(39)}{v}{chr(39)}' for k, v in schemas.AIR_LABELS.items())} END AS colonne FROM v_air")
 _add("fn_10_truthy", lambda t: t.flags.select(text.is_true(F.when(_C("radon"), " OUI ").otherwise("non")).alias("radon"), text.is_true(_C("icpe")).alias("icpe")), f"WITH {_FLAGS} SELECT radon, icpe FROM flags")
 _add("fn_11_year_in_text", lambda t: t("v_review").select(dates.year_in_text(F.concat(F.lit("Bilan "), F.when(_C("seq") % 2 == 0, F.lit("2021")).otherwise("x"), F.lit(" fin"))).alias("annee")), "SELECT CASE WHEN seq % 2 = 0 THEN 2021 ELSE 2024 END AS annee FROM v_review")
 _add(

@@ -112,13 +112,15 @@ def communes(reference: DataFrame, population: DataFrame) -> DataFrame:
     return reference.join(people, "code_commune", "left").withColumn("densite", numbers.ratio(F.col("population"), F.col("superficie"), 2))
 
 
+def air_column(label: Column) -> Column:
+    """The column that counts days with a label, in any case, with or without accents; null if unknown."""
+    names = F.create_map(*[F.lit(x) for pair in schemas.AIR_LABELS.items() for x in pair])
+    return names[F.lower(F.trim(label))]
+
+
 def air_quality(daily: DataFrame, year: int) -> DataFrame:
     """Days by quality label and the mean index per municipality; unknown labels count nowhere."""
-    label = F.lower(F.trim("lib_qualif"))
-    by_column: dict[str, list[str]] = {}
-    for name, column in schemas.AIR_LABELS.items():
-        by_column.setdefault(column, []).append(name)
-    days = [F.count_if(label.isin(names)).alias(column) for column, names in by_column.items()]
+    days = [F.count_if(air_column(F.col("lib_qualif")) == column).alias(column) for column in schemas.AIR_COLUMNS]
     mean = F.avg(numbers.to_double(F.col("indice_atmo")).cast("decimal(18,6)"))
     return (
         daily.where(codes.has_length(F.trim("code_commune")))
