@@ -8,6 +8,7 @@ training runs on a bounded sample of labelled rows, and scoring is one pass with
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,9 +23,9 @@ from cadastra.llm.common import labelled_sample, unused
 BITS = 18
 GRAMS = (3, 4, 5)
 #: Labelled rows of each class that training may use.
-PER_CLASS = 3000
+PER_CLASS = 1500
 DIMENSION = 8
-EPOCHS = 5
+EPOCHS = 8
 RATE = 3.0
 BATCH = 64
 
@@ -145,14 +146,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
         .mapInArrow(_featurise, schema)
         .toArrow()
     )
-
     examples = [
         (label_, np.asarray(ids.values), np.asarray(counts.values))
         for label_, ids, counts in zip(rows["label"].to_pylist(), rows["ids"], rows["counts"])
     ]
     # the order in which tasks end must not matter
-    examples.sort(key=lambda x: (x[0], len(x[1]), x[1].tobytes(), x[2].tobytes()))
-    return train(examples, ones / n)
+    examples.sort(key=lambda x: (x[0], len(x[1]), zlib.crc32(x[1].data), zlib.crc32(x[2].data)))
+    del rows
+    model = train(examples, ones / n)
+    del examples
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def score_text(text: bytes, model: dict) -> float:

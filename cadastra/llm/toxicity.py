@@ -219,7 +219,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
         (y, np.asarray(ids.values).view(np.uint64), np.asarray(counts.values), least)
         for y, ids, counts, least in zip(rows["label"].to_pylist(), rows["ids"], rows["counts"], rows["least"].to_pylist())
     ]
-    examples.sort(key=lambda x: (x[0], len(x[1]), x[1].tobytes(), x[2].tobytes()))
+    examples.sort(key=lambda x: (x[0], len(x[1]), x[3]))
     return learn(examples, ones / n if n else 0.1)
 
 
