@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadastra.sources import writers
+
 
 def known(df: DataFrame, reference: DataFrame, key: str = "code_commune") -> DataFrame:
     """Rows whose key is in the reference."""
@@ -57,9 +59,10 @@ def numbered(df: DataFrame, key: list[str], name: str = "id") -> DataFrame:
     """A stable number from 1 in key order, without a global window.
 
     Rows are range-partitioned by key; a row's number is its place in the partition plus the sizes of
-    the partitions before, a table with a row per partition.
+    the partitions before, a table with a row per partition. The partitioning is checkpointed, as a
+    second evaluation could cut it elsewhere. Rows with equal keys are numbered in any order.
     """
-    ranged = df.repartitionByRange(*key).withColumn("_part", F.spark_partition_id())
+    ranged = writers.settled(df.repartitionByRange(*key).withColumn("_part", F.spark_partition_id()))
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
     before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
     place = F.row_number().over(Window.partitionBy("_part").orderBy(*key))

@@ -15,6 +15,14 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` checkpointed in the shared folder, so that all later uses see the same rows in the same partitions."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-cadastra-"))
+    return df.checkpoint()
+
+
 def table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Parquet, overwritten as a whole; with partitions, only those that the rows touch."""
     writer = df.write.mode("overwrite")
