@@ -94,7 +94,8 @@ def _peel(cells: Column, salt: Column, width: Column) -> Column:
 def _difference(rows: DataFrame, keys: list[str], width: int, salt: int) -> DataFrame:
     """Peel the sketches of one round. rows: keys, digest, sign.
 
-    Gives (keys, plus, minus, failed); failed: the group did not peel to the end.
+    Gives (keys, plus, minus, failed); failed: the group did not peel to the end. ``rows`` should be
+    partitioned by the first of the keys, so that nothing is shuffled.
     """
     cells = _cells(rows.withColumn("salt", F.lit(salt)), keys, F.lit(width))
     grouped = cells.groupBy(*keys).agg(F.collect_list(F.struct("cell", "n", "k", "c")).alias("cells"))
@@ -108,31 +109,41 @@ def _likeness(size_a: Column, plus: Column, minus: Column) -> Column:
     return F.when(union == 0, 1.0).otherwise((size_a - plus) / union)
 
 
-def _differences(pairs: DataFrame, key: str) -> DataFrame:
-    """(key, pair, plus, minus) from rows (key, pair, a, b): sizes of a - b and b - a, by sketches.
-
-    ``pairs`` should be partitioned by ``key``; the sketches are then made and peeled where they are.
-    """
+def _groups(a: Column, b: Column) -> Column:
+    """Into how many groups a comparison's digests are cut, by a min-wise estimate of the difference."""
     least = lambda c: F.slice(F.array_sort(c), 1, SAMPLE)
-    sample = F.slice(F.array_sort(F.array_union(least("a"), least("b"))), 1, SAMPLE)
-    shared = F.size(F.array_intersect(F.array_intersect(sample, least("a")), least("b")))
+    sample = F.slice(F.array_sort(F.array_union(least(a), least(b))), 1, SAMPLE)
+    shared = F.size(F.array_intersect(F.array_intersect(sample, least(a)), least(b)))
     share = F.when(F.size(sample) == 0, 1.0).otherwise(shared / F.size(sample))
-    expected = (1 - share) / (1 + share) * (F.size("a") + F.size("b")) + 1
-    signed = F.concat(
-        F.transform("a", lambda x: F.struct(x.alias("digest"), F.lit(1).alias("sign"))),
-        F.transform("b", lambda x: F.struct(x.alias("digest"), F.lit(-1).alias("sign"))),
-    )
-    rows = pairs.select(key, "pair", F.ceil(expected / EXPECTED).alias("groups"), F.explode(signed).alias("u")).select(
-        key, "pair", "u.digest", "u.sign", F.pmod("u.digest", "groups").cast("int").alias("group")
-    )
+    expected = (1 - share) / (1 + share) * (F.size(a) + F.size(b)) + 1
+    return F.ceil(expected / EXPECTED).cast("int")
+
+
+def _differences(rows: DataFrame, key: str, pairs: list[tuple[str, str, str]]) -> DataFrame:
+    """(key, pair, plus, minus): sizes of a - b and b - a for each pair of digest columns, by sketches.
+
+    ``pairs`` has the names of a, b and the column with the number of groups, which must be a plain
+    column of ``rows`` so that it isn't computed again for every digest. ``rows`` should be partitioned
+    by ``key``; the sketches are then made and peeled where they are.
+    """
+
+    def signed(pair: int, digests_: str, sign: int, groups: str) -> Column:
+        return F.transform(
+            digests_,
+            lambda x: F.struct(
+                F.lit(pair).alias("pair"), x.alias("digest"), F.lit(sign).alias("sign"), F.pmod(x, F.col(groups)).cast("int").alias("group")
+            ),
+        )
+
+    parts = [p for k, (a, b, g) in enumerate(pairs) for p in (signed(k, a, 1, g), signed(k, b, -1, g))]
+    units = rows.select(key, F.explode(F.concat(*parts)).alias("u")).select(key, "u.*")
     keys = [key, "pair", "group"]
-    done = cut(_difference(rows, keys, CELLS, 0))
+    done = cut(_difference(units, keys, CELLS, 0))
     results, width, salt = [done.where("not failed")], CELLS, 0
     failed = done.where("failed").select(*keys)
     while failed.limit(1).count():
         width, salt = width * 2, salt + 1
-        again = rows.join(failed, keys, "left_semi")
-        done = cut(_difference(again, keys, width, salt))
+        done = cut(_difference(units.join(failed, keys, "left_semi"), keys, width, salt))
         results.append(done.where("not failed"))
         failed = done.where("failed").select(*keys)
     return reduce(DataFrame.union, results).groupBy(key, "pair").agg(F.sum("plus").alias("plus"), F.sum("minus").alias("minus"))
@@ -188,13 +199,13 @@ def edit_and_compare(docs: DataFrame) -> DataFrame:
     gifts = known.select(
         F.col("before").alias("key"), F.expr("left(text, cast(before_chars div 2 as int))").alias("gift"), digests(F.col("text")).alias("next")
     )
-    own = known.select("key", "doc_id", "n_chars", "text").join(gifts, "key")
+    own = known.select("key", "n_chars", "text").join(gifts, "key")
     edited = F.concat(F.expr("left(text, cast(n_chars - n_chars div 2 as int))"), F.col("gift"))
-    versions = own.select("key", "doc_id", "n_chars", digests(F.col("text")).alias("a"), edited.alias("edited"), "next")
-    ready = versions.select(
-        "key", "doc_id", F.col("n_chars").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        "a", digests(F.col("edited")).alias("e"), "next",
+    versions = own.select("key", F.col("n_chars").cast("long").alias("n_chars"), digests(F.col("text")).alias("a"), edited.alias("edited"), "next")
+    sketched = versions.select(
+        "key", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "a", digests(F.col("edited")).alias("e"), "next"
     )
+    ready = sketched.select("*", _groups(F.col("a"), F.col("e")).alias("groups_e"), _groups(F.col("a"), F.col("next")).alias("groups_next"))
     ready = cut(ready).repartition("key")
     prints = fingerprint_rows(
         ready.select("key", F.explode(F.concat(
@@ -207,8 +218,7 @@ def edit_and_compare(docs: DataFrame) -> DataFrame:
         F.max(F.when(F.col("version") == 0, F.col("fingerprint"))).alias("fingerprint"),
         F.max(F.when(F.col("version") == 1, F.col("fingerprint"))).alias("edited_fingerprint"),
     )
-    pairs = ready.select("key", "a", F.explode(F.array(F.struct(F.lit(0).alias("pair"), F.col("e").alias("b")), F.struct(F.lit(1).alias("pair"), F.col("next").alias("b")))).alias("p")).select("key", "a", "p.*")
-    found = _differences(pairs, "key").groupBy("key").agg(
+    found = _differences(ready, "key", [("a", "e", "groups_e"), ("a", "next", "groups_next")]).groupBy("key").agg(
         *[F.max(F.when(F.col("pair") == k, F.col(c))).alias(f"{c}{k}") for k in (0, 1) for c in ("plus", "minus")]
     )
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
