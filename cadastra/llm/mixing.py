@@ -24,6 +24,8 @@ SHARDS = 16
 #: Bits of the hash that number a source's blocks on each level: 1024 blocks, three levels.
 DIGIT = 10
 LEVELS = 3
+#: Documents of a source that may fill the gap between its partial pass and its target.
+TOP_UPS = 3
 #: Rows up to which the table of blocks is broadcast; beyond, it joins by a shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -131,16 +133,18 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 17, weights: tuple[in
         .withColumn("part", part)
     )
     edge = _boundaries(rows, plan)
-    # the words before the crossing cell are taken; documents that fit fill the gap, the largest first
+    # the words before the crossing cell are taken; the documents closest to the gap fill it
     start = edge.select("key", F.struct(*digits).alias("from"))
     left = rows.join(F.broadcast(start), "key").where(F.struct(*digits) >= F.col("from")).select("key", "order", "size")
     gap, extras = edge.select("key", "gap"), []
-    for _ in range(3):
+    for _ in range(TOP_UPS):
+        # the document whose size is closest to the gap, if taking it brings the sum nearer to the target
+        off = F.abs(F.col("size") - F.col("gap"))
         best = (
             left.join(F.broadcast(gap), "key")
-            .where((F.col("size") > 0) & (F.col("size") <= F.col("gap")))
+            .where((F.col("size") > 0) & (off < F.col("gap")))
             .groupBy("key")
-            .agg(F.max(F.struct("size", "order")).alias("best"))
+            .agg(F.min_by(F.struct("size", "order"), F.struct(off, F.col("order"))).alias("best"))
         )
         picked = cut(gap.join(best, "key", "left").select("key", "gap", "best"))
         extras.append(picked.where("best is not null").select("key", F.col("best.order").alias("extra"), F.col("best.size").alias("extra_size")))

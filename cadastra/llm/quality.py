@@ -59,18 +59,24 @@ def features(text: bytes) -> Iterator[np.ndarray]:
         yield from _piece_features(piece)
 
 
+def _pack(ids: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted bucket ids as gaps, with their counts, compressed: about a byte for a feature."""
+    both = np.stack([np.diff(ids, prepend=0), counts]).astype("<u4")
+    return zlib.compress(both.tobytes(), 1)
+
+
+def _unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    gaps, counts = np.frombuffer(zlib.decompress(packed), dtype="<u4").reshape(2, -1)
+    return np.cumsum(gaps, dtype=np.int32), counts.astype(np.float32)
+
+
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, counts = [], []
+        packed = []
         for text in batch.column(1):
             found = list(features(text.as_py() or b"")) or [np.zeros(0, dtype=np.uint32)]
-            at, n = np.unique(np.concatenate(found), return_counts=True)
-            ids.append(at.astype(np.int32))
-            counts.append(n.astype(np.float32))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.float32()))],
-            ["label", "ids", "counts"],
-        )
+            packed.append(_pack(*np.unique(np.concatenate(found), return_counts=True)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["label", "packed"])
 
 
 def train(examples: list[tuple[int, np.ndarray, np.ndarray]], base_rate: float, seed: int = 11) -> dict:
@@ -138,25 +144,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
         return train([], 0.5)
     # at most 2 * per_class ids: small enough to broadcast at any size of the corpus
     chosen = labelled_sample(known, "label", per_class, seed)
-    schema = "label int, ids array<int>, counts array<float>"
     rows = (
         docs.select("doc_id", F.col("text").cast("binary").alias("text"))
         .join(F.broadcast(chosen), "doc_id")
         .select("label", "text")
-        .mapInArrow(_featurise, schema)
+        .mapInArrow(_featurise, "label int, packed binary")
         .toArrow()
     )
-    examples = [
-        (label_, np.asarray(ids.values), np.asarray(counts.values))
-        for label_, ids, counts in zip(rows["label"].to_pylist(), rows["ids"], rows["counts"])
-    ]
-    # the order in which tasks end must not matter
-    examples.sort(key=lambda x: (x[0], len(x[1]), zlib.crc32(x[1].data), zlib.crc32(x[2].data)))
-    del rows
-    model = train(examples, ones / n)
-    del examples
-    pa.default_memory_pool().release_unused()
-    return model
+    # in an order that does not depend on which task ends first
+    kept = sorted(zip(rows["label"].to_pylist(), rows["packed"].to_pylist()))
+    examples = [(y, *_unpack(packed)) for y, packed in kept]
+    return train(examples, ones / n)
 
 
 def score_text(text: bytes, model: dict) -> float:
