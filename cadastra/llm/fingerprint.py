@@ -21,9 +21,9 @@ UNIT_END = r"\n+|(?<=[.!?])\x20+"
 SUBTABLES = 3
 #: Cells of each subtable: of the fingerprint itself, and of a group when a difference is peeled.
 BASE = 8
-CELLS = 8
+CELLS = 5
 #: Differing digests that a group is sized for, and the size of the min-wise sample.
-EXPECTED = 4
+EXPECTED = 2
 SAMPLE = 16
 _CHECK = 77
 
@@ -94,13 +94,18 @@ def _peel(cells: Column, salt: Column, width: Column) -> Column:
 def _difference(rows: DataFrame, keys: list[str], width: int, salt: int) -> DataFrame:
     """Peel the sketches of one round. rows: keys, digest, sign.
 
-    Gives (keys, plus, minus, failed); failed: the group did not peel to the end. ``rows`` should be
-    partitioned by the first of the keys, so that nothing is shuffled.
+    Gives (key, pair, plus, minus, failed): the digests recovered, and the groups that did not peel to
+    the end. ``rows`` should be partitioned by the first of the keys, so that nothing is shuffled.
     """
     cells = _cells(rows.withColumn("salt", F.lit(salt)), keys, F.lit(width))
     grouped = cells.groupBy(*keys).agg(F.collect_list(F.struct("cell", "n", "k", "c")).alias("cells"))
     peeled = grouped.select(*keys, _peel(F.col("cells"), F.lit(salt), F.lit(width)).alias("p"))
-    return peeled.select(*keys, "p.plus", "p.minus", (F.size("p.left") > 0).alias("failed"))
+    done = F.size("p.left") == 0
+    return peeled.groupBy(*keys[:-1]).agg(
+        F.sum(F.when(done, F.col("p.plus")).otherwise(0)).alias("plus"),
+        F.sum(F.when(done, F.col("p.minus")).otherwise(0)).alias("minus"),
+        F.collect_list(F.when(~done, F.col(keys[-1]))).alias("failed"),
+    )
 
 
 def _likeness(size_a: Column, plus: Column, minus: Column) -> Column:
@@ -138,14 +143,11 @@ def _differences(rows: DataFrame, key: str, pairs: list[tuple[str, str, str]]) -
     parts = [p for k, (a, b, g) in enumerate(pairs) for p in (signed(k, a, 1, g), signed(k, b, -1, g))]
     units = rows.select(key, F.explode(F.concat(*parts)).alias("u")).select(key, "u.*")
     keys = [key, "pair", "group"]
-    done = cut(_difference(units, keys, CELLS, 0))
-    results, width, salt = [done.where("not failed")], CELLS, 0
-    failed = done.where("failed").select(*keys)
-    while failed.limit(1).count():
+    results, width, salt = [cut(_difference(units, keys, CELLS, 0))], CELLS, 0
+    while results[-1].where(F.size("failed") > 0).limit(1).count():
         width, salt = width * 2, salt + 1
-        done = cut(_difference(units.join(failed, keys, "left_semi"), keys, width, salt))
-        results.append(done.where("not failed"))
-        failed = done.where("failed").select(*keys)
+        again = results[-1].select(key, "pair", F.explode("failed").alias("group"))
+        results.append(cut(_difference(units.join(again, keys, "left_semi"), keys, width, salt)))
     return reduce(DataFrame.union, results).groupBy(key, "pair").agg(F.sum("plus").alias("plus"), F.sum("minus").alias("minus"))
 
 
@@ -206,7 +208,9 @@ def edit_and_compare(docs: DataFrame) -> DataFrame:
         "key", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "a", digests(F.col("edited")).alias("e"), "next"
     )
     ready = sketched.select("*", _groups(F.col("a"), F.col("e")).alias("groups_e"), _groups(F.col("a"), F.col("next")).alias("groups_next"))
-    ready = cut(ready).repartition("key")
+    # the digests are small next to the work on them, so they are dealt out finer than by their size
+    parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ready = cut(ready).repartition(parts, "key")
     prints = fingerprint_rows(
         ready.select("key", F.explode(F.concat(
             F.transform("a", lambda x: F.struct(F.lit(0).alias("version"), x.alias("digest"))),
