@@ -124,12 +124,13 @@ def _groups(a: Column, b: Column) -> Column:
     return F.ceil(expected / EXPECTED).cast("int")
 
 
-def _differences(rows: DataFrame, key: str, pairs: list[tuple[str, str, str]]) -> DataFrame:
+def _differences(rows: DataFrame, dealt: DataFrame, key: str, pairs: list[tuple[str, str, str]]) -> DataFrame:
     """(key, pair, plus, minus): sizes of a - b and b - a for each pair of digest columns, by sketches.
 
     ``pairs`` has the names of a, b and the column with the number of groups, which must be a plain
-    column of ``rows`` so that it isn't computed again for every digest. ``rows`` should be partitioned
-    by ``key``; the sketches are then made and peeled where they are.
+    column of ``rows`` so that it isn't computed again for every digest. ``dealt`` holds the same rows
+    partitioned by ``key``; the sketches are then made and peeled where they are. The few groups that
+    fail are taken from ``rows`` again, before anything is exploded.
     """
 
     def signed(pair: int, digests_: str, sign: int, groups: str) -> Column:
@@ -140,14 +141,17 @@ def _differences(rows: DataFrame, key: str, pairs: list[tuple[str, str, str]]) -
             ),
         )
 
-    parts = [p for k, (a, b, g) in enumerate(pairs) for p in (signed(k, a, 1, g), signed(k, b, -1, g))]
-    units = rows.select(key, F.explode(F.concat(*parts)).alias("u")).select(key, "u.*")
+    units = F.concat(*[p for k, (a, b, g) in enumerate(pairs) for p in (signed(k, a, 1, g), signed(k, b, -1, g))])
     keys = [key, "pair", "group"]
-    results, width, salt = [cut(_difference(units, keys, CELLS, 0))], CELLS, 0
+    first = dealt.select(key, F.explode(units).alias("u")).select(key, "u.*")
+    results, width, salt = [cut(_difference(first, keys, CELLS, 0))], CELLS, 0
     while results[-1].where(F.size("failed") > 0).limit(1).count():
         width, salt = width * 2, salt + 1
-        again = results[-1].select(key, "pair", F.explode("failed").alias("group"))
-        results.append(cut(_difference(units.join(again, keys, "left_semi"), keys, width, salt)))
+        wanted = F.map_from_entries(F.collect_list(F.struct("pair", "failed"))).alias("wanted")
+        failed = results[-1].where(F.size("failed") > 0).groupBy(key).agg(wanted)
+        left = F.filter(units, lambda u: F.array_contains(F.coalesce(F.col("wanted")[u["pair"]], F.array().cast("array<int>")), u["group"]))
+        again = rows.join(failed, key).select(key, F.explode(left).alias("u")).select(key, "u.*")
+        results.append(cut(_difference(again, keys, width, salt)))
     return reduce(DataFrame.union, results).groupBy(key, "pair").agg(F.sum("plus").alias("plus"), F.sum("minus").alias("minus"))
 
 
@@ -210,9 +214,10 @@ def edit_and_compare(docs: DataFrame) -> DataFrame:
     ready = sketched.select("*", _groups(F.col("a"), F.col("e")).alias("groups_e"), _groups(F.col("a"), F.col("next")).alias("groups_next"))
     # the digests are small next to the work on them, so they are dealt out finer than by their size
     parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ready = cut(ready).repartition(parts, "key")
+    ready = cut(ready)
+    dealt = ready.repartition(parts, "key")
     prints = fingerprint_rows(
-        ready.select("key", F.explode(F.concat(
+        dealt.select("key", F.explode(F.concat(
             F.transform("a", lambda x: F.struct(F.lit(0).alias("version"), x.alias("digest"))),
             F.transform("e", lambda x: F.struct(F.lit(1).alias("version"), x.alias("digest"))),
         )).alias("u")).select("key", "u.*"),
@@ -222,17 +227,18 @@ def edit_and_compare(docs: DataFrame) -> DataFrame:
         F.max(F.when(F.col("version") == 0, F.col("fingerprint"))).alias("fingerprint"),
         F.max(F.when(F.col("version") == 1, F.col("fingerprint"))).alias("edited_fingerprint"),
     )
-    found = _differences(ready, "key", [("a", "e", "groups_e"), ("a", "next", "groups_next")]).groupBy("key").agg(
+    found = _differences(ready, dealt, "key", [("a", "e", "groups_e"), ("a", "next", "groups_next")]).groupBy("key").agg(
         *[F.max(F.when(F.col("pair") == k, F.col(c))).alias(f"{c}{k}") for k in (0, 1) for c in ("plus", "minus")]
     )
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    result = ready.join(both, "key", "left").join(found, "key", "left").select(
+    sizes = ready.select("key", "n_chars", "edited_sha256", F.size("a").alias("size"))
+    result = sizes.join(both, "key", "left").join(found, "key", "left").select(
         "key",
         "n_chars",
         "edited_sha256",
         F.coalesce("fingerprint", F.lit("")).alias("fingerprint"),
         F.coalesce("edited_fingerprint", F.lit("")).alias("edited_fingerprint"),
-        _likeness(F.size("a"), zero("plus0"), zero("minus0")).alias("near_edited"),
-        _likeness(F.size("a"), zero("plus1"), zero("minus1")).alias("near_next"),
+        _likeness(F.col("size"), zero("plus0"), zero("minus0")).alias("near_edited"),
+        _likeness(F.col("size"), zero("plus1"), zero("minus1")).alias("near_next"),
     )
     return docs.select("doc_id", _row_key().alias("key")).join(result, "key").drop("key")
