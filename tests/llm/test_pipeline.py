@@ -2,6 +2,7 @@
 
 import collections
 import os
+import random
 import re
 
 import duckdb
@@ -59,3 +60,46 @@ def test_line_query_matches_sql(spark):
 def test_query_has_a_row_for_each_document(spark, name):
     n = table(spark, SF, "pages" if name.startswith("op10") else "documents").count()
     assert queries.QUERIES[name](spark, SF).count() == n
+
+
+def near_components(bodies):
+    """Of each id the least id reachable over pairs with a 5-word Jaccard similarity of 0.8 or more."""
+    sets, holders, root = {}, collections.defaultdict(list), {}
+    for i, t in bodies.items():
+        w = (t or "").encode().lower().split()
+        sets[i] = {tuple(w[s : s + 5]) for s in range(max(len(w) - 4, 1))}
+    links = collections.defaultdict(set)
+    for i, own in sets.items():
+        for j, n in collections.Counter(j for x in own for j in holders[x]).items():
+            if n >= 0.8 * len(own | sets[j]) - 1e-9:
+                links[i].add(j)
+                links[j].add(i)
+        for x in own:
+            holders[x].append(i)
+    for i in sorted(sets):
+        todo = [i]
+        while todo:
+            k = todo.pop()
+            if k not in root:
+                root[k] = i
+                todo += links[k]
+    return root
+
+
+def test_near_duplicate_stage_keeps_one_of_each_edited_group(spark):
+    rng = random.Random(9)
+    bodies = {}
+    for _ in range(40):
+        w = [f"w{rng.randrange(3000)}" for _ in range(rng.randint(30, 400))]
+        for k in range(4):
+            edited = list(w)
+            for _ in range(rng.randint(0, len(w) // 40 + 1) if k else 0):
+                edited[rng.randrange(len(w))] = f"x{rng.randrange(3000)}"
+            bodies[len(bodies)] = " ".join(edited)
+    # each text of a chain is near the next only
+    w = [f"c{k}" for k in range(300)]
+    bodies |= {900 + k: " ".join(w[k * 20 : k * 20 + 200]) for k in range(6)}
+    bodies |= {1000: "", 1001: None, 1002: " ", 1003: "one two", 1004: "One  two", 1005: "one three"}
+    docs = spark.createDataFrame([(i, t) for i, t in bodies.items()], "doc_id long, text string").repartition(3)
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, SF).collect()}
+    assert kept == set(near_components(bodies).values())
