@@ -3,15 +3,14 @@
 Targets are weighted shares of all words, limited to a multiple of each source (water-filling).
 A source's words are taken in whole passes over its documents plus one partial pass. Documents are
 dealt to permuted blocks by a hash; the partial pass takes blocks in hash order, and the block that
-crosses the target is split again, level by level, so no step sorts or gathers a whole source. A
+crosses the target is split again, level by level, so no step sorts or gathers a whole source. The
+pass then goes on in hash order behind the document that crossed, over those that still fit. A
 multivariate-hypergeometric splitting tree divides each source's exact block quota among the output
 shards, and every shard shuffles its rows by another hash.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,8 +23,6 @@ SHARDS = 16
 #: Bits of the hash that number a source's blocks on each level: 1024 blocks, three levels.
 DIGIT = 10
 LEVELS = 3
-#: Documents of a source that may fill the gap between its partial pass and its target.
-TOP_UPS = 3
 #: Rows up to which the table of blocks is broadcast; beyond, it joins by a shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -110,6 +107,51 @@ def _boundaries(rows: DataFrame, plan: DataFrame) -> DataFrame:
     return state
 
 
+def _place(order: Column) -> Column:
+    """The digits of all levels as one number."""
+    return F.shiftrightunsigned(order, 64 - DIGIT * LEVELS)
+
+
+def _in_runs(runs: str, place: Column, size: Column) -> Column:
+    return F.exists(runs, lambda r: (place > r["after"]) & (place < r["before"]) & (size > 0) & (size <= r["fit"]))
+
+
+def _fill(rows: DataFrame, edge: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, runs) and (key, gap): what fills each source's gap behind its crossing cell, and what stays open.
+
+    A run takes the documents with places between after and before and at most fit words. Each ends
+    at the cell that crosses the gap; the next goes on behind it with the documents that fit what is
+    then missing, until none is left. The state is one row per source.
+    """
+    spark = rows.sparkSession
+    base = 1 << DIGIT
+    runs: dict[str, list[tuple[int, int, float]]] = {}
+    gaps: dict[str, float] = {}
+    state = {}
+    for r in edge.collect():
+        gaps[r["key"]], runs[r["key"]] = r["gap"], []
+        state[r["key"]] = (r["d0"] * base + r["d1"]) * base + r["d2"]
+    starts = dict(state)
+    while state := {k: at for k, at in state.items() if gaps[k] >= 1}:
+        now = spark.createDataFrame([(k, at, float(gaps[k])) for k, at in state.items()], "key string, at bigint, part double")
+        behind = rows.join(F.broadcast(now), "key").where("place > at and size > 0 and size <= part").drop("at", "part")
+        words = {r["key"]: r["words"] for r in behind.groupBy("key").agg(F.sum("size").alias("words")).collect()}
+        over = {k for k, n in words.items() if n > gaps[k]}
+        crossed = _boundaries(behind, now.where(F.col("key").isin(list(over)))).collect() if over else []
+        ends = {r["key"]: ((r["d0"] * base + r["d1"]) * base + r["d2"], r["gap"]) for r in crossed}
+        for k, n in words.items():
+            at, left = ends.get(k, (base**LEVELS, gaps[k] - n))
+            runs[k].append((state[k], at, float(gaps[k])))
+            gaps[k] = left
+        state = {k: at for k, (at, _) in ends.items()}
+    # a source without a run still says where it was crossed
+    listed = [(k, r or [(starts[k], starts[k], 0.0)]) for k, r in runs.items()]
+    return (
+        spark.createDataFrame(listed, "key string, runs array<struct<after: bigint, before: bigint, fit: double>>"),
+        spark.createDataFrame([(k, float(g)) for k, g in gaps.items()], "key string, gap double"),
+    )
+
+
 def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 17, weights: tuple[int, ...] = WEIGHTS, limit: int = LIMIT) -> DataFrame:
     """``docs`` with one more column, the last, named mix (with underscores if taken).
 
@@ -124,7 +166,7 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 17, weights: tuple[in
     key = F.concat(F.when(F.col("source").isNull(), "n").otherwise("s"), F.coalesce(F.col("source").cast("string"), F.lit("")))
     digits = [f"d{k}" for k in range(LEVELS)]
     parts = [_digit(order, k).alias(d) for k, d in enumerate(digits)]
-    rows = cut(docs.select(key.alias("key"), "source", order.alias("order"), *parts, n_words(F.col("text")).alias("size")))
+    rows = cut(docs.select(key.alias("key"), "source", order.alias("order"), _place(order).alias("place"), *parts, n_words(F.col("text")).alias("size")))
     part = F.col("target") - F.col("passes") * F.col("source_size")
     plan = cut(
         targets(rows, weights, limit)
@@ -133,39 +175,32 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 17, weights: tuple[in
         .withColumn("part", part)
     )
     edge = _boundaries(rows, plan)
-    # the words before the crossing cell are taken; the documents closest to the gap fill it
-    start = edge.select("key", F.struct(*digits).alias("from"))
-    left = rows.join(F.broadcast(start), "key").where(F.struct(*digits) >= F.col("from")).select("key", "order", "size")
-    gap, extras = edge.select("key", "gap"), []
-    for _ in range(TOP_UPS):
-        # the document whose size is closest to the gap, if taking it brings the sum nearer to the target
-        off = F.abs(F.col("size") - F.col("gap"))
-        best = (
-            left.join(F.broadcast(gap), "key")
-            .where((F.col("size") > 0) & (off < F.col("gap")))
-            .groupBy("key")
-            .agg(F.min_by(F.struct("size", "order"), F.struct(off, F.col("order"))).alias("best"))
-        )
-        picked = cut(gap.join(best, "key", "left").select("key", "gap", "best"))
-        extras.append(picked.where("best is not null").select("key", F.col("best.order").alias("extra"), F.col("best.size").alias("extra_size")))
-        gap = picked.select("key", (F.col("gap") - F.coalesce("best.size", F.lit(0))).alias("gap"))
-        taken = extras[-1].select("key", F.col("extra").alias("order"))
-        left = left.join(F.broadcast(taken), ["key", "order"], "left_anti")
-    extra = reduce(DataFrame.union, extras).groupBy("key").agg(F.collect_set("extra").alias("extras"))
-    sources = cut(plan.join(edge.drop("gap"), "key", "left").join(extra, "key", "left"))
+    # the words before the crossing cell are taken; documents behind it fill the gap
+    runs, gap = _fill(rows, edge)
+    # last, the document whose size is closest to the gap, if taking it brings the sum nearer to the target
+    off = F.abs(F.col("size") - F.col("gap"))
+    extra = (
+        rows.join(F.broadcast(runs.join(gap, "key")), "key")
+        .where((F.col("place") >= F.col("runs")[0]["after"]) & ~_in_runs("runs", F.col("place"), F.col("size")))
+        .where((F.col("size") > 0) & (off < F.col("gap")))
+        .groupBy("key")
+        .agg(F.min_by("order", F.struct(off, F.col("order"))).alias("extra"))
+    )
+    sources = cut(plan.join(edge.drop("gap"), "key", "left").join(runs, "key", "left").join(extra, "key", "left"))
     blocks = _blocks(rows, sources, shards, seed)
-    used = blocks.select("key", "block", F.struct("source_size", "target", "passes", *digits, "extras", "homes").alias("b"))
+    used = blocks.select("key", "block", F.struct("source_size", "target", "passes", *digits, "runs", "extra", "homes").alias("b"))
     if blocks.count() <= BROADCAST_ROWS:
         used = F.broadcast(used)
-    keyed = docs.withColumns({"_key": key, "_order": order})
+    keyed = docs.withColumns({"_key": key, "_order": order, "_size": n_words(F.col("text"))})
     joined = keyed.join(used, (F.col("_key") == F.col("key")) & (_digit(F.col("_order"), 0) == F.col("block")))
     here = F.struct(*[_digit(F.col("_order"), k).alias(d) for k, d in enumerate(digits)])
     cross = F.struct(*[F.col("b")[d].alias(d) for d in digits])
     part_taken = F.when(F.col("b.d0").isNull(), F.lit(False)).otherwise(here < cross)
-    topped = F.coalesce(F.array_contains("b.extras", F.col("_order")), F.lit(False))
+    filled = F.coalesce(_in_runs("b.runs", _place(F.col("_order")), F.col("_size")), F.lit(False))
+    topped = filled | F.coalesce(F.col("b.extra") == F.col("_order"), F.lit(False))
     copies = F.col("b.passes") + (part_taken | topped).cast("int")
     result = F.struct(
-        n_words(F.col("text")).alias("size"),
+        F.col("_size").alias("size"),
         F.col("b.source_size").alias("source_size"),
         F.col("b.target").alias("target"),
         F.slice(F.col("b.homes"), 1, copies).alias("shards"),
