@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: Removes a query's shuffle files as soon as it ends; what it gave is in the stored table by then.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -30,6 +34,32 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and go on from there.
+
+    Like ``cut``, but compressed, by column, and without the shuffle files of the query. ``discard``
+    removes the table when nothing reads it any more.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` has written."""
+    for found in tables:
+        hadoop = found.sparkSession.sparkContext._jvm.org.apache.hadoop.fs
+        for folder in {f.rpartition("/")[0] for f in found.inputFiles()}:
+            path = hadoop.Path(folder)
+            path.getFileSystem(found.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     """True for rows that a model must not learn from: crc32 of the id as text, by remainder."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))
@@ -47,18 +77,14 @@ def labelled_sample(rows: DataFrame, label: str, per_class: int, seed: int) -> D
     """(doc_id, label) of at most ``per_class`` rows of each non-null label, chosen by a hash of the id.
 
     ``rows`` holds doc_id and the label. The bound is what makes it safe to fit a model from these
-    rows on the driver. A hash threshold cuts each class down before its small top-k.
+    rows on the driver. Two passes whatever the number of labels: counts give each label a hash
+    threshold at twice its share, then a window orders only the rows below it.
     """
     keyed = rows.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select(
         "doc_id", F.col(label).alias("label"), F.xxhash64(F.col("doc_id"), F.lit(seed)).alias("order")
     )
-    found: DataFrame | None = None
-    for value, count in sorted(keyed.groupBy("label").count().collect()):
-        own = keyed.where(F.col("label") == F.lit(value))
-        if count > 2 * per_class:
-            # twice the share, so that the top-k finds per_class rows with near certainty
-            share = int(2.0 * per_class / count * (1 << 20)) + 1
-            own = own.where(F.pmod("order", F.lit(1 << 20)) < share)
-        own = own.orderBy("order", "doc_id").limit(per_class).select("doc_id", "label")
-        found = own if found is None else found.union(own)
-    return keyed.select("doc_id", "label").limit(0) if found is None else found
+    share = F.floor(F.lit(2.0 * per_class * (1 << 20)) / F.count("*")) + 1
+    shares = keyed.groupBy("label").agg(share.alias("share"))
+    few = keyed.join(shares, "label").where(F.pmod("order", F.lit(1 << 20)) < F.col("share"))
+    place = F.row_number().over(Window.partitionBy("label").orderBy("order", "doc_id"))
+    return few.withColumn("place", place).where(F.col("place") <= per_class).select("doc_id", "label")

@@ -23,7 +23,7 @@ from cadastra.llm.common import labelled_sample, unused
 BITS = 18
 GRAMS = (3, 4, 5)
 #: Labelled rows of each class that training may use.
-PER_CLASS = 1500
+PER_CLASS = 3000
 DIMENSION = 8
 EPOCHS = 8
 RATE = 3.0

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.llm import hashing
-from cadastra.llm.common import cut
+from cadastra.llm.common import discard, stored
 
 LENGTH = 400
 K = 200
@@ -29,6 +29,7 @@ SEGMENT = 60_000
 CROWD = 200
 #: Bytes that one suffix array holds at most; more anchors go to the next one.
 BATCH_BYTES = 1 << 20
+_ROWS = 1 << 13
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -118,6 +119,21 @@ def suffix_array(x: np.ndarray, depth: int) -> np.ndarray:
     return out
 
 
+def _equal_neighbours(b: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
+    """For neighbours in the order of the suffixes, whether their first ``length`` bytes are equal.
+
+    Hashes rule most pairs out; the bytes decide the rest.
+    """
+    prefixes = hashing.substring_hashes(hashing.prefix(b), order, order + length)
+    same = prefixes[1:] == prefixes[:-1]
+    heads = np.lib.stride_tricks.sliding_window_view(b, length) if len(b) >= length else None
+    hits = np.flatnonzero(same)
+    for s in range(0, len(hits), _ROWS):
+        at = hits[s : s + _ROWS]
+        same[at] = (heads[order[at]] == heads[order[at + 1]]).all(axis=1)
+    return same
+
+
 def repeated_windows(contexts: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
     """Per context: for each of its windows of ``length`` bytes, whether it starts anywhere else in the contexts."""
     sizes = np.array([len(c) for c in contexts])
@@ -129,9 +145,7 @@ def repeated_windows(contexts: list[bytes], length: int = LENGTH) -> list[np.nda
     which = np.searchsorted(begin, order, "right") - 1
     fits = order + length <= begin[which] + sizes[which]
     order = order[fits]
-    sums = hashing.prefix(b)
-    prefixes = hashing.substring_hashes(sums, order, order + length)
-    same = prefixes[1:] == prefixes[:-1]
+    same = _equal_neighbours(b, order, length)
     flags = np.zeros(len(b) + 1, dtype=bool)
     flags[order[1:][same]] = True
     flags[order[:-1][same]] = True
@@ -148,17 +162,18 @@ _KEYS = ["k1", "k2"]
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["k1", "k2", "start", "windows", "reach", "anchor", "whole"]
+    names = ["k1", "k2", "start", "windows", "anchor", "kind"]
     for batch in batches:
         found = []
         for row, text in enumerate(batch.column(2)):
             for starts, counts, reach, grams, whole in stretches(text.as_py()):
-                found.append((np.full(len(starts), row), starts, counts, reach, grams, whole))
+                shape = hashing.mix((reach * 1024 + counts).astype(np.uint64))
+                found.append((np.full(len(starts), row), starts, counts, grams, hashing.mix(whole ^ shape)))
         if found:
-            row, starts, counts, reach, grams, whole = (np.concatenate(c) for c in zip(*found))
+            row, starts, counts, grams, kind = (np.concatenate(c) for c in zip(*found))
             k1, k2 = (batch.column(c).take(pa.array(row)) for c in (0, 1))
-            columns = [pa.array(starts), pa.array(counts.astype(np.int32)), pa.array(reach.astype(np.int32))]
-            yield pa.RecordBatch.from_arrays([k1, k2, *columns, pa.array(grams.view(np.int64)), pa.array(whole.view(np.int64))], names)
+            columns = [pa.array(starts), pa.array(counts.astype(np.int32)), pa.array(grams.view(np.int64)), pa.array(kind.view(np.int64))]
+            yield pa.RecordBatch.from_arrays([k1, k2, *columns], names)
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,7 +203,7 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _sort_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(k1, k2, first, last): runs of repeated windows; all stretches of an anchor come one after the other."""
     held: list[tuple] = []
-    size, anchor = 0, None
+    size, anchor, before = 0, None, None
 
     def flush() -> pa.RecordBatch:
         out: list[tuple] = []
@@ -200,6 +215,9 @@ def _sort_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
     for batch in batches:
         for k1, k2, start, single, own, context in zip(*(c.to_pylist() for c in batch.columns)):
+            if (own, k1, k2, start) == before:
+                continue  # a repeated row: its strings are counted as copies already
+            before = (own, k1, k2, start)
             if size >= BATCH_BYTES and own != anchor:
                 yield flush()
                 held, size = [], 0
@@ -218,36 +236,51 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     """
     texts = docs.select(*_document_keys(), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     long_ones = texts.where(F.octet_length("text") >= LENGTH)
-    found = cut(long_ones.mapInArrow(_scan, "k1 long, k2 long, start long, windows int, reach int, anchor long, whole long"))
-    alike = ["anchor", "whole", "reach", "windows"]
-    kinds = found.groupBy(*alike).agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "start")).alias("one"))
-    crowds = kinds.groupBy("anchor").agg(F.count("*").alias("variants"))
-    # stretches that are the only one of their anchor cannot repeat
-    open_kinds = cut(kinds.join(crowds.where("variants > 1"), "anchor"))
-    copied = kinds.where("n > 1").select(*alike)
-    whole = found.join(copied, alike, "left_semi").select(
-        *_KEYS, F.col("start").alias("first"), (F.col("start") + F.col("windows") - 1).alias("last")
-    )
+    found = stored(long_ones.mapInArrow(_scan, "k1 long, k2 long, start long, windows int, anchor long, kind long"))
+    seen = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("kind").alias("low"), F.max("kind").alias("high"))
+    # a stretch that is the only one of its anchor cannot repeat; an anchor with one kind repeats as a whole
+    repeated = stored(seen.where("n > 1").select("anchor", (F.col("low") < F.col("high")).alias("open")))
+    marked = stored(found.join(repeated, "anchor"))
+    discard(found, repeated)
+    one = F.min(F.struct("k1", "k2", "start", "windows")).alias("one")
+    kinds = stored(marked.where("open").groupBy("anchor", "kind").agg(F.count("*").alias("n"), one))
+    crowds = kinds.groupBy("anchor").count().where(F.col("count") > CROWD).select("anchor", F.lit(True).alias("many"))
     wanted = (
-        open_kinds.select("one.*", "windows", "anchor", (F.col("n") == 1).alias("single"), (F.col("variants") > CROWD).alias("crowded"))
+        kinds.join(crowds, "anchor", "left")
+        .select("one.*", "anchor", (F.col("n") == 1).alias("single"), F.coalesce("many", F.lit(False)).alias("crowded"))
         .groupBy(*_KEYS)
         .agg(F.collect_list(F.struct("start", "windows", "anchor", "single", "crowded")).alias("wanted"))
     )
-    contexts = cut(
-        long_ones.dropDuplicates(_KEYS)
-        .join(wanted, _KEYS)
-        .mapInArrow(_contexts, "k1 long, k2 long, start long, single boolean, anchor long, context binary, hashes array<long>")
+    contexts = stored(
+        long_ones.join(wanted, _KEYS).mapInArrow(
+            _contexts, "k1 long, k2 long, start long, single boolean, anchor long, context binary, hashes array<long>"
+        )
+    )
+    copied = marked.where("open").join(kinds.where("n > 1").select("anchor", "kind"), ["anchor", "kind"], "left_semi")
+    whole = (
+        marked.where("not open")
+        .select(*_KEYS, "start", "windows")
+        .union(copied.select(*_KEYS, "start", "windows"))
+        .select(*_KEYS, F.col("start").alias("first"), (F.col("start") + F.col("windows") - 1).alias("last"))
     )
     dealt = contexts.where("context is not null").select(*_KEYS, "start", "single", "anchor", "context")
     sorted_runs = (
-        dealt.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sort_suffixes, "k1 long, k2 long, first long, last long")
+        dealt.repartition("anchor")
+        .sortWithinPartitions("anchor", *_KEYS, "start")
+        .mapInArrow(_sort_suffixes, "k1 long, k2 long, first long, last long")
+    )
+    crowded = (
+        contexts.where("hashes is not null")
+        .dropDuplicates([*_KEYS, "start"])
+        .select(*_KEYS, "start", F.posexplode("hashes").alias("at", "hash"))
     )
-    crowded = contexts.where("hashes is not null").select(*_KEYS, "start", F.posexplode("hashes").alias("at", "hash"))
     common = crowded.groupBy("hash").count().where("count > 1").select("hash")
     place = F.col("start") + F.col("at")
     counted = crowded.join(common, "hash", "left_semi").select(*_KEYS, place.alias("first"), place.alias("last"))
     runs = whole.union(sorted_runs).union(counted)
-    return runs.groupBy(*_KEYS).agg(F.collect_set(F.struct("first", "last")).alias("runs"))
+    result = stored(runs.groupBy(*_KEYS).agg(F.collect_set(F.struct("first", "last")).alias("runs")))
+    discard(marked, kinds, contexts)
+    return result
 
 
 def _spans(runs: list[dict] | None) -> list[tuple[int, int]]:
