@@ -17,9 +17,11 @@ def iso(date: Column) -> Column:
 
 def label_to_iso(label: Column) -> Column:
     """ISO text from a label with dd-MM-yyyy and perhaps à HH:mm; null if there is no date."""
-    part = lambda k: F.regexp_extract(label, r"(\d{2})-(\d{2})-(\d{4})(?:\s*à\s*(\d{2}):(\d{2}))?", k)
-    day = F.concat_ws("-", part(3), part(2), part(1))
-    return F.when(part(1) == "", None).when(part(4) == "", day).otherwise(F.concat(day, F.lit("T"), part(4), F.lit(":"), part(5)))
+    words = F.split(F.trim(label), r"\s+")
+    day = F.get(F.filter(words, lambda w: w.rlike("^[0-9]{2}-[0-9]{2}-[0-9]{4}$")), 0)
+    hour = F.get(F.filter(words, lambda w: w.rlike("^[0-9]{2}:[0-9]{2}$")), 0)
+    written = F.concat(F.right(day, F.lit(4)), F.substring(day, 3, 4), F.left(day, F.lit(2)))
+    return F.concat(written, F.coalesce(F.concat(F.lit("T"), hour), F.lit("")))
 
 
 def year_in_text(text: Column, default: int = 2024) -> Column:

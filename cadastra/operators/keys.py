@@ -22,12 +22,31 @@ def unknown_keys(df: DataFrame, reference: DataFrame, key: str = "code_commune")
 
 def guard_counts(df: DataFrame, reference: DataFrame, key: str = "code_commune") -> DataFrame:
     """One row (n_rows, n_kept, n_rejected, pct_rejected), from one pass over ``df``."""
-    flags = df.select(key).join(reference.select(key, F.lit(True).alias("ok")), key, "left")
+    flags = df.select(key).join(reference.select(key).distinct().withColumn("ok", F.lit(True)), key, "left")
     kept = F.count_if(F.col("ok").isNotNull())
     share = F.round(F.try_divide(F.count("*") - kept, F.count("*")).cast("decimal(38,10)") * 100, 2).cast("double")
     return flags.agg(F.count("*").alias("n_rows"), kept.alias("n_kept"), (F.count("*") - kept).alias("n_rejected"), share.alias("pct_rejected"))
 
 
+def load_counts(df: DataFrame, reference: DataFrame, existing: DataFrame, key: list[str], guard: str = "code_commune") -> DataFrame:
+    """One row (n_rows, n_inserted, n_updated, n_skipped): what loading ``df`` into ``existing`` by key does.
+
+    Rows whose guard column isn't in the reference are skipped; a row whose key exists updates it. A
+    null key never exists. Both lookups are on distinct keys, so repeated ones count no row twice.
+    """
+    columns = list(dict.fromkeys([*key, guard]))
+    ok = reference.select(guard).distinct().withColumn("_ok", F.lit(True))
+    here = existing.select(*key).distinct().withColumn("_here", F.lit(True))
+    flags = df.select(*columns).join(ok, guard, "left").join(here, key, "left")
+    valid, present = F.col("_ok").isNotNull(), F.col("_here").isNotNull()
+    return flags.agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(valid & ~present).alias("n_inserted"),
+        F.count_if(valid & present).alias("n_updated"),
+        F.count_if(~valid).alias("n_skipped"),
+    )
+
+
 def upsert(existing: DataFrame, new: DataFrame, key: list[str], order: str | None = None) -> DataFrame:
     """``existing`` with the rows of ``new`` put in by key; of several new rows the last by ``order`` counts.
 

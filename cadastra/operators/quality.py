@@ -65,3 +65,9 @@ def item_drift(df: DataFrame, table: str, items: str, expected: int) -> DataFram
     """How many rows have another number of items than expected."""
     n = df.agg(F.count_if(F.size(items) != expected).alias("n"))
     return n.select(*_row("item_count", table, items, F.col("n"), 0, F.col("n") == 0))
+
+
+def announced_but_absent(df: DataFrame, table: str, pages: str, items: str) -> DataFrame:
+    """How many rows announce several pages (column ``pages``) but hold no item (array ``items``)."""
+    n = df.agg(F.count_if((F.col(pages) > 1) & (F.size(items) <= 0)).alias("n"))
+    return n.select(*_row("items_announced", table, items, F.col("n"), 0, F.col("n") == 0))

@@ -24,16 +24,27 @@ def first_seen(reviews: DataFrame) -> DataFrame:
     )
 
 
-def nested(reviews: DataFrame) -> DataFrame:
-    """(code_commune, avis): a municipality's reviews as an array in input order, without their code."""
-    fields = [c for c in schemas.REVIEW_FIELDS if c in reviews.columns]
+def nested(reviews: DataFrame, fields: list[str] | None = None) -> DataFrame:
+    """(code_commune, avis): a municipality's reviews as an array in input order, without their code.
+
+    The array is one row of the result. ``fields`` names those it shall hold (all of a review's by
+    default): leave texts out, or keep only the municipalities to be served, where one can have
+    very many reviews.
+    """
+    fields = [c for c in fields or schemas.REVIEW_FIELDS if c in reviews.columns]
     ordered = F.array_sort(F.collect_list(F.struct("seq", F.struct(*fields).alias("avis"))))
     return reviews.groupBy("code_commune").agg(F.transform(ordered, lambda x: x["avis"]).alias("avis"))
 
 
-def records(cities: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Each city with its reviews (an empty array for none) and their number."""
-    joined = cities.join(nested(first_seen(reviews)), "code_commune", "left")
+def counted(cities: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Each city with its number of reviews (nb_avis); the reviews stay rows of their own table."""
+    numbers_ = first_seen(reviews.select("code_commune", "review_id", "seq")).groupBy("code_commune").agg(F.count("*").cast("int").alias("nb_avis"))
+    return cities.join(numbers_, "code_commune", "left").withColumn("nb_avis", F.coalesce("nb_avis", F.lit(0)))
+
+
+def records(cities: DataFrame, reviews: DataFrame, fields: list[str] | None = None) -> DataFrame:
+    """Each city with its reviews (an empty array for none; ``fields`` as for ``nested``) and their number."""
+    joined = cities.join(nested(first_seen(reviews), fields), "code_commune", "left")
     fields = [f.name for f in joined.schema["avis"].dataType.elementType]
     empty = F.filter(F.array(F.struct(*[F.lit(None).cast(joined.schema["avis"].dataType.elementType[f].dataType).alias(f) for f in fields])), lambda x: F.lit(False))
     avis = F.coalesce("avis", empty)
@@ -111,13 +122,15 @@ def _review(block):
 def roll_up_pages(pages: DataFrame) -> DataFrame:
     """One row per municipality over its parsed pages (code_commune, page, nb_avis, nb_pages_avis).
 
-    avis_complets: every page from 1 to the greatest announced number is there.
+    A page that was read twice counts once, with the most reviews seen on it. avis_complets: every page
+    from 1 to the greatest announced number is there.
     """
-    return pages.groupBy("code_commune").agg(
-        F.sum("nb_avis").alias("nb_avis"),
-        F.max("nb_pages_avis").alias("nb_pages_avis"),
-        (F.count_distinct("page") == F.max("nb_pages_avis")).alias("avis_complets"),
+    once = pages.groupBy("code_commune", "page").agg(F.max("nb_avis").alias("nb_avis"), F.max("nb_pages_avis").alias("nb_pages_avis"))
+    whole = once.groupBy("code_commune").agg(
+        F.sum("nb_avis").alias("nb_avis"), F.max("nb_pages_avis").alias("nb_pages_avis"), F.collect_set("page").alias("_read")
     )
+    expected = F.filter("_read", lambda p: (p >= 1) & (p <= F.col("nb_pages_avis")))
+    return whole.withColumn("avis_complets", F.size(expected) == F.col("nb_pages_avis")).drop("_read")
 
 
 def summary(reviews: DataFrame) -> DataFrame:

@@ -19,16 +19,16 @@ def normalise_raw(df: DataFrame) -> DataFrame:
     absent = {c: F.lit(None).cast(t) for c, t in (("id_mutation", "string"), ("longitude", "double"), ("latitude", "double"))}
     return df.withColumns(
         {
-            "valeur_fonciere": numbers.decimal_comma(F.col("valeur_fonciere_raw")),
-            "date_mutation": dates.parse(F.col("date_mutation_raw")),
-            "code_commune": F.concat("code_departement", codes.pad(F.col("code_commune_court"), 3)),
+            "valeur_fonciere": numbers.decimal_comma(F.col("prix_texte")),
+            "date_mutation": dates.parse(F.col("jour_texte")),
+            "code_commune": F.concat("code_departement", codes.pad(F.col("commune_dans_departement"), 3)),
             "surface_reelle_bati": numbers.decimal_comma(F.col("surface_reelle_bati")),
             "surface_terrain": numbers.decimal_comma(F.col("surface_terrain")),
             "nombre_pieces_principales": numbers.to_int(F.col("nombre_pieces_principales")),
             "source": F.lit("dgfip"),
         }
         | absent
-    ).drop("valeur_fonciere_raw", "date_mutation_raw", "code_commune_court")
+    ).drop("prix_texte", "jour_texte", "commune_dans_departement")
 
 
 def dwellings_sold(df: DataFrame) -> DataFrame:

@@ -28,9 +28,9 @@ VIEWS: dict[str, str] = {
                CAST(-5 + CAST(c_custkey % 1500 AS DOUBLE) / 128 AS STRING) AS longitude_centre
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "v_population": """
-        SELECT CAST(c_custkey AS STRING) AS codgeo,
+        SELECT CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE CAST(c_custkey AS STRING) END AS codgeo,
                CASE WHEN c_custkey % 13 = 0 THEN 'n/a' ELSE CAST(CAST(floor(abs(c_acctbal) * 10) AS BIGINT) AS STRING) END AS p23_pop
-        FROM customer WHERE c_custkey % 11 <> 0""",
+        FROM customer""",
     "v_communes": """
         SELECT r.code_insee AS code_commune, nom_standard AS nom, dep_code AS code_departement, reg_code AS code_region, code_postal,
                CAST(superficie_km2 AS DOUBLE) AS superficie, CAST(latitude_centre AS DOUBLE) AS latitude,
@@ -90,20 +90,20 @@ VIEWS: dict[str, str] = {
                     ELSE CAST(11 + l_partkey % 7 AS STRING) END AS num_risque,
                CASE WHEN l_partkey % 8 = 0 THEN NULL ELSE -5 + CAST(l_partkey % 1500 AS DOUBLE) / 128 END AS longitude,
                41 + CAST(l_suppkey % 1000 AS DOUBLE) / 128 AS latitude
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE o_custkey % 3 = 1""",
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey""",
     "v_city": """
-        SELECT lpad(substr(source, 4, 5), 5, '0') AS code_commune, source AS nom_ville,
+        SELECT CASE WHEN source = 'src7' THEN '99999' ELSE lpad(substr(source, 4, 5), 5, '0') END AS code_commune, source AS nom_ville,
                CASE WHEN source = 'src3' THEN NULL ELSE CAST(min(n_chars) % 100 AS DOUBLE) / 10 END AS note_globale,
                CAST(min(doc_id) + 1 AS STRING) || '/239' AS rang, true AS avis_complets,
                CASE WHEN source = 'src5' THEN NULL ELSE date_add(CAST('2026-03-01' AS DATE), CAST(min(doc_id) % 40 AS INT)) END AS date_scraping
-        FROM documents WHERE source <> 'src7' GROUP BY source""",
+        FROM documents GROUP BY source""",
     "v_review": """
         SELECT lpad(substr(source, 4, 5), 5, '0') AS code_commune, source AS nom_ville,
                CASE WHEN doc_id % 10 = 9 THEN NULL ELSE CAST(doc_id - doc_id % 3 AS STRING) END AS review_id,
                'auteur' || CAST(doc_id % 50 AS STRING) AS pseudonyme, '2026-03-21T10:47' AS date_avis,
                CAST(n_chars % 100 AS DOUBLE) / 10 AS note_moyenne,
-               substr(text, 1, 300) AS points_positifs,
-               CASE WHEN doc_id % 4 = 0 THEN NULL ELSE substr(text, 301, 200) END AS points_negatifs,
+               CASE WHEN doc_id % 4 = 0 THEN text ELSE substr(text, 1, CAST(floor(length(text) / 2) AS INT)) END AS points_positifs,
+               CASE WHEN doc_id % 4 = 0 THEN NULL ELSE substr(text, CAST(floor(length(text) / 2) AS INT) + 1) END AS points_negatifs,
                CAST(doc_id % 70 AS INT) AS nb_accord, CAST(doc_id % 30 AS INT) AS nb_pas_accord, doc_id AS seq
         FROM documents""",
     "v_page": """

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastra import schemas
-from cadastra.operators import reviews, sales
+from cadastra.operators import keys, reviews, sales
 from cadastra.plans import adapters, jobs, serving
 from cadastra.sources import readers, writers
 
@@ -75,7 +75,7 @@ class Tables:
     @property
     def records(self) -> DataFrame:
         cloud = reviews.word_cloud(self("v_review"))
-        return reviews.records(self("v_city"), self("v_review")).join(cloud, "code_commune", "left")
+        return reviews.counted(self("v_city"), self("v_review")).join(cloud, "code_commune", "left")
 
 
 # SQL pieces that several checks share.
@@ -165,6 +165,13 @@ def _add(name: str, function: Callable[[Tables], DataFrame], sql: str | None = N
     CATALOG[name] = (function, sql)
 
 
+def _feature_text() -> Column:
+    """A collection's features as one text: code, municipality, name and geometry of each, in their order."""
+    part = lambda f, name: F.get_json_object(f, f"$.properties.{name}")
+    one = lambda f: F.concat_ws(" ", part(f, "code_iris"), part(f, "code_commune"), F.coalesce(part(f, "nom_iris"), F.lit("-")), F.get_json_object(f, "$.geometry"))
+    return F.array_join(F.transform("features", one), ";")
+
+
 def _cloud_text(column: str = "word_cloud") -> Column:
     return F.array_join(F.transform(column, lambda e: F.concat(e["mot"], F.lit(":"), e["frequence"].cast("string"))), " ")
 
@@ -216,7 +223,7 @@ _add(
 _add("job_12_raw_pages_unrated", lambda t: reviews.parse_pages(t.raw("pages")).select("page_id"), "SELECT page_id FROM pages WHERE false")
 _add(
     "job_13_review_records",
-    lambda t: reviews.records(t("v_city"), t("v_review")).select(
+    lambda t: reviews.records(t("v_city"), t("v_review"), ["review_id"]).select(
         "code_commune", "nom_ville", "nb_avis", F.array_join(F.transform("avis", lambda a: F.coalesce(a["review_id"], F.lit("-"))), ",").alias("ids")
     ),
     f"""WITH {_FIRST_SEEN} SELECT c.code_commune, c.nom_ville, CAST(count(s.seq) AS INT) AS nb_avis,
@@ -243,6 +250,52 @@ _add(
       FROM v_communes c LEFT JOIN stats s ON s.code_commune = c.code_commune""",
 )
 
+_add(
+    "job_15_load_counts",
+    lambda t: keys.load_counts(
+        jobs.equipment_stats(t("v_equip")), t.communes, t.communes.where("code_departement is not null").select("code_commune"), ["code_commune"]
+    ),
+    f"""WITH {_STATS} SELECT count(*) AS n_rows, count(*) FILTER (WHERE c.code_commune IS NOT NULL AND c.code_departement IS NULL) AS n_inserted,
+      count(*) FILTER (WHERE c.code_departement IS NOT NULL) AS n_updated, count(*) FILTER (WHERE c.code_commune IS NULL) AS n_skipped
+      FROM stats s LEFT JOIN v_communes c ON c.code_commune = s.code_commune""",
+)
+_add(
+    "job_15_load_rejects",
+    lambda t: keys.unknown_keys(jobs.equipment_stats(t("v_equip")), t.communes),
+    f"WITH {_STATS} SELECT DISTINCT code_commune FROM stats WHERE code_commune NOT IN (SELECT code_commune FROM v_communes)",
+)
+
+
+def _geometry_load(t: Tables) -> DataFrame:
+    fine = t.features.where("kind is not null").select(
+        F.substring("code_iris", 5, 5).alias("code"), F.col("properties")["nom_iris"].alias("nom"), F.lit("75").alias("departement"), F.lit("11").alias("region"), "geometry"
+    )
+    # half of the municipalities are known before; boroughs are those numbered 0002x, of which some are new
+    places = t.communes.where("code_commune not like '%3'")
+    blank = F.lit(None).cast("string")
+    existing = places.where("code_commune like '%1'").select(
+        "code_commune", "nom", "code_departement", "code_region", blank.alias("geom"), F.lit("old").alias("geom_simplified")
+    )
+    return jobs.geometry_load(existing, places, fine, fine.where("code like '%2'"), ("0002",))
+
+
+_add(
+    "job_07_geometry_upsert",
+    _geometry_load,
+    """WITH shape AS (SELECT substr(code_iris, 5, 5) AS code, nom_iris, '{"type":"MultiPolygon","coordinates":[[' || ring || ']]}' AS geom
+      FROM v_features WHERE kind IS NOT NULL),
+    old AS (SELECT code_commune, nom, code_departement, code_region FROM v_communes WHERE code_commune LIKE '%1'),
+    own AS (SELECT c.code_commune, c.nom, c.code_departement, c.code_region, s.geom, CASE WHEN code LIKE '%2' THEN geom END AS simple
+      FROM v_communes c JOIN shape s ON s.code = c.code_commune WHERE c.code_commune NOT LIKE '%3'),
+    fresh AS (SELECT * FROM own UNION ALL SELECT code, nom_iris, '75', '11', geom, CASE WHEN code LIKE '%2' THEN geom END FROM shape
+      WHERE code LIKE '0002%' AND code NOT IN (SELECT code_commune FROM own))
+    SELECT coalesce(o.code_commune, f.code_commune) AS code_commune, CASE WHEN o.code_commune IS NULL THEN f.nom ELSE o.nom END AS nom,
+      CASE WHEN o.code_commune IS NULL THEN f.code_departement ELSE o.code_departement END AS code_departement,
+      CASE WHEN o.code_commune IS NULL THEN f.code_region ELSE o.code_region END AS code_region, f.geom,
+      CASE WHEN o.code_commune IS NULL THEN f.simple ELSE coalesce(f.simple, 'old') END AS geom_simplified
+    FROM old o FULL OUTER JOIN fresh f ON o.code_commune = f.code_commune""",
+)
+
 # Read queries
 _TRI = """list_distinct(flatten(list_transform(list_filter(string_split_regex(lower({}), '[^a-z0-9à-ÿ]+'), lambda w: w <> ''),
   lambda w: list_transform(generate_series(1, CAST(length(w) + 1 AS BIGINT)), lambda i: substr('  ' || w || ' ', i, 3)))))""".format
@@ -258,9 +311,10 @@ _add("qry_03_regions", lambda t: serving.list_regions(t("v_region")), "SELECT co
 _add("qry_04_departements", lambda t: serving.list_departements(t("v_dept"), "01"), "SELECT * FROM v_dept WHERE code_region = '01'")
 _add(
     "qry_05_districts_in_bbox",
-    lambda t: serving.districts_in_bbox(t.districts, "2,3,20,15", 50).select("type", "count", "truncated"),
-    f"""WITH {_IRIS}, hit AS (SELECT count(*) AS n FROM iris WHERE minx <= 20 AND maxx >= 2 AND miny <= 15 AND maxy >= 3)
-      SELECT 'FeatureCollection' AS type, CAST(least(n, 50) AS INT) AS count, n > 50 AS truncated FROM hit""",
+    lambda t: serving.districts_in_bbox(t.districts, "2,3,20,15", 50).select("type", "count", "truncated", _feature_text().alias("features")),
+    f"""WITH {_IRIS}, hit AS (SELECT *, row_number() OVER (ORDER BY code_iris) AS k FROM iris WHERE minx <= 20 AND maxx >= 2 AND miny <= 15 AND maxy >= 3)
+      SELECT 'FeatureCollection' AS type, CAST(least(count(*), 50) AS INT) AS count, count(*) > 50 AS truncated,
+      coalesce(string_agg(code_iris || ' ' || code_commune || ' ' || coalesce(nom_iris, '-') || ' ' || geometry, ';' ORDER BY k) FILTER (WHERE k <= 50), '') AS features FROM hit""",
 )
 _add(
     "qry_06_districts_of",

@@ -13,7 +13,9 @@ from cadastra.plans.catalog import (
     _CLEAN,
     _CRIME,
     _DGFIP,
+    _cloud_text,
     _FIRST_SEEN,
+    _WORDCLOUD,
     _FLAGS,
     _GEO,
     _IRIS,
@@ -142,7 +144,7 @@ def _geojson(t: Tables, whole: bool) -> DataFrame:
         rows = rows.groupBy(F.substring("code_iris", 8, 2)).agg(
             F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list("value"), ","), F.lit("]}")).alias("value")
         )
-        rows.select("value").repartition(4).write.option("lineSep", "\n").text(path)
+        rows.select("value").write.option("maxRecordsPerFile", 1).text(path)
         return readers.features(t.spark, path, by_line=False)
     rows.select("value").write.text(path)
     return readers.features(t.spark, path)
@@ -153,6 +155,11 @@ _add(
     lambda t: _geojson(t, False).select(*[F.col("properties")[c].alias(c) for c in ("code_iris", "code_insee", "nom_iris", "type_iris")]),
     "SELECT code_iris, code_insee, nom_iris, type_iris FROM v_features",
 )
+_add(
+    "src_10_whole_collections",
+    lambda t: _geojson(t, True).select(F.col("properties")["code_iris"].alias("code_iris"), F.get_json_object("geometry", "$.type").alias("kind")),
+    "SELECT code_iris, kind FROM v_features",
+)
 _add(
     "src_11_geojson_geometry",
     lambda t: _geojson(t, False).where("geometry is not null").select(F.col("properties")["code_iris"].alias("code_iris"), spatial.envelope(spatial.polygons(F.col("geometry"))).alias("b")).select("code_iris", "b.*"),
@@ -172,7 +179,7 @@ _add("src_12_nested_payloads", _payloads, "SELECT code_commune, num_risque FROM
 _add(
     "src_13_population",
     lambda t: readers.population(_through_csv(t, "v_population", ",")),
-    "SELECT lpad(codgeo, 5, '0') AS codgeo, TRY_CAST(p23_pop AS DOUBLE) AS p23_pop FROM v_population",
+    "SELECT lpad(codgeo, 5, '0') AS codgeo, TRY_CAST(p23_pop AS DOUBLE) AS p23_pop FROM v_population WHERE codgeo IS NOT NULL",
 )
 _add("src_14_reference_keys", lambda t: readers.reference_keys(t.communes), "SELECT DISTINCT code_commune FROM v_communes")
 _add(
@@ -258,9 +265,12 @@ _add(
 )
 _add(
     "snk_12_feature_collection",
-    lambda t: writers.feature_collection(t.districts, ["code_iris", "nom_iris"], 5000, "code_iris").select("type", "count", "truncated", F.size("features").alias("n")),
-    f"""WITH {_IRIS} SELECT 'FeatureCollection' AS type, CAST(least(count(*), 5000) AS INT) AS count, count(*) > 5000 AS truncated,
-      CAST(least(count(*), 5000) AS INT) AS n FROM iris""",
+    lambda t: writers.feature_collection(t.districts, ["code_iris", "nom_iris"], 5000, "code_iris").select(
+        "type", "count", "truncated", F.array_join(F.transform("features", lambda f: F.concat_ws(" ", F.get_json_object(f, "$.properties.code_iris"), F.get_json_object(f, "$.geometry"))), ";").alias("features")
+    ),
+    f"""WITH {_IRIS}, hit AS (SELECT *, row_number() OVER (ORDER BY code_iris) AS k FROM iris)
+      SELECT 'FeatureCollection' AS type, CAST(least(count(*), 5000) AS INT) AS count, count(*) > 5000 AS truncated,
+      string_agg(code_iris || ' ' || geometry, ';' ORDER BY k) FILTER (WHERE k <= 5000) AS features FROM hit""",
 )
 
 
@@ -362,8 +372,11 @@ _add(
 _add("jn_07_unpivot_flags", lambda t: jobs.zone_risk_points(t.flags, t.communes), f"WITH {_FLAGS}, {_ZONE_POINTS} SELECT * FROM zone_points")
 _add(
     "jn_08_geometry_lookup",
-    lambda t: t("v_dept").join(t.features.select(F.substring("code_iris", 8, 2).alias("code_departement"), F.substring("code_iris", 1, 7).alias("head"), "geometry").where("head = '0000000'").drop("head"), "code_departement", "left").select("code_departement", "nom", F.col("geometry").isNotNull().alias("located")),
-    "SELECT d.code_departement, d.nom, f.kind IS NOT NULL AS located FROM v_dept d LEFT JOIN v_features f ON f.code_iris = '0000000' || d.code_departement",
+    lambda t: jobs.located(
+        t("v_dept"), t.features.where("code_iris like '0000000%'").select(F.substring("code_iris", 8, 2).alias("code"), "geometry"), "code_departement"
+    ).select("code_departement", "nom", "geom"),
+    """SELECT d.code_departement, d.nom, CASE WHEN f.kind IS NOT NULL THEN '{"type":"MultiPolygon","coordinates":[[' || ring || ']]}' END AS geom
+      FROM v_dept d LEFT JOIN v_features f ON f.code_iris = '0000000' || d.code_departement""",
 )
 _add("jn_09_geometry_inner", lambda t: t.districts.select("code_iris", "code_commune"), f"WITH {_IRIS} SELECT code_iris, code_commune FROM iris")
 
@@ -373,14 +386,14 @@ def _boroughs(t: Tables) -> DataFrame:
         F.substring("code_iris", 5, 5).alias("code"), F.col("properties")["nom_iris"].alias("nom"),
         F.when(F.substring("code_iris", 9, 1) == "1", None).otherwise(F.lit("75")).alias("departement"), F.lit("11").alias("region"), "geometry",
     )
-    return jobs.borough_rows(fine, fine.where("code like '%2'"), ("0002", "0013")).select("code_commune", "nom", "code_departement", "code_region", F.col("geom_simplified").isNotNull().alias("simple"))
+    return jobs.borough_rows(fine, fine.where("code like '%2'"), ("0002", "0013")).select("code_commune", "nom", "code_departement", "code_region", "geom", "geom_simplified")
 
 
 _add(
     "jn_10_two_resolutions",
     _boroughs,
     """SELECT substr(code_iris, 5, 5) AS code_commune, nom_iris AS nom, CASE WHEN code_iris LIKE '%1' THEN substr(code_iris, 5, 2) ELSE '75' END AS code_departement,
-      '11' AS code_region, code_iris LIKE '%2' AS simple FROM v_features WHERE kind IS NOT NULL AND (substr(code_iris, 5, 4) IN ('0002', '0013'))""",
+      '11' AS code_region, '{"type":"MultiPolygon","coordinates":[[' || ring || ']]}' AS geom, CASE WHEN code_iris LIKE '%2' THEN CASE WHEN kind = 'Polygon' THEN '{"type":"Polygon","coordinates":[' || ring || ']}' WHEN kind IS NOT NULL THEN '{"type":"MultiPolygon","coordinates":[[' || ring || ']]}' END END AS geom_simplified FROM v_features WHERE kind IS NOT NULL AND (substr(code_iris, 5, 4) IN ('0002', '0013'))""",
 )
 
 # Aggregates
@@ -419,9 +432,11 @@ _add("ag_16_array_length", lambda t: reviews.nested(t("v_review")).select("code_
 _add("ag_17_ordered_distinct", lambda t: t("v_review").groupBy("code_commune").agg(F.min("seq").alias("seq")).orderBy("seq"), "SELECT code_commune, min(seq) AS seq FROM v_review GROUP BY 1")
 _add(
     "ag_18_page_roll_up",
-    lambda t: reviews.roll_up_pages(t("v_page").select(F.lpad((_C("doc_id") % 50).cast("string"), 5, "0").alias("code_commune"), (_C("doc_id") % 3 + 1).alias("page"), F.lit(2).alias("nb_avis"), (_C("doc_id") % 2 + 2).alias("nb_pages_avis"))),
-    """SELECT lpad(CAST(doc_id % 50 AS VARCHAR), 5, '0') AS code_commune, CAST(count(*) * 2 AS BIGINT) AS nb_avis, max(doc_id % 2 + 2) AS nb_pages_avis,
-      count(DISTINCT doc_id % 3) = max(doc_id % 2 + 2) AS avis_complets FROM v_page GROUP BY 1""",
+    lambda t: reviews.roll_up_pages(t("v_page").select(F.lpad((_C("doc_id") % 70).cast("string"), 5, "0").alias("code_commune"), (_C("doc_id") % 3 + 1).alias("page"), (_C("doc_id") % 5).alias("nb_avis"), (_C("doc_id") % 4).alias("nb_pages_avis"))),
+    """WITH read AS (SELECT lpad(CAST(doc_id % 70 AS VARCHAR), 5, '0') AS code_commune, doc_id % 3 + 1 AS page, max(doc_id % 5) AS nb_avis, max(doc_id % 4) AS n FROM v_page GROUP BY 1, 2),
+      town AS (SELECT code_commune, CAST(sum(nb_avis) AS BIGINT) AS nb_avis, max(n) AS nb_pages_avis FROM read GROUP BY 1)
+      SELECT *, NOT EXISTS (SELECT 1 FROM generate_series(1, 3) AS wanted(page) WHERE wanted.page <= town.nb_pages_avis AND NOT EXISTS
+        (SELECT 1 FROM read WHERE read.code_commune = town.code_commune AND read.page = wanted.page)) AS avis_complets FROM town""",
 )
 
 # Window-shaped
@@ -501,7 +516,14 @@ _add(
     lambda t: quality.key_uniqueness(t.raw("lineitem"), "lineitem", ["l_orderkey", "l_linenumber"]),
     _CHECK("key_unique", "lineitem", "l_orderkey,l_linenumber", "count(*)", 0, "count(*) = 0") + " FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)",
 )
-_add("dq_07_item_drift", lambda t: quality.item_drift(t("v_page").withColumn("cells", F.regexp_extract_all("html", F.lit("<td>"), 0)), "pages", "cells", 3), _CHECK("item_count", "pages", "cells", 0, 0, "true"))
+_add("dq_07_item_drift", lambda t: quality.item_drift(t("v_page").withColumn("cells", F.regexp_extract_all("html", F.lit("<td>"), 0)), "pages", "cells", 3), _CHECK("item_count", "pages", "cells", "count(*)", 0, "count(*) = 0") + " FROM v_page WHERE len(regexp_extract_all(html, '<td>')) <> 3")
+_add(
+    "dq_07_announced_but_absent",
+    lambda t: quality.announced_but_absent(
+        t("v_page").select(text.page_count(_C("html")).alias("pages"), F.when(_C("doc_id") % 6 == 0, F.array().cast("array<string>")).otherwise(F.regexp_extract_all("html", F.lit('class="moyenne"'), 0)).alias("items")), "pages", "pages", "items"
+    ),
+    _CHECK("items_announced", "pages", "items", "count(*)", 0, "count(*) = 0") + " FROM v_page WHERE doc_id % 6 = 0 AND doc_id % 4 > 0",
+)
 
 # Spatial
 _add("sp_01_point", lambda t: t("v_tx").select(spatial.point(_C("longitude"), _C("latitude")).alias("p")).select("p.longitude", F.col("p").isNull().alias("none")), "SELECT longitude, longitude IS NULL AS none FROM v_tx")
@@ -519,9 +541,30 @@ def _intake(t: Tables) -> DataFrame:
     for k in range(3):
         # three deliveries, in the order of their seq
         bounds = rows.where((F.col("seq") % 1000 >= 334 * k) & (F.col("seq") % 1000 < 334 * (k + 1)))
-        bounds.coalesce(1).write.mode("append").json(inbox)
+        bounds.write.mode("append").json(inbox)
         intake.ingest(t.spark, inbox, root, state)
     return intake.stored(t.spark, root).select("code_commune", "review_id")
 
 
+def _refresh(t: Tables) -> DataFrame:
+    inbox, root, state = t.path("inbox"), t.path("table"), t.path("state")
+    rows = t("v_review")
+    for lo, hi in ((0, 500), (500, 1000)):
+        # the second delivery brings reviews of some municipalities only
+        own = rows.where((F.col("seq") % 1000 >= lo) & (F.col("seq") % 1000 < hi) & (F.lit(lo == 0) | (F.col("code_commune") < "00010")))
+        own.write.mode("append").json(inbox)
+        intake.ingest(t.spark, inbox, root, state)
+    return intake.refreshed(t.spark, root, 1, t("v_city")).withColumn("word_cloud", _cloud_text())
+
+
+_DELIVERED = """SELECT *, row_number() OVER (PARTITION BY code_commune, review_id ORDER BY seq % 1000 >= 500, seq) AS turn
+  FROM v_review WHERE seq % 1000 < 500 OR code_commune < '00010'"""
+_add(
+    "st_01_refreshed_summaries",
+    _refresh,
+    f"""WITH seen AS (SELECT * FROM ({_DELIVERED}) WHERE turn = 1 OR review_id IS NULL), {_WORDCLOUD.replace(_FIRST_SEEN + ', ', '')},
+      fresh AS (SELECT DISTINCT code_commune FROM seen WHERE seq % 1000 >= 500), n AS (SELECT code_commune, count(*) AS n FROM seen GROUP BY 1)
+      SELECT c.code_commune, c.note_globale, CAST(coalesce(n.n, 0) AS INT) AS nb_avis, coalesce(w.nuage, '') AS word_cloud FROM v_city c
+      JOIN fresh ON fresh.code_commune = c.code_commune LEFT JOIN n ON n.code_commune = c.code_commune LEFT JOIN cloud w ON w.code_commune = c.code_commune""",
+)
 _add("st_01_incremental_reviews", _intake, f"WITH {_FIRST_SEEN} SELECT code_commune, review_id FROM seen")

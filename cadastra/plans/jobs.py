@@ -184,6 +184,23 @@ def borough_rows(fine: DataFrame, coarse: DataFrame, prefixes: tuple[str, ...] =
     )
 
 
+def located(df: DataFrame, shapes: DataFrame, key: str) -> DataFrame:
+    """``df`` with the promoted geometry of its code, null where there is none. ``shapes``: (code, geometry)."""
+    found = shapes.select(F.col("code").alias(key), spatial.promoted(F.col("geometry")).alias("geom"))
+    return df.join(found, key, "left")
+
+
+def geometry_load(existing: DataFrame, places: DataFrame, fine: DataFrame, coarse: DataFrame, prefixes: tuple[str, ...] = ("751", "6938", "132")) -> DataFrame:
+    """The table of municipalities after a load of geometry: found ones get shapes, boroughs become rows.
+
+    ``fine`` and ``coarse``: (code, nom, departement, region, geometry). Existing rows keep all but
+    their geometry; a coarse shape that is missing now keeps its former value.
+    """
+    own = attach_geometry(places, fine, coarse).select("code_commune", "nom", "code_departement", "code_region", "geom", "geom_simplified")
+    boroughs = borough_rows(fine, coarse, prefixes).join(own, "code_commune", "left_anti")
+    return keys.merge(existing, own.unionByName(boroughs), "code_commune", {"geom": "new", "geom_simplified": "coalesce"})
+
+
 def load_with_guard(df: DataFrame, reference: DataFrame, existing: DataFrame | None, key: list[str], order: str | None = None) -> DataFrame:
     """Rows with a known municipality, put into the existing table by key, or replacing it if that is None."""
     kept = keys.known(df, reference)

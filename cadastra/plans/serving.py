@@ -42,8 +42,10 @@ def search(communes: DataFrame, departements: DataFrame, regions: DataFrame, que
         raise ValueError("the query is empty")
     checked(limit, 100)
     hits = communes.where(text.contains_ignoring_case(F.col("nom"), query)).withColumn("score", text.similarity(F.col("nom"), F.lit(query)))
-    best = hits.orderBy(F.col("score").desc(), F.col("population").desc_nulls_last(), "code_commune").limit(limit)
-    return _star(best, departements, regions).select("code_commune", "nom", "code_postal", "nom_departement", "nom_region", "score")
+    relevance = [F.col("score").desc(), F.col("population").desc_nulls_last(), F.col("code_commune")]
+    # the joins may shuffle, so the few rows are put in order again behind them
+    found = _star(hits.orderBy(*relevance).limit(limit), departements, regions).orderBy(*relevance)
+    return found.select("code_commune", "nom", "code_postal", "nom_departement", "nom_region", "score")
 
 
 def detail(communes: DataFrame, departements: DataFrame, regions: DataFrame, codes: Codes) -> DataFrame:

@@ -27,8 +27,8 @@ def table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> No
     """Parquet, overwritten as a whole; with partitions, only those that the rows touch."""
     writer = df.write.mode("overwrite")
     if partition_by:
-        # a task per partition value and file, not a file from every task in every folder
-        writer = df.repartition(*partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+        # rows of a partition value come together, and adaptive execution splits a value with many rows over tasks
+        writer = df.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     writer.parquet(path)
 
 

@@ -44,3 +44,14 @@ def stored(spark: SparkSession, root: str, below: int | None = None) -> DataFram
 def touched(spark: SparkSession, root: str, batch: int) -> DataFrame:
     """Municipalities that a batch brought reviews of; only their summaries need refreshing."""
     return spark.read.schema(schemas.REVIEW).parquet(_version(root, batch)).select("code_commune").distinct()
+
+
+def refreshed(spark: SparkSession, root: str, batch: int, cities: DataFrame) -> DataFrame:
+    """The served summaries of the municipalities that a batch touched, from all of their stored reviews.
+
+    The semi-join leaves only the touched municipalities' reviews before any aggregate.
+    """
+    codes = touched(spark, root, batch)
+    rows = stored(spark, root).join(codes, "code_commune", "left_semi")
+    own = cities.join(codes, "code_commune", "left_semi")
+    return reviews.summary(reviews.counted(own, rows).join(reviews.word_cloud(rows), "code_commune", "left"))
