@@ -91,7 +91,8 @@ def features(spark: SparkSession, paths: str | list[str], by_line: bool = True)
     """
     if by_line:
         return spark.read.schema(_FEATURE).json(paths).select("properties", "geometry")
-    whole = spark.read.schema(f"type string, features array<struct<{_FEATURE.replace(' string', ': string').replace('properties map', 'properties: map')}>>")
+    one = ", ".join(": ".join(f.split(" ", 1)) for f in _FEATURE.split(", "))
+    whole = spark.read.schema(f"type string, features array<struct<{one}>>")
     return whole.option("multiLine", True).json(paths).select(F.explode("features").alias("f")).select("f.properties", "f.geometry")
 
 
