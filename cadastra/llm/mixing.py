@@ -23,8 +23,8 @@ SHARDS = 16
 #: Bits of the hash that number a source's blocks on each level: 1024 blocks, three levels.
 DIGIT = 10
 LEVELS = 3
-#: Rows up to which the table of blocks is broadcast; beyond, it joins by a shuffle.
-BROADCAST_ROWS = 200_000
+#: Bytes up to which a table of sources or blocks is broadcast; beyond, it joins by a shuffle.
+BROADCAST_BYTES = 32 << 20
 
 
 def n_words(text: Column) -> Column:
@@ -77,6 +77,17 @@ def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
     return out
 
 
+def _sent(df: DataFrame, most: int | None = None) -> DataFrame:
+    """``df`` marked for a broadcast if its rows, as text, have at most ``most`` bytes."""
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(df) if size <= (BROADCAST_BYTES if most is None else most) else df
+
+
+def _order(docs: DataFrame, seed: int) -> Column:
+    """The hash that orders a source's documents: of the id, or of the text of a row without one."""
+    return F.when(F.col("doc_id").isNull(), F.xxhash64("text", F.lit(seed))).otherwise(F.xxhash64("doc_id", F.lit(seed)))
+
+
 def _digit(order: Column, level: int) -> Column:
     return F.shiftrightunsigned(order, 64 - DIGIT * (level + 1)).bitwiseAND(F.lit((1 << DIGIT) - 1)).cast("int")
 
@@ -91,7 +102,7 @@ def _boundaries(rows: DataFrame, plan: DataFrame) -> DataFrame:
     path: list[str] = []
     state = plan.select("key", F.col("part").alias("gap"))
     for level in range(LEVELS):
-        inside = rows if not path else rows.join(F.broadcast(state.select("key", *path)), ["key", *path], "left_semi")
+        inside = rows if not path else rows.join(_sent(state.select("key", *path)), ["key", *path], "left_semi")
         cells = inside.groupBy("key", *path, f"d{level}").agg(F.sum("size").alias("words"))
         upto = Window.partitionBy("key").orderBy(f"d{level}").rowsBetween(Window.unboundedPreceding, 0)
         crossing = (
@@ -134,7 +145,7 @@ def _fill(rows: DataFrame, edge: DataFrame) -> tuple[DataFrame, DataFrame]:
     starts = dict(state)
     while state := {k: at for k, at in state.items() if gaps[k] >= 1}:
         now = spark.createDataFrame([(k, at, float(gaps[k])) for k, at in state.items()], "key string, at bigint, part double")
-        behind = rows.join(F.broadcast(now), "key").where("place > at and size > 0 and size <= part").drop("at", "part")
+        behind = rows.join(_sent(now), "key").where("place > at and size > 0 and size <= part").drop("at", "part")
         words = {r["key"]: r["words"] for r in behind.groupBy("key").agg(F.sum("size").alias("words")).collect()}
         over = {k for k, n in words.items() if n > gaps[k]}
         crossed = _boundaries(behind, now.where(F.col("key").isin(list(over)))).collect() if over else []
@@ -158,11 +169,11 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 17, weights: tuple[in
     It holds size, source_size, target, and shards: the output shard of each copy that the mix takes,
     an empty list for none. A document is taken at most ``limit`` times; each source's taken words
     come within a few words of its target where its documents allow it. Sizes count words; a null text has none. A null source is a source. Ties
-    in the hash (repeated ids) are taken together. Equal input gives equal output at any partitioning.
+    in the hash (repeated ids; equal texts without an id) are taken together. Columns may have any names. Equal input gives equal output at any partitioning.
     Rows stay where they are: only sums by source and block are shuffled.
     """
     name = unused("mix", docs)
-    order = F.xxhash64(F.col("doc_id"), F.lit(seed))
+    order = _order(docs, seed)
     key = F.concat(F.when(F.col("source").isNull(), "n").otherwise("s"), F.coalesce(F.col("source").cast("string"), F.lit("")))
     digits = [f"d{k}" for k in range(LEVELS)]
     parts = [_digit(order, k).alias(d) for k, d in enumerate(digits)]
@@ -180,7 +191,7 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 17, weights: tuple[in
     # last, the document whose size is closest to the gap, if taking it brings the sum nearer to the target
     off = F.abs(F.col("size") - F.col("gap"))
     extra = (
-        rows.join(F.broadcast(runs.join(gap, "key")), "key")
+        rows.join(_sent(runs.join(gap, "key")), "key")
         .where((F.col("place") >= F.col("runs")[0]["after"]) & ~_in_runs("runs", F.col("place"), F.col("size")))
         .where((F.col("size") > 0) & (off < F.col("gap")))
         .groupBy("key")
@@ -188,24 +199,26 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 17, weights: tuple[in
     )
     sources = cut(plan.join(edge.drop("gap"), "key", "left").join(runs, "key", "left").join(extra, "key", "left"))
     blocks = _blocks(rows, sources, shards, seed)
-    used = blocks.select("key", "block", F.struct("source_size", "target", "passes", *digits, "runs", "extra", "homes").alias("b"))
-    if blocks.count() <= BROADCAST_ROWS:
-        used = F.broadcast(used)
-    keyed = docs.withColumns({"_key": key, "_order": order, "_size": n_words(F.col("text"))})
-    joined = keyed.join(used, (F.col("_key") == F.col("key")) & (_digit(F.col("_order"), 0) == F.col("block")))
-    here = F.struct(*[_digit(F.col("_order"), k).alias(d) for k, d in enumerate(digits)])
+    found = F.struct("source_size", "target", "passes", *digits, "runs", "extra", "homes").alias("b")
+    used = _sent(blocks.select("key", "block", found))
+    # the documents travel as one column, so their names cannot clash with the ones used here
+    whole = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), key.alias("key"), order.alias("order"), n_words(F.col("text")).alias("size")
+    )
+    joined = whole.withColumn("block", _digit(F.col("order"), 0)).join(used, ["key", "block"])
+    here = F.struct(*[_digit(F.col("order"), k).alias(d) for k, d in enumerate(digits)])
     cross = F.struct(*[F.col("b")[d].alias(d) for d in digits])
     part_taken = F.when(F.col("b.d0").isNull(), F.lit(False)).otherwise(here < cross)
-    filled = F.coalesce(_in_runs("b.runs", _place(F.col("_order")), F.col("_size")), F.lit(False))
-    topped = filled | F.coalesce(F.col("b.extra") == F.col("_order"), F.lit(False))
+    filled = F.coalesce(_in_runs("b.runs", _place(F.col("order")), F.col("size")), F.lit(False))
+    topped = filled | F.coalesce(F.col("b.extra") == F.col("order"), F.lit(False))
     copies = F.col("b.passes") + (part_taken | topped).cast("int")
     result = F.struct(
-        F.col("_size").alias("size"),
+        "size",
         F.col("b.source_size").alias("source_size"),
         F.col("b.target").alias("target"),
         F.slice(F.col("b.homes"), 1, copies).alias("shards"),
     )
-    return joined.select(*[F.col(c) for c in docs.columns], result.alias(name))
+    return joined.select("doc", result.alias("result")).select("doc.*", F.col("result").alias(name))
 
 
 def _blocks(rows: DataFrame, sources: DataFrame, shards: int, seed: int) -> DataFrame:

@@ -256,6 +256,62 @@ def test_mix_closes_the_gap_that_a_huge_document_leaves(spark):
     assert all(abs(taken[s] - target[s]) <= 2 for s in target)
 
 
+def test_mix_keeps_columns_of_any_name(spark):
+    names = "doc_id long, source string, text string, key string, block int, b int, _key int, doc string, size int, order int, mix int"
+    rows = [(i if i % 9 else None, f"s{i % 3}", "a b c " * (i % 7), "k", 1, 2, 77, "d", 5, 6, 7) for i in range(120)]
+    docs = spark.createDataFrame(rows, names)
+    out = mixing.mix(docs)
+    assert out.columns == [*docs.columns, "mix_"]
+    got = out.drop("mix_").collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, docs.collect()))
+    # rows without an id are not all taken or all left
+    assert len({len(r.mix_.shards) for r in out.where("doc_id is null and source = 's0'").collect()}) > 1
+
+
+def test_mix_without_broadcasts(spark, monkeypatch):
+    rng = random.Random(5)
+    docs = corpus(spark, [(i, words(rng, rng.randint(0, 60))) for i in range(200)]).drop("mix")
+    whole = sorted(map(repr, mixing.mix(docs).select("doc_id", "mix.*").collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_BYTES", -1)
+    assert sorted(map(repr, mixing.mix(docs).select("doc_id", "mix.*").collect())) == whole
+
+
+def test_evidence_of_passages():
+    model = toxicity._model() | {"decay": 1.0, "log_k": 0.0}
+    one = toxicity.evidence([12.0], 99, model)
+    assert one == pytest.approx(-np.log(-np.expm1(-np.exp(-(12.0 - np.log(100))))))
+    assert toxicity.evidence([12.0, 11.0], 99, model) > one == toxicity.evidence([12.0, 0.1], 99, model)
+    assert toxicity.evidence([], 99, model) == 0 and toxicity.evidence([12.0], 9999, model) < one
+
+
+def test_significant_tokens_match_brute_force(spark):
+    rng = random.Random(3)
+    stats = [(t, f, rng.choice([0, 0, 9, 30]), rng.choice([0, 5, 40]), rng.randint(0, 90)) for t in range(1, 40) for f in range(4)]
+    rows = [(t, f, a * toxicity._VOTE, c * toxicity._VOTE, u * toxicity._VOTE) for t, f, a, c, u in stats]
+    models = toxicity.significant(spark.createDataFrame(rows, "token long, fold int, toxic long, clean long, clean_uses long"))
+    from statistics import NormalDist
+
+    limit = NormalDist().inv_cdf(1 - toxicity.FALSE_TOKENS / (2 * 39 + 2))
+    for k, model in enumerate(models):
+        t, c = collections.Counter(), collections.Counter()
+        for x, f, a, b, _ in stats:
+            t[x] += a * (f != k)
+            c[x] += b * (f != k)
+        n1, n0 = sum(t.values()), sum(c.values())
+        want = {}
+        for x in range(1, 40):
+            if not t[x] + c[x]:
+                continue
+            e = (t[x] + c[x]) * n1 / (n1 + n0)
+            g = 2 * sum(o * np.log(o / w) for o, w in ((t[x], e), (c[x], t[x] + c[x] - e)) if o)
+            p = toxicity.FLOOR + toxicity.PRIOR * (t[x] + c[x]) / (n1 + n0)
+            m1, m0 = (n + toxicity.FLOOR * 39 + toxicity.PRIOR for n in (n1, n0))
+            if np.sqrt(max(g, 0)) >= limit:
+                want[x] = np.log((t[x] + p) / (m1 - t[x] - p)) - np.log((c[x] + p) / (m0 - c[x] - p))
+        assert model["tokens"].tolist() == sorted(want)
+        assert model["scores"].tolist() == pytest.approx([want[x] for x in sorted(want)])
+
+
 def test_shard_quotas_are_exact():
     quotas = np.array([1000, 0, 7, 333])
     dealt = mixing.split_quotas(quotas, 16, 1)
