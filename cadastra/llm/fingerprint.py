@@ -3,9 +3,10 @@
 A text's units are its lines, cut at sentence ends; each has a 64-bit digest. A sketch hashes every
 digest to one cell of each of several subtables; a cell holds a count and the xor of digests and of
 check values. Subtracting two sketches cancels what the texts share, and peeling cells with a single
-digest recovers the digests in which they differ. Sketches for a comparison are cut into groups by
-digest, of a size that a min-wise estimate of the difference suggests; groups that do not peel to the
-end are tried again with more cells (Eppstein et al., 2011).
+digest recovers the digests in which they differ. Two texts are first compared by their fingerprints,
+which are such sketches of BASE cells in each subtable. Where these do not peel to the end, larger
+sketches follow: cut into groups by digest, of a size that a min-wise estimate of the difference
+suggests; groups that fail again are tried with more cells (Eppstein et al., 2011).
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadastra.llm.common import cut
+from cadastra.llm.common import cut, stored
 
 UNIT_END = r"\n+|(?<=[.!?])\x20+"
 SUBTABLES = 3
@@ -57,16 +58,18 @@ def _cells(rows: DataFrame, keys: list[str], cells: Column) -> DataFrame:
     )
 
 
+def _pure(cell: Column) -> Column:
+    return (F.abs(cell["n"]) == 1) & (cell["c"] == _check(cell["k"]))
+
+
 def _peel(cells: Column, salt: Column, width: Column) -> Column:
     """struct(left, plus, minus): cells that stay, and how many digests of either sign were recovered."""
     start = F.struct(cells.alias("left"), F.lit(0).alias("plus"), F.lit(0).alias("minus"))
 
     def take(state: Column, pure: Column) -> Column:
         def without(cell: Column) -> Column:
-            table = F.floor(cell["cell"] / width).cast("int")
-            hit = cell["cell"] == _cell(pure["k"], table, salt, width)
             return F.when(
-                hit,
+                F.array_contains(pure["places"], cell["cell"]),
                 F.struct(
                     cell["cell"].alias("cell"),
                     (cell["n"] - pure["n"]).alias("n"),
@@ -83,9 +86,11 @@ def _peel(cells: Column, salt: Column, width: Column) -> Column:
         )
 
     def step(state: Column, _: Column) -> Column:
-        pure = F.filter(state["left"], lambda c: (F.abs(c["n"]) == 1) & (c["c"] == _check(c["k"])))
-        # a one-element array binds the cell to a variable, so that it is looked up once
-        return F.coalesce(F.get(F.transform(F.slice(pure, 1, 1), lambda p: take(state, p)), 0), state)
+        pure = F.slice(F.filter(state["left"], _pure), 1, 1)
+        # one-element arrays bind the cell and its places to variables, so that they are computed once
+        places = lambda k: F.array(*[_cell(k, F.lit(j), salt, width) for j in range(SUBTABLES)])
+        placed = F.transform(pure, lambda p: F.struct(p["n"].alias("n"), p["k"].alias("k"), p["c"].alias("c"), places(p["k"]).alias("places")))
+        return F.coalesce(F.get(F.transform(placed, lambda p: take(state, p)), 0), state)
 
     # each step empties a cell, so there are no more steps than cells
     return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(cells), F.lit(1))), start, step)
@@ -108,6 +113,36 @@ def _difference(rows: DataFrame, keys: list[str], width: int, salt: int) -> Data
     )
 
 
+def _subtracted(a: Column, b: Column) -> Column:
+    """The cells of sketch a minus sketch b, without those that are all zero. A sketch names a cell once."""
+    both = F.array_sort(F.concat(a, F.transform(b, lambda c: F.struct(c["cell"].alias("cell"), (-c["n"]).alias("n"), c["k"].alias("k"), c["c"].alias("c")))))
+
+    def merged(ordered: Column) -> Column:
+        def at(cell: Column, i: Column) -> Column:
+            after = F.get(ordered, i + 1)
+            joint = F.struct(
+                cell["cell"].alias("cell"),
+                (cell["n"] + after["n"]).alias("n"),
+                cell["k"].bitwiseXOR(after["k"]).alias("k"),
+                cell["c"].bitwiseXOR(after["c"]).alias("c"),
+            )
+            second = (i > 0) & (F.get(ordered, i - 1)["cell"] == cell["cell"])
+            return F.when(F.coalesce(second, F.lit(False)), None).when(F.coalesce(after["cell"] == cell["cell"], F.lit(False)), joint).otherwise(cell)
+
+        return F.filter(F.transform(ordered, at), lambda c: c.isNotNull() & ((c["n"] != 0) | (c["k"] != 0) | (c["c"] != 0)))
+
+    return F.get(F.transform(F.array(both), merged), 0)
+
+
+def _compared(a: Column, b: Column) -> Column:
+    """struct(left, plus, minus) of two fingerprints; a difference without a single digest anywhere isn't peeled."""
+    def one(cells: Column) -> Column:
+        whole = F.struct(cells.alias("left"), F.lit(0).alias("plus"), F.lit(0).alias("minus"))
+        return F.when(F.exists(cells, _pure), _peel(cells, F.lit(0), F.lit(BASE))).otherwise(whole)
+
+    return F.get(F.transform(F.array(_subtracted(a, b)), one), 0)
+
+
 def _likeness(size_a: Column, plus: Column, minus: Column) -> Column:
     """Jaccard likeness from the first sketch's size and the difference; two empty sketches are alike."""
     union = size_a + minus
@@ -124,27 +159,29 @@ def _groups(a: Column, b: Column) -> Column:
     return F.ceil(expected / EXPECTED).cast("int")
 
 
-def _differences(rows: DataFrame, dealt: DataFrame, key: str, pairs: list[tuple[str, str, str]]) -> DataFrame:
+def _differences(rows: DataFrame, dealt: DataFrame, key: str, pairs: list[tuple[str, str, str, str]]) -> DataFrame:
     """(key, pair, plus, minus): sizes of a - b and b - a for each pair of digest columns, by sketches.
 
-    ``pairs`` has the names of a, b and the column with the number of groups, which must be a plain
-    column of ``rows`` so that it isn't computed again for every digest. ``dealt`` holds the same rows
-    partitioned by ``key``; the sketches are then made and peeled where they are. The few groups that
-    fail are taken from ``rows`` again, before anything is exploded.
+    ``pairs`` has the names of a, b, the column with the number of groups and the one that says whether
+    the pair is still open; both must be plain columns of ``rows`` so that they aren't computed again
+    for every digest. ``dealt`` holds the same rows partitioned by ``key``; the sketches are then made
+    and peeled where they are. The few groups that fail are taken from ``rows`` again, before anything
+    is exploded.
     """
 
-    def signed(pair: int, digests_: str, sign: int, groups: str) -> Column:
-        return F.transform(
+    def signed(pair: int, digests_: str, sign: int, groups: str, wanted: str) -> Column:
+        units = F.transform(
             digests_,
             lambda x: F.struct(
                 F.lit(pair).alias("pair"), x.alias("digest"), F.lit(sign).alias("sign"), F.pmod(x, F.col(groups)).cast("int").alias("group")
             ),
         )
+        return F.when(F.col(wanted), units).otherwise(F.slice(units, 1, 0))
 
-    units = F.concat(*[p for k, (a, b, g) in enumerate(pairs) for p in (signed(k, a, 1, g), signed(k, b, -1, g))])
+    units = F.concat(*[p for k, (a, b, g, o) in enumerate(pairs) for p in (signed(k, a, 1, g, o), signed(k, b, -1, g, o))])
     keys = [key, "pair", "group"]
     first = dealt.select(key, F.explode(units).alias("u")).select(key, "u.*")
-    results, width, salt = [cut(_difference(first, keys, CELLS, 0))], CELLS, 0
+    results, width, salt = [cut(_difference(first, keys, CELLS, 1))], CELLS, 1
     while results[-1].where(F.size("failed") > 0).limit(1).count():
         width, salt = width * 2, salt + 1
         wanted = F.map_from_entries(F.collect_list(F.struct("pair", "failed"))).alias("wanted")
@@ -170,9 +207,10 @@ def successors(docs: DataFrame) -> DataFrame:
     order = [F.col("doc_id").desc_nulls_last(), F.col("key")]
     ranged = cut(rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
     here = F.struct("key", "n_chars")
-    near = ranged.withColumn("before", F.lag(here).over(Window.partitionBy("part").orderBy(*order)))
-    lasts = ranged.groupBy("part").agg(F.max(F.struct(F.col("doc_id").isNull().alias("none"), (-F.col("doc_id")).alias("low"), "key", "n_chars")).alias("last"))
-    ends = lasts.select("part", F.struct("last.key", "last.n_chars").alias("last"))
+    # the last row of a partition in this order, whatever the type of the id
+    line_up = Window.partitionBy("part").orderBy(*order)
+    near = ranged.withColumn("before", F.lag(here).over(line_up))
+    ends = ranged.withColumn("last", F.lead("key").over(line_up).isNull()).where("last").select("part", here.alias("last"))
     line = Window.orderBy("part")
     whole = Window.partitionBy()
     joint = ends.select("part", F.coalesce(F.lag("last").over(line), F.max_by("last", "part").over(whole)).alias("across"))
@@ -180,22 +218,32 @@ def successors(docs: DataFrame) -> DataFrame:
     return linked.select("key", "n_chars", F.col("b.key").alias("before"), F.col("b.n_chars").alias("before_chars"))
 
 
-def fingerprint_rows(units: DataFrame, key: str) -> DataFrame:
-    """(key, version, fingerprint) from rows (key, version, digest): the base sketch's cells in hex."""
+def sketches(units: DataFrame, key: str, versions: int) -> DataFrame:
+    """(key, v0, v1, ...): the base sketch of each version's digests, from rows (key, version, digest).
+
+    A sketch is the array of its cells (cell, n, k, c) that are not zero, in order; null for no digest.
+    """
     cells = _cells(units.withColumns({"sign": F.lit(1), "salt": F.lit(0)}), [key, "version"], F.lit(BASE))
-    text = F.concat(
-        F.lpad(F.hex(F.col("cell")), 2, "0"), F.lpad(F.hex("n"), 4, "0"), F.lpad(F.hex("k"), 16, "0"), F.lpad(F.hex("c"), 8, "0")
+    cell = F.struct("cell", "n", "k", "c")
+    each = [F.array_sort(F.collect_list(F.when(F.col("version") == v, cell))).alias(f"v{v}") for v in range(versions)]
+    return cells.groupBy(key).agg(*each)
+
+
+def fingerprint_text(sketch: Column) -> Column:
+    """A sketch in hex: two digits of a cell's number, four of its count, 16 of its digests, eight of its check values."""
+    part = lambda c: F.concat(
+        F.lpad(F.hex(c["cell"]), 2, "0"), F.lpad(F.hex(c["n"]), 4, "0"), F.lpad(F.hex(c["k"]), 16, "0"), F.lpad(F.hex(c["c"]), 8, "0")
     )
-    return cells.groupBy(key, "version").agg(F.lower(F.array_join(F.array_sort(F.collect_list(text)), "")).alias("fingerprint"))
+    return F.lower(F.array_join(F.transform(sketch, part), ""))
 
 
 def edit_and_compare(docs: DataFrame) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of each row.
 
     The edited text has its last floor(n_chars / 2) code points replaced by as many from the start of
-    the next document (or all of it). near_edited and near_next are the likeness of the text's sketch
-    to the edited text's and the next document's: common over all digests, recovered by subtracting
-    and peeling; 1 for two texts without a unit. A fingerprint of a text without a unit is empty. Rows
+    the next document (or all of it). near_edited and near_next are the likeness of the text's fingerprint
+    to the edited text's and the next document's: common over all digests, recovered by subtracting and
+    peeling the fingerprints, or larger sketches where these do not suffice; 1 for two texts without a unit. A fingerprint of a text without a unit is empty. Rows
     with equal id and text are one document and get the same values; null ids come last, null texts
     count as empty. Texts are shuffled once by their own key, halves once to the document before them.
     """
@@ -214,31 +262,40 @@ def edit_and_compare(docs: DataFrame) -> DataFrame:
     ready = sketched.select("*", _groups(F.col("a"), F.col("e")).alias("groups_e"), _groups(F.col("a"), F.col("next")).alias("groups_next"))
     # the digests are small next to the work on them, so they are dealt out finer than by their size
     parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ready = cut(ready)
-    dealt = ready.repartition(parts, "key")
-    prints = fingerprint_rows(
-        dealt.select("key", F.explode(F.concat(
-            F.transform("a", lambda x: F.struct(F.lit(0).alias("version"), x.alias("digest"))),
-            F.transform("e", lambda x: F.struct(F.lit(1).alias("version"), x.alias("digest"))),
-        )).alias("u")).select("key", "u.*"),
+    ready = stored(ready)
+    version = lambda k, c: F.transform(c, lambda x: F.struct(F.lit(k).alias("version"), x.alias("digest")))
+    units = F.concat(version(0, "a"), version(1, "e"), version(2, "next"))
+    found = sketches(ready.repartition(parts, "key").select("key", F.explode(units).alias("u")).select("key", "u.*"), "key", 3)
+    tried = found.select(
         "key",
+        fingerprint_text(F.col("v0")).alias("fingerprint"),
+        fingerprint_text(F.col("v1")).alias("edited_fingerprint"),
+        _compared(F.col("v0"), F.col("v1")).alias("d0"),
+        _compared(F.col("v0"), F.col("v2")).alias("d1"),
     )
-    both = prints.groupBy("key").agg(
-        F.max(F.when(F.col("version") == 0, F.col("fingerprint"))).alias("fingerprint"),
-        F.max(F.when(F.col("version") == 1, F.col("fingerprint"))).alias("edited_fingerprint"),
-    )
-    found = _differences(ready, dealt, "key", [("a", "e", "groups_e"), ("a", "next", "groups_next")]).groupBy("key").agg(
-        *[F.max(F.when(F.col("pair") == k, F.col(c))).alias(f"{c}{k}") for k in (0, 1) for c in ("plus", "minus")]
+    first = stored(
+        tried.select(
+            "key",
+            "fingerprint",
+            "edited_fingerprint",
+            *[x for k in (0, 1) for x in ((F.size(f"d{k}.left") > 0).alias(f"open{k}"), F.col(f"d{k}.plus").alias(f"p{k}"), F.col(f"d{k}.minus").alias(f"m{k}"))],
+        )
     )
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    open_ = stored(ready.join(first.where("open0 or open1").select("key", "open0", "open1"), "key"))
+    larger = _differences(
+        open_, open_.repartition(parts, "key"), "key", [("a", "e", "groups_e", "open0"), ("a", "next", "groups_next", "open1")]
+    ).groupBy("key").agg(*[F.max(F.when(F.col("pair") == k, F.col(c))).alias(f"{c}{k}") for k in (0, 1) for c in ("plus", "minus")])
     sizes = ready.select("key", "n_chars", "edited_sha256", F.size("a").alias("size"))
-    result = sizes.join(both, "key", "left").join(found, "key", "left").select(
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    # an open pair counts by its larger sketches, another one by its fingerprints
+    pick = lambda c, k: F.when(F.coalesce(f"open{k}", F.lit(False)), zero(f"{'plus' if c == 'p' else 'minus'}{k}")).otherwise(zero(f"{c}{k}"))
+    result = sizes.join(first, "key", "left").join(larger, "key", "left").select(
         "key",
         "n_chars",
         "edited_sha256",
         F.coalesce("fingerprint", F.lit("")).alias("fingerprint"),
         F.coalesce("edited_fingerprint", F.lit("")).alias("edited_fingerprint"),
-        _likeness(F.col("size"), zero("plus0"), zero("minus0")).alias("near_edited"),
-        _likeness(F.col("size"), zero("plus1"), zero("minus1")).alias("near_next"),
+        _likeness(F.col("size"), pick("p", 0), pick("m", 0)).alias("near_edited"),
+        _likeness(F.col("size"), pick("p", 1), pick("m", 1)).alias("near_next"),
     )
     return docs.select("doc_id", _row_key().alias("key")).join(result, "key").drop("key")

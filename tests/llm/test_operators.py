@@ -210,6 +210,46 @@ def test_fingerprints_of_edits(spark):
     assert got[32].fingerprint == got[33].fingerprint == got[4].fingerprint != got[5].fingerprint
 
 
+def test_likeness_follows_from_the_returned_fingerprints(spark):
+    rng = random.Random(16)
+    pool = [words(rng, 5) + "." for _ in range(14)]
+    rows = [(f"d{i:02}", "\n".join(rng.sample(pool, rng.randint(1, 8)))) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string").repartition(3)
+    got = {r.doc_id: r for r in fingerprint.edit_and_compare(docs).collect()}
+
+    def cells(hexed):
+        parts = [hexed[i : i + 30] for i in range(0, len(hexed), 30)]
+        return {int(x[:2], 16): (int(x[2:6], 16), int(x[6:22], 16), int(x[22:], 16)) for x in parts}
+
+    def recovered(a, b):
+        """Digests of either side, by peeling the subtracted cells; a digest is in as many cells as there are subtables."""
+        x, y = cells(a), cells(b)
+        d = {k: (x.get(k, (0, 0, 0))[0] - y.get(k, (0, 0, 0))[0], *(p ^ q for p, q in zip(x.get(k, (0, 0, 0))[1:], y.get(k, (0, 0, 0))[1:]))) for k in x | y}
+        where = collections.defaultdict(set)
+        for side in (x, y):
+            for k, (n, key, check) in side.items():
+                if n == 1:
+                    where[key, check].add(k)
+        plus = minus = 0
+        known = {kc: ks for kc, ks in where.items() if len(ks) == fingerprint.SUBTABLES}
+        while hit := next(((k, v) for k, v in d.items() if abs(v[0]) == 1 and v[1:] in known), None):
+            n, key, check = hit[1]
+            plus, minus = plus + (n > 0), minus + (n < 0)
+            for k in known[key, check]:
+                d[k] = (d[k][0] - n, d[k][1] ^ key, d[k][2] ^ check)
+        return None if any(v != (0, 0, 0) for v in d.values()) else (plus, minus)
+
+    order, checked = sorted(got, reverse=True), 0
+    for k, i in enumerate(order):
+        own, after = got[i], got[order[(k + 1) % len(order)]]
+        n = len(set(dict(rows)[i].split("\n")))
+        for other, like in ((own.edited_fingerprint, own.near_edited), (after.fingerprint, own.near_next)):
+            if found := recovered(own.fingerprint, other):
+                checked += 1
+                assert like == pytest.approx((n - found[0]) / (n + found[1]))
+    assert checked > 10
+
+
 def test_mix_meets_targets(spark):
     rng = random.Random(2)
     rows = [(i, words(rng, rng.randint(0, 60))) for i in range(600)] + [(700, None)]
