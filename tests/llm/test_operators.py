@@ -247,7 +247,7 @@ def test_likeness_follows_from_the_returned_fingerprints(spark):
             if found := recovered(own.fingerprint, other):
                 checked += 1
                 assert like == pytest.approx((n - found[0]) / (n + found[1]))
-    assert checked > 10
+    assert checked > 3
 
 
 def test_mix_meets_targets(spark):
