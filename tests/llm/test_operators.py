@@ -457,13 +457,65 @@ def test_main_text(spark):
 
 def test_tree_matching():
     a = html.parse("<div><p>a</p><p>b</p><ul><li>c</ul></div>")
-    b = html.parse("<div><p>a</p><ul><li>c</ul></div>")
-    same = []
-    html.match(a, b, same)
-    assert [x.label for x, _ in same if x.tag == "p"] == ["p."]
+    b = html.parse("<div><p>b</p><ul><li>c</ul></div>")
+    same = html.match(a, b)
+    # of two paragraphs the one with equal text is the partner
+    assert [html._text(x.children[0]) for x, _ in same if x.tag == "p"] == ["b"]
     assert html.induce(["<p>a</p>", "<p>a</p>"]) == []
 
 
+def test_alignment_matches_brute_force(monkeypatch):
+    rng = np.random.default_rng(6)
+    monkeypatch.setattr(html, "TABLE", 12)
+    for _ in range(150):
+        table = rng.integers(0, 4, (rng.integers(0, 9), rng.integers(0, 9)))
+        n, m = table.shape
+        best = np.zeros((n + 1, m + 1), dtype=int)
+        for i in range(n):
+            for j in range(m):
+                best[i + 1, j + 1] = max(best[i, j + 1], best[i + 1, j], best[i, j] + table[i, j])
+        pairs = html.align(lambda i, t=table: t[i], n, m)
+        assert sum(table[i, j] for i, j in pairs) == best[n, m]
+        assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(pairs, pairs[1:]))
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<article class="post has-sidebar"><p>a</p></article>', "a"),
+        ('<article><p id="alert-2">a</p><div class="share-price-story">b</div></article>', "a\n\nb"),
+        ("<article><p>a <math><mi>x</mi></math> b</p></article>", "a x b"),
+        ("<article><p>a <svg><path> b</p><p>c</p></article>", "a\n\nc"),
+        ("<main><article><p>a</p></article><article><p>b</p></article></main>", "a\n\nb"),
+        ("<h1>t</h1><main><p>a</p></main>", "t\n\na"),
+        ('<form id="page"><h1>t</h1><p>a</p></form><form><p>mail</p></form>', "t\n\na"),
+        ('<div class="site-footer">f</div><div class="cookie-notice">n</div><section class="comments"><article>c</article></section><p>a</p>', "a"),
+        ("<p>1 < 2 <!-- c --><script>'</p>'</script>&amp;<unknown>x</unknown>", "1 < 2 &x"),
+        ('<p title="open>a</p><p>b</p>', "a\n\nb"),
+        ("", ""),
+    ],
+)
+def test_awkward_pages(page, text):
+    assert html.extract(page) == text
+
+
+def test_deep_long_and_broken_pages(spark):
+    deep = lambda x: "<div>" * 20_000 + f"<p>{x}</p>" + "</div>" * 20_000
+    rows = [(k, "http://d.example/", deep(f"deep {k}")) for k in range(3)]
+    rows += [(10, "http://e.example/", '<a "' * 50_000 + "x"), (11, "http://e.example/", "<p>" + "word " * 2_000_000), (12, "http://e.example/", "</div></p>" * 50_000 + "<p>y")]
+    got = {r.page_id: r.text for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[k] for k in range(3)] == ["deep 0", "deep 1", "deep 2"]
+    assert (got[10], len(got[11]), got[12]) == ("", 9_999_999, "y")
+    assert html.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_two_layouts_of_a_host():
+    one = [f"<article><p>text {k}</p><p>Same note.</p></article>" for k in range(3)]
+    two = [f"<main><section><p>other {k}</p></section></main>" for k in range(3)]
+    template = frozenset(html.induce(one + two))
+    assert [html.extract(x, template) for x in one + two] == ["text 0", "text 1", "text 2", "other 0", "other 1", "other 2"]
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None)]])
 def test_empty_tables(spark, rows):
     docs = corpus(spark, rows)
