@@ -138,18 +138,23 @@ def test_suffix_array():
 
 def test_line_runs(spark):
     rng = random.Random(4)
-    pool = [words(rng, 6) for _ in range(12)]
+    pool = [words(rng, 6) for _ in range(12)] + [words(rng, 30) for _ in range(4)] + [words(rng, 55) for _ in range(2)]
     rows = [(i, "\n".join(rng.choice(pool) if rng.random() < 0.9 else "" for _ in range(rng.randint(0, 25)))) for i in range(30)]
-    rows += [(50, None), (51, ""), (52, "\n\n"), (53, "one"), (54, rows[3][1])]
+    rows += [(50, None), (51, ""), (52, "\n\n"), (53, "one"), (54, rows[3][1]), (55, pool[-1]), (56, f"{pool[13]}\n{pool[14]}"), (57, f"x\n{pool[13]}\n{pool[14]}\ny")]
+    rows += [(60 + i, f"{words(rng, 9)}\n{pool[0]}\n{words(rng, 9)}") for i in range(5)]
     seen, gone = set(), collections.defaultdict(set)
     for i, t in sorted(rows):
         solid = [(k, x) for k, x in enumerate((t or "").split("\n")) if x.strip(" ")]
-        for s in range(len(solid) - 2):
-            body = tuple(x for _, x in solid[s : s + 3])
-            if body in seen:
-                gone[i] |= {k for k, _ in solid[s : s + 3]}
-            seen.add(body)
+        for s in range(len(solid)):
+            for size in (1, 2, 3):
+                body = tuple(x for _, x in solid[s : s + size])
+                if len(body) < size or size < 3 and sum(len(x.split()) for x in body) < 50:
+                    continue
+                if body in seen:
+                    gone[i] |= {k for k, _ in solid[s : s + size]}
+                seen.add(body)
     got = {r.doc_id: r.text for r in lines.deduplicate(corpus(spark, rows)).collect()}
+    assert gone[55] and gone[57] == {1, 2} and not gone[62]
     for i, t in rows:
         want = t if not gone[i] else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i])
         assert got[i] == want
