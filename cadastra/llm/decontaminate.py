@@ -1,9 +1,9 @@
 """Benchmark decontamination with suffix arrays over the training text.
 
 Every Arrow batch of documents is a shard: its words become ids, its suffixes are sorted by their
-first words into a suffix array, and every window of every benchmark item is binary-searched in it.
-The ranges found are all verbatim occurrences; occurrences that follow one another join to the
-longest matches. Suffixes that cannot start a window, because one of the words is in no benchmark
+first words into a suffix array, and every suffix of every benchmark item is binary-searched in it by
+its first WINDOW words. The ranges found are all verbatim occurrences; each is extended along its item
+to the longest match, given with its places in the document and in the item. Suffixes that cannot start a window, because one of the words is in no benchmark
 item, are left out before the sort, which loses nothing.
 """
 
@@ -31,6 +31,14 @@ RESULT = T.StructType(
         T.StructField("n_words", T.LongType()),
         T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
         T.StructField("items", T.ArrayType(T.StringType())),
+        T.StructField(
+            "matches",
+            T.ArrayType(
+                T.StructType(
+                    [T.StructField(n, T.LongType()) for n in ("start", "end")] + [T.StructField("item", T.StringType()), T.StructField("item_start", T.LongType())]
+                )
+            ),
+        ),
     ]
 )
 
@@ -51,7 +59,7 @@ def build_index(items: list[tuple[str, bytes | None]], window: int = WINDOW) ->
     """The distinct windows of the items in order, with the items that hold each."""
     texts = [(name, _WORD.findall((text or b"").lower())) for name, text in items]
     vocabulary = {w: i + 1 for i, w in enumerate(sorted({w for _, words in texts for w in words}))}
-    rows, owners = [], []
+    rows, owners, offsets = [], [], []
     for k, (_, words) in enumerate(texts):
         if not words:
             continue
@@ -60,11 +68,12 @@ def build_index(items: list[tuple[str, bytes | None]], window: int = WINDOW) ->
         own = np.lib.stride_tricks.sliding_window_view(ids, window)
         rows.append(own)
         owners += [k] * len(own)
+        offsets.append(np.arange(len(own)))
     if not rows:
         return {"empty": True, "vocabulary": {}}
     ids = np.concatenate(rows)
     _, first, inverse = np.unique(_keys(ids), return_index=True, return_inverse=True)
-    pairs = np.unique(np.stack([inverse.ravel(), np.array(owners)], axis=1), axis=0)
+    pairs, at = np.unique(np.stack([inverse.ravel(), np.array(owners)], axis=1), axis=0, return_index=True)
     ids = ids[first]
     lengths = (ids > 0).sum(axis=1)
     above = np.where(ids > 0, ids, np.uint32(0xFFFFFFFF))
@@ -76,6 +85,9 @@ def build_index(items: list[tuple[str, bytes | None]], window: int = WINDOW) ->
         "lengths": lengths,
         "owner_starts": np.searchsorted(pairs[:, 0], np.arange(len(ids) + 1)),
         "owners": pairs[:, 1],
+        # where a window comes first in its item
+        "offsets": np.concatenate(offsets)[at],
+        "item_ids": [np.array([vocabulary[w] for w in words], dtype=np.uint32) for _, words in texts],
         "names": np.array([name for name, _ in texts], dtype=object),
         "window": window,
     }
@@ -102,14 +114,41 @@ def _spread(counts: np.ndarray) -> np.ndarray:
     return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
-def search(texts: list[bytes | None], index: dict) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[list[str]]]:
-    """Per text: number of words, maximal covered word ranges, names of items found."""
+def _longest(ids: np.ndarray, found: list[tuple[int, int]], index: dict) -> list[tuple[int, int, str, int]]:
+    """Longest matches (start, end, item, item_start) of one text from its (start, window) occurrences.
+
+    An occurrence inside a match already found with the same item is part of it and isn't extended.
+    Words that an item repeats are matched where they come first in it.
+    """
+    out: list[tuple[int, int, str, int]] = []
+    reached: dict[int, int] = {}
+    for start, window in sorted(found):
+        size = int(index["lengths"][window])
+        for k in range(index["owner_starts"][window], index["owner_starts"][window + 1]):
+            owner, first = int(index["owners"][k]), int(index["offsets"][k])
+            if start + size <= reached.get(owner, 0):
+                continue
+            item = index["item_ids"][owner]
+            s, o = start, first
+            while s and o and ids[s - 1] == item[o - 1]:
+                s, o = s - 1, o - 1
+            length = min(len(ids) - s, len(item) - o)
+            unlike = np.flatnonzero(ids[s : s + length] != item[o : o + length])
+            e = s + (int(unlike[0]) if len(unlike) else length)
+            reached[owner] = max(e, reached.get(owner, 0))
+            out.append((s, e, index["names"][owner], o))
+    return out
+
+
+def search(texts: list[bytes | None], index: dict) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[list[str]], list[list[tuple]]]:
+    """Per text: number of words, maximal covered word ranges, names of items found (each once), longest matches."""
     parts = [_ids(t or b"", index["vocabulary"]) for t in texts]
     n_words = np.array([len(p) for p in parts], dtype=np.int64)
     spans: list[list[tuple[int, int]]] = [[] for _ in texts]
     items: list[list[str]] = [[] for _ in texts]
+    longest: list[list[tuple]] = [[] for _ in texts]
     if index["empty"] or not n_words.sum():
-        return n_words, spans, items
+        return n_words, spans, items, longest
     gap = np.zeros(1, dtype=np.uint32)
     ids = np.concatenate([x for p in parts for x in (p, gap)])
     begin = np.concatenate([[0], np.cumsum(n_words + 1)])
@@ -118,7 +157,7 @@ def search(texts: list[bytes | None], index: dict) -> tuple[np.ndarray, list[lis
     high = np.searchsorted(keys, index["high"], "right")
     found = np.flatnonzero(high > low)
     if not len(found):
-        return n_words, spans, items
+        return n_words, spans, items, longest
     counts = high[found] - low[found]
     windows = np.repeat(found, counts)
     starts = positions[np.repeat(low[found], counts) + _spread(counts)]
@@ -136,7 +175,11 @@ def search(texts: list[bytes | None], index: dict) -> tuple[np.ndarray, list[lis
     owner = index["owners"][np.repeat(index["owner_starts"][seen[:, 1]], held) + _spread(held)]
     for k, o in np.unique(np.stack([np.repeat(seen[:, 0], held), owner], axis=1), axis=0).tolist():
         items[k].append(index["names"][o])
-    return n_words, spans, items
+    for k in np.unique(doc_of).tolist():
+        own = doc_of == k
+        items[k] = sorted(set(items[k]))
+        longest[k] = _longest(parts[k], list(zip((starts[own] - begin[k]).tolist(), windows[own].tolist())), index)
+    return n_words, spans, items, longest
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -154,10 +197,11 @@ def match_column(docs: DataFrame) -> str:
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """``docs`` with one more column, the last: struct(n_words, spans, items), named by ``match_column``.
+    """``docs`` with one more column, the last: struct(n_words, spans, items, matches), named by ``match_column``.
 
     spans are the maximal word ranges [start, end) that benchmark windows cover; items are the ids
-    (as strings) of the items with an occurring window. A window is ``window`` consecutive item
+    (as strings, each once, though several rows may have it) of the items with an occurring window;
+    matches are the longest common runs of words with one item: their range, the item, their start in it. A window is ``window`` consecutive item
     words; a shorter item that has words is one window. Null and empty texts have no words; a null
     or empty item has no window; an empty benchmark matches nothing. Repeated rows each get their
     own result, other columns pass through untouched. There is no shuffle: the benchmark (of at most
@@ -178,13 +222,17 @@ def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window:
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 texts = [x.as_py() for x in batch.column(place).cast(pa.large_binary())]
-                n_words, spans, items = search(texts, index.value)
+                n_words, spans, items, longest = search(texts, index.value)
                 before = batch.column(batch.num_columns - 1).to_pylist()
                 result = [
                     {
                         "n_words": int(n_words[i]),
                         "spans": [{"start": s, "end": e} for s, e in (_merged(spans[i] + [(x["start"], x["end"]) for x in old["spans"]]) if old else spans[i])],
-                        "items": sorted({*items[i], *old["items"]} if old else items[i]),
+                        "items": sorted({*items[i], *(old["items"] if old else ())}),
+                        "matches": sorted(
+                            [{"start": s, "end": e, "item": n, "item_start": o} for s, e, n, o in longest[i]] + (old["matches"] if old else []),
+                            key=lambda m: tuple(m.values()),
+                        ),
                     }
                     for i, old in enumerate(before)
                 ]
@@ -196,13 +244,37 @@ def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window:
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, n_words, n_hit, spans, items): what ``scan`` finds, without the texts."""
+    """(doc_id, n_words, n_hit, spans, items, matches): what ``scan`` finds, without the texts."""
     found = scan(docs.select("doc_id", "text"), benchmark).select("doc_id", "match.*")
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), "spans", "items")
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), "spans", "items", "matches")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no benchmark window occurs, all columns kept."""
     name = match_column(docs)
     return scan(docs, benchmark).where(F.size(F.col(name)["spans"]) == 0).drop(name)
+
+
+_SQL_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+')"
+ORACLE = f"""
+WITH d AS (SELECT doc_id, {_SQL_WORDS} AS w FROM documents),
+items AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_SQL_WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[k : k + least(len(w), 10) - 1], ' ') AS s
+  FROM (SELECT item, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS k FROM items WHERE len(w) > 0)
+), places AS (
+  SELECT doc_id, n, k, array_to_string(w[k : k + n - 1], ' ') AS s FROM (
+    SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS k FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n
+  )
+), hits AS (
+  SELECT DISTINCT p.doc_id, p.k, p.n, i.item FROM places p JOIN windows i ON i.n = p.n AND i.s = p.s
+), covered AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(generate_series(k, k + n - 1)) AS word FROM hits) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered c ON c.doc_id = d.doc_id LEFT JOIN named m ON m.doc_id = d.doc_id
+"""

@@ -324,3 +324,31 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         .select("doc_id", "text", "runs")
         .mapInArrow(_remove, f"doc_id {kind}, kept binary, spans array<struct<start: long, end: long>>")
     )
+
+
+ORACLE = """
+WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+chunks AS (
+  SELECT doc_id, c, substr(x, 4000 * c + 1, 4798) AS x FROM (SELECT doc_id, x, unnest(generate_series(0, (n - 400) // 2000)) AS c FROM t WHERE n >= 400)
+), starts AS (
+  SELECT doc_id, 2000 * c + i AS i, hash(substr(x, 2 * i + 1, 800)) AS h
+  FROM (SELECT doc_id, c, x, unnest(generate_series(0, least(length(x) // 2 - 400, 1999))) AS i FROM chunks)
+), repeated AS (
+  SELECT doc_id, i FROM starts WHERE h IN (SELECT h FROM starts GROUP BY h HAVING count(*) > 1)
+), fresh AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400 THEN 0 ELSE 1 END AS new FROM repeated
+), spans AS (
+  SELECT doc_id, min(i) AS a, max(i) + 400 AS b
+  FROM (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM fresh) GROUP BY doc_id, span
+), pieces AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS low, a AS high FROM spans
+  UNION ALL SELECT t.doc_id, coalesce(max(b), 0), max(n) FROM t LEFT JOIN spans s ON s.doc_id = t.doc_id GROUP BY t.doc_id
+), kept AS (
+  SELECT t.doc_id, string_agg(substr(x, 2 * low + 1, 2 * (high - low)), '' ORDER BY low) AS body FROM pieces p JOIN t ON t.doc_id = p.doc_id GROUP BY t.doc_id
+), counts AS (
+  SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed FROM spans GROUP BY doc_id
+)
+SELECT t.doc_id, CAST(t.n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(body)) AS kept_sha256
+FROM t JOIN kept k ON k.doc_id = t.doc_id LEFT JOIN counts c ON c.doc_id = t.doc_id
+"""

@@ -110,6 +110,16 @@ def test_repeated_strings(spark, texts):
     assert got == want
 
 
+def test_repeated_string_across_a_segment(spark):
+    rng = random.Random(21)
+    body = words(rng, 14_000, 50_000)
+    passage = body[59_700:60_700]
+    rows = [(1, body), (2, f"{words(rng, 20)} {passage} {words(rng, 30)}")]
+    got = {r.doc_id: r for r in suffix.remove_repeats(corpus(spark, rows)).collect()}
+    assert len(body) > 70_000 and [(s.start <= 59_700, s["end"] >= 60_700) for s in got[1].spans] == [(True, True)]
+    assert got[1].spans[0]["end"] - got[1].spans[0].start == got[2].spans[0]["end"] - got[2].spans[0].start
+
+
 def test_repeated_strings_of_a_crowded_anchor(spark, monkeypatch):
     monkeypatch.setattr(suffix, "CROWD", 3)
     rng = random.Random(8)
@@ -189,6 +199,17 @@ def test_decontamination(spark, texts):
     assert clean.count() == sum(n for k, n in want.items() if not k[2])
 
 
+def test_longest_matches(spark):
+    rng = random.Random(12)
+    item = [f"i{k}" for k in range(40)]
+    rows = [(1, " ".join(["x", *item[5:30], "y", *item[0:12], *item[35:40]])), (2, " ".join(item)), (3, "a " * 60), (4, words(rng, 50))]
+    bench = spark.createDataFrame([(7, " ".join(item)), (8, "a " * 25), (7, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.matches(corpus(spark, rows), bench).collect()}
+    assert {(m.start, m["end"], m["item"], m.item_start) for m in got[1].matches} == {(1, 26, "7", 5), (27, 39, "7", 0)}
+    assert got[1]["items"] == got[2]["items"] == ["7"] and {(m.start, m["end"]) for m in got[2].matches} == {(0, 40)}
+    assert got[3].n_hit == 60 and {m["end"] - m.start for m in got[3].matches} == {12, 25} and got[4].matches == []
+
+
 def test_decontamination_in_blocks(spark, texts, monkeypatch):
     bench = spark.createDataFrame([(k, " ".join(t.split()[:15])) for k, (_, t) in enumerate(texts) if t], "item_id long, text string")
     docs = corpus(spark, texts)
