@@ -66,8 +66,9 @@ def _pack(ids: np.ndarray, counts: np.ndarray) -> bytes:
 
 
 def _unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket ids and their shares of the text's features."""
     gaps, counts = np.frombuffer(zlib.decompress(packed), dtype="<u4").reshape(2, -1)
-    return np.cumsum(gaps, dtype=np.int32), counts.astype(np.float32)
+    return np.cumsum(gaps, dtype=np.int32), (counts / max(int(counts.sum()), 1)).astype(np.float32)
 
 
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,7 +94,7 @@ def train(examples: list[tuple[int, np.ndarray, np.ndarray]], base_rate: float,
     vectors = rng.normal(0, 1e-4, (1 << BITS, DIMENSION)).astype(np.float32)
     output = rng.normal(0, DIMENSION**-0.5, (DIMENSION, 2)).astype(np.float32)
     bias = np.zeros(2, dtype=np.float32)
-    weights = [c / max(c.sum(), 1) for _, _, c in examples]
+    weights = [w for _, _, w in examples]
     lengths = np.array([max(float(w @ w), 1e-9) for w in weights], dtype=np.float32)
     steps = EPOCHS * ((len(examples) + BATCH - 1) // BATCH)
     step = 0
