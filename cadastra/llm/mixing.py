@@ -77,10 +77,11 @@ def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
     return out
 
 
-def _sent(df: DataFrame, most: int | None = None) -> DataFrame:
-    """``df`` marked for a broadcast if its rows, as text, have at most ``most`` bytes."""
-    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
-    return F.broadcast(df) if size <= (BROADCAST_BYTES if most is None else most) else df
+def _sent(df: DataFrame, few: bool | None = None) -> DataFrame:
+    """``df`` marked for a broadcast if its rows, as text, have at most BROADCAST_BYTES; ``few`` says so beforehand."""
+    if few is None:
+        few = (df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0) <= BROADCAST_BYTES
+    return F.broadcast(df) if few else df
 
 
 def _order(docs: DataFrame, seed: int) -> Column:
@@ -92,7 +93,7 @@ def _digit(order: Column, level: int) -> Column:
     return F.shiftrightunsigned(order, 64 - DIGIT * (level + 1)).bitwiseAND(F.lit((1 << DIGIT) - 1)).cast("int")
 
 
-def _boundaries(rows: DataFrame, plan: DataFrame) -> DataFrame:
+def _boundaries(rows: DataFrame, plan: DataFrame, few: bool) -> DataFrame:
     """For each source the path of digits at which its partial pass crosses what remains to take.
 
     ``rows`` has key, size and the digits of the order; ``plan`` has key and part, the words that the partial pass needs.
@@ -102,7 +103,7 @@ def _boundaries(rows: DataFrame, plan: DataFrame) -> DataFrame:
     path: list[str] = []
     state = plan.select("key", F.col("part").alias("gap"))
     for level in range(LEVELS):
-        inside = rows if not path else rows.join(_sent(state.select("key", *path)), ["key", *path], "left_semi")
+        inside = rows if not path else rows.join(_sent(state.select("key", *path), few), ["key", *path], "left_semi")
         cells = inside.groupBy("key", *path, f"d{level}").agg(F.sum("size").alias("words"))
         upto = Window.partitionBy("key").orderBy(f"d{level}").rowsBetween(Window.unboundedPreceding, 0)
         crossing = (
@@ -127,7 +128,7 @@ def _in_runs(runs: str, place: Column, size: Column) -> Column:
     return F.exists(runs, lambda r: (place > r["after"]) & (place < r["before"]) & (size > 0) & (size <= r["fit"]))
 
 
-def _fill(rows: DataFrame, edge: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _fill(rows: DataFrame, edge: DataFrame, few: bool) -> tuple[DataFrame, DataFrame]:
     """(key, runs) and (key, gap): what fills each source's gap behind its crossing cell, and what stays open.
 
     A run takes the documents with places between after and before and at most fit words. Each ends
@@ -145,10 +146,10 @@ def _fill(rows: DataFrame, edge: DataFrame) -> tuple[DataFrame, DataFrame]:
     starts = dict(state)
     while state := {k: at for k, at in state.items() if gaps[k] >= 1}:
         now = spark.createDataFrame([(k, at, float(gaps[k])) for k, at in state.items()], "key string, at bigint, part double")
-        behind = rows.join(_sent(now), "key").where("place > at and size > 0 and size <= part").drop("at", "part")
+        behind = rows.join(_sent(now, few), "key").where("place > at and size > 0 and size <= part").drop("at", "part")
         words = {r["key"]: r["words"] for r in behind.groupBy("key").agg(F.sum("size").alias("words")).collect()}
         over = {k for k, n in words.items() if n > gaps[k]}
-        crossed = _boundaries(behind, now.where(F.col("key").isin(list(over)))).collect() if over else []
+        crossed = _boundaries(behind, now.where(F.col("key").isin(list(over))), few).collect() if over else []
         ends = {r["key"]: ((r["d0"] * base + r["d1"]) * base + r["d2"], r["gap"]) for r in crossed}
         for k, n in words.items():
             at, left = ends.get(k, (base**LEVELS, gaps[k] - n))
@@ -185,13 +186,15 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 17, weights: tuple[in
         .withColumn("passes", F.least(F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0)), F.lit(limit)).cast("int"))
         .withColumn("part", part)
     )
-    edge = _boundaries(rows, plan)
+    # the tables below have a row per source, each with a few numbers more than this one
+    few = (plan.agg(F.sum(F.octet_length("key") + 200)).first()[0] or 0) <= BROADCAST_BYTES
+    edge = _boundaries(rows, plan, few)
     # the words before the crossing cell are taken; documents behind it fill the gap
-    runs, gap = _fill(rows, edge)
+    runs, gap = _fill(rows, edge, few)
     # last, the document whose size is closest to the gap, if taking it brings the sum nearer to the target
     off = F.abs(F.col("size") - F.col("gap"))
     extra = (
-        rows.join(_sent(runs.join(gap, "key")), "key")
+        rows.join(_sent(runs.join(gap, "key"), few), "key")
         .where((F.col("place") >= F.col("runs")[0]["after"]) & ~_in_runs("runs", F.col("place"), F.col("size")))
         .where((F.col("size") > 0) & (off < F.col("gap")))
         .groupBy("key")

@@ -72,21 +72,26 @@ def _unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(label, n, place, packed): number of different features, a hash to order the sample by, the features."""
     for batch in batches:
-        packed = []
+        packed, sizes = [], []
         for text in batch.column(1):
             found = list(features(text.as_py() or b"")) or [np.zeros(0, dtype=np.uint32)]
-            packed.append(_pack(*np.unique(np.concatenate(found), return_counts=True)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["label", "packed"])
+            ids, counts = np.unique(np.concatenate(found), return_counts=True)
+            packed.append(_pack(ids, counts))
+            sizes.append(len(ids))
+        places = [zlib.crc32(x) for x in packed]
+        arrays = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(places, pa.int64()), pa.array(packed, pa.binary())]
+        yield pa.RecordBatch.from_arrays(arrays, ["label", "n", "place", "packed"])
 
 
-def train(examples: list[tuple[int, np.ndarray, np.ndarray]], base_rate: float, seed: int = 11) -> dict:
+def train(labels: np.ndarray, sizes: np.ndarray, ids: np.ndarray, shares: np.ndarray, base_rate: float, seed: int = 11) -> dict:
     """Fit the vectors and the softmax output; ``base_rate`` is label 1's share among all labelled rows.
 
-    With no example, or one class only, every text scores ``base_rate``.
+    Text k has sizes[k] features; buckets and shares of all texts stand one after the other. With no
+    text, or one class only, every text scores ``base_rate``.
     """
     table = np.zeros(1 << BITS, dtype=np.float32)
-    labels = np.array([x[0] for x in examples], dtype=np.int64)
     if len(set(labels.tolist())) < 2:
         return {"table": table, "bias": _logit(base_rate)}
     rng = np.random.default_rng(seed)
@@ -94,30 +99,32 @@ def train(examples: list[tuple[int, np.ndarray, np.ndarray]], base_rate: float,
     vectors = rng.normal(0, 1e-4, (1 << BITS, DIMENSION)).astype(np.float32)
     output = rng.normal(0, DIMENSION**-0.5, (DIMENSION, 2)).astype(np.float32)
     bias = np.zeros(2, dtype=np.float32)
-    weights = [w for _, _, w in examples]
-    lengths = np.array([max(float(w @ w), 1e-9) for w in weights], dtype=np.float32)
-    steps = EPOCHS * ((len(examples) + BATCH - 1) // BATCH)
+    begin = np.concatenate([[0], np.cumsum(sizes)])
+    part = lambda k: slice(begin[k], begin[k + 1])
+    lengths = np.array([max(float(shares[part(k)] @ shares[part(k)]), 1e-9) for k in range(len(sizes))], dtype=np.float32)
+    steps = EPOCHS * ((len(sizes) + BATCH - 1) // BATCH)
     step = 0
     for _ in range(EPOCHS):
-        order = rng.permutation(len(examples))
+        order = rng.permutation(len(sizes))
         for at in range(0, len(order), BATCH):
-            chosen = np.array([i for i in order[at : at + BATCH] if len(examples[i][1])], dtype=np.int64)
+            chosen = order[at : at + BATCH]
+            chosen = chosen[sizes[chosen] > 0]
             step += 1
             if not len(chosen):
                 continue
             rate = RATE * (1 - (step - 1) / steps) / len(chosen)
-            ids = np.concatenate([examples[i][1] for i in chosen])
-            share = np.concatenate([weights[i] for i in chosen])
-            sizes = np.array([len(examples[i][1]) for i in chosen])
-            hidden = np.add.reduceat(vectors[ids] * share[:, None], np.cumsum(sizes) - sizes)
+            own = np.concatenate([ids[part(k)] for k in chosen])
+            share = np.concatenate([shares[part(k)] for k in chosen])
+            n = sizes[chosen]
+            hidden = np.add.reduceat(vectors[own] * share[:, None], np.cumsum(n) - n)
             logits = hidden @ output + bias
             p = np.exp(logits - logits.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
             p[np.arange(len(chosen)), labels[chosen]] -= 1
             # a text's step is divided by its squared length, so long and short texts learn alike
             back = (p @ output.T) / lengths[chosen, None]
-            doc = np.repeat(np.arange(len(chosen)), sizes)
-            rows, inverse = np.unique(ids, return_inverse=True)
+            doc = np.repeat(np.arange(len(chosen)), n)
+            rows, inverse = np.unique(own, return_inverse=True)
             for d in range(DIMENSION):
                 vectors[rows, d] -= rate * np.bincount(inverse, weights=share * back[doc, d], minlength=len(rows))
             output -= 0.1 * rate * (hidden.T @ p)
@@ -142,20 +149,25 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
     known = labels.where(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("label"))
     n, ones = known.agg(F.count("*"), F.sum("label")).first()
     if not n:
-        return train([], 0.5)
+        return train(*[np.zeros(0, dtype=np.int64)] * 4, 0.5)
     # at most 2 * per_class ids: small enough to broadcast at any size of the corpus
     chosen = labelled_sample(known, "label", per_class, seed)
     rows = (
         docs.select("doc_id", F.col("text").cast("binary").alias("text"))
         .join(F.broadcast(chosen), "doc_id")
         .select("label", "text")
-        .mapInArrow(_featurise, "label int, packed binary")
+        .mapInArrow(_featurise, "label int, n long, place long, packed binary")
         .toArrow()
     )
-    # in an order that does not depend on which task ends first
-    kept = sorted(zip(rows["label"].to_pylist(), rows["packed"].to_pylist()))
-    examples = [(y, *_unpack(packed)) for y, packed in kept]
-    return train(examples, ones / n)
+    # in an order that does not depend on which task ends first; few large arrays, so that memory is given back
+    found, sizes, places = (np.asarray(rows[c], dtype=np.int64) for c in ("label", "n", "place"))
+    order = np.lexsort([sizes, places, found])
+    sizes = sizes[order]
+    ids, shares = np.zeros(sizes.sum(), dtype=np.int32), np.zeros(sizes.sum(), dtype=np.float32)
+    packed, ends = rows["packed"].combine_chunks() if len(rows) else [], np.cumsum(sizes)
+    for k, end, size in zip(order.tolist(), ends.tolist(), sizes.tolist()):
+        ids[end - size : end], shares[end - size : end] = _unpack(packed[k].as_py())
+    return train(found[order], sizes, ids, shares, ones / n)
 
 
 def score_text(text: bytes, model: dict) -> float:
