@@ -106,3 +106,21 @@ def test_near_duplicate_stage_keeps_one_of_each_edited_group(spark):
     docs = spark.createDataFrame([(i, t) for i, t in bodies.items()], "doc_id long, text string").repartition(3)
     kept = {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, SF).collect()}
     assert kept == set(near_components(bodies).values())
+
+
+def test_near_duplicate_stage_tells_texts_with_one_passage_apart(spark):
+    rng = random.Random(3)
+    passage = [f"p{k}" for k in range(100)]
+    bodies = {}
+    for k in range(80):
+        # similarities on both sides of 0.8: tails of own words, some of them begun like another text's
+        tail = [f"t{k}_{j}" for j in range(rng.randint(8, 40))]
+        if k % 3 == 2:
+            before = bodies[k - 1].split()[100:]
+            tail = before[: len(before) - rng.randint(0, 6)] + tail[: rng.randint(0, 12)]
+        bodies[k] = " ".join(passage + tail)
+    docs = spark.createDataFrame([(i, t) for i, t in bodies.items()], "doc_id long, text string").repartition(3)
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, SF).collect()}
+    expected = set(near_components(bodies).values())
+    assert 1 < len(expected) < 80
+    assert kept == expected
