@@ -88,3 +88,23 @@ def labelled_sample(rows: DataFrame, label: str, per_class: int, seed: int) -> D
     few = keyed.join(shares, "label").where(F.pmod("order", F.lit(1 << 20)) < F.col("share"))
     place = F.row_number().over(Window.partitionBy("label").orderBy("order", "doc_id"))
     return few.withColumn("place", place).where(F.col("place") <= per_class).select("doc_id", "label")
+
+
+def ranked(df: DataFrame, order: list[str | Column], name: str = "place") -> DataFrame:
+    """``df``, stored in the shared folder, with every row's place from 0 in the given order over all rows.
+
+    One range partitioning: a row's place is that in its partition plus the sizes of the partitions
+    before, of which only the sizes reach the driver. Rows alike in ``order`` follow in any order; let
+    it end in a column that tells rows apart where many may be alike. ``df`` should be a stored table, as
+    the ranges are found by sampling it first.
+    """
+    spread = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    fixed = stored(spread.withColumn(name, F.monotonically_increasing_id()))
+    part, within = F.shiftright(name, 33), F.col(name).bitwiseAND((1 << 33) - 1)
+    sizes = dict(fixed.groupBy(part.alias("part")).count().collect())
+    # partitions without rows have no size
+    before, total = [], 0
+    for k in range(max(sizes, default=-1) + 1):
+        before.append(total)
+        total += sizes.get(k, 0)
+    return fixed.withColumn(name, F.get(F.lit(before or [0]).cast("array<bigint>"), part.cast("int")) + within)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.llm import decontaminate, fingerprint, html, langid, lines, mixing, quality, simhash, suffix, toxicity
+from cadastra.llm import clusters, decontaminate, fingerprint, html, langid, lines, mixing, packing, quality, resample, simhash, suffix, toxicity
 from cadastra.llm.common import held_out, table
 
 
@@ -104,6 +104,22 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.with_inertia(*clusters.cluster(table(spark, sf_dir, "embeddings")))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    found = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    # only the digest of the ids goes through the shuffle
+    return packing.place(found.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -115,6 +131,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
     "op10_html_extraction": op10_html_extraction,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
 
 #: Queries that SQL can express; the others are tested against brute force.
@@ -122,4 +141,6 @@ ORACLES: dict[str, str] = {
     "op2_suffix_array_dedup": suffix.ORACLE,
     "op4_line_dedup": lines.ORACLE,
     "op5_benchmark_decontamination": decontaminate.ORACLE,
+    "op11_importance_resampling": resample.ORACLE,
+    "op12_centroid_clustering": clusters.ORACLE,
 }
