@@ -12,7 +12,10 @@ the items of its length, so no item is ever handled on the driver.
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import string
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import cache
@@ -27,20 +30,36 @@ from cadastra.llm.common import ranked, stored, unused
 
 CAPACITY = 4096
 END = 1
-#: Words whose ids a Python worker remembers, at most; longer words than LONG characters are not remembered.
-REMEMBERED, LONG = 1 << 18, 64
+#: A Python worker remembers at most twice as many parts of a text, and none longer than LONG characters.
+REMEMBERED, LONG = 1 << 19, 64
 #: A long text is taken in slices of about this many characters, cut at blanks.
 SLICE = 1 << 20
 #: Bytes of ids after which a batch of rows is handed on.
 BATCH = 1 << 23
-_BLANKS = str.maketrans("\n\r\t", "   ")
+#: A word, of letters that every version of the letter tables agrees on and no normalisation changes, and punctuation.
+_WORD = re.compile(f"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([{re.escape(string.punctuation)}]*)").fullmatch
+#: How byte-level vocabularies spell bytes: visible characters as themselves, the others, in order, from 256 on.
+_VISIBLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_SPELT = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
+#: How a vocabulary's file states that it lower-cases, drops white space and splits letters from the rest.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PARTED = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": _PATTERN}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+_LOWERED = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
 
 
 class Words(dict):
-    """Ids of words between blanks as little-endian bytes, remembered.
+    """Ids of what stands between blanks, as little-endian bytes, remembered in two generations.
 
-    Normalisation and splitting of these vocabularies never reach across ASCII white space and drop it,
-    so a text's ids are those of its words one after the other.
+    Where a vocabulary's splitting drops white space, a text's ids are those of the parts between blanks
+    one after the other. Where it also splits runs of letters from other characters and lower-cases, a
+    word and the punctuation behind it are looked up apart, and upper case as lower case; a word of small
+    letters goes straight to the merges.
     """
 
     def __init__(self, path: str) -> None:
@@ -49,16 +68,39 @@ class Words(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, word: str) -> bytes:
-        found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if len(word) <= LONG:
-            if len(self) >= REMEMBERED:
-                self.clear()
-                self[""] = b""
-            self[word] = found
+        self.merges = self.tokenizer.model.tokenize
+        form = json.loads(self.tokenizer.to_str())
+        self.by_word = form["pre_tokenizer"] == _PARTED and form["normalizer"] == _LOWERED
+        self.before: dict[str, bytes] = {}
+
+    def encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def __missing__(self, part: str) -> bytes:
+        if len(part) > LONG:
+            return self.encode(part)
+        found = self.before.get(part)
+        if found is None:
+            found = self._found(part)
+        if len(self) >= REMEMBERED:
+            self.before = dict(self)
+            self.clear()
+        self[part] = found
         return found
 
+    def _found(self, part: str) -> bytes:
+        form = _WORD(part)
+        if not form:
+            return self.encode(part)
+        word, behind = form.groups()
+        small = word.lower()
+        if behind:
+            return self[small] + self[behind]
+        if small != part:
+            return self[small]
+        spelt = small if small.isascii() else small.encode().decode("latin-1").translate(_SPELT)
+        return np.array([t.id for t in self.merges(spelt)], dtype="<u4").tobytes()
+
 
 words = cache(Words)
 
@@ -75,17 +117,20 @@ def _slices(text: str) -> Iterator[str]:
 
 
 def token_bytes(text: str, path: str) -> Iterator[bytes]:
-    """The ids of a text as little-endian unsigned 32-bit numbers, in several parts."""
+    """The ids of a text as little-endian unsigned 32-bit numbers, in several parts if it can be cut at blanks."""
     known = words(path)
-    for part in _slices(text.translate(_BLANKS)):
+    if not known.by_word:
+        yield known.encode(text)
+        return
+    for part in _slices(text.replace("\n", " ").replace("\r", " ").replace("\t", " ")):
         yield b"".join(map(known.__getitem__, part.split(" ")))
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, piece, start, length, ids) of every document, in pieces of at most ``capacity`` ids.
 
-    ``tokenizer`` is the path of a file for the tokenizers library with ASCII blanks as word borders, the
-    same on every machine. ids are little-endian unsigned 32-bit numbers, the last of a document is
+    ``tokenizer`` is the path of a file for the tokenizers library, the same on every machine. One that
+    drops white space is applied in slices, any other to whole texts. ids are little-endian unsigned 32-bit numbers, the last of a document is
     ``end``. A null text is an empty one: one piece with the end alone. Null and repeated ids stay as they
     are; other columns are left out.
     """
