@@ -28,7 +28,7 @@ def department(code: Column) -> Column:
 
 
 def from_url(url: Column) -> Column:
-    """The code at the end of a path like /angers_49007, else null."""
+    """The code at the end of a path like /lutry_90101, else null."""
     return F.nullif(F.regexp_extract(url, "_([0-9AB]{5})$", 1), F.lit(""))
 
 

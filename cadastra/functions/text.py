@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from cadastra.schemas import LETTERS, STOP_WORDS
 
+#: Characters of words in trigrams.
+WORD = "a-z0-9à-ÿ"
+
 
 def tokens(text: Column, least: int = 3) -> Column:
     """Lower-case runs of letters of at least ``least`` characters that are no stop words, in order."""
@@ -17,7 +20,7 @@ def tokens(text: Column, least: int = 3) -> Column:
 
 def trigrams(text: Column) -> Column:
     """Distinct trigrams of the lower-cased words, each padded with two blanks before and one after."""
-    words = F.filter(F.split(F.lower(text), "[^a-z0-9à-ÿ]+"), lambda w: w != "")
+    words = F.filter(F.split(F.lower(text), f"[^{WORD}]+"), lambda w: w != "")
     padded = F.transform(words, lambda w: F.concat(F.lit("  "), w, F.lit(" ")))
     return F.array_distinct(
         F.flatten(F.transform(padded, lambda p: F.transform(F.sequence(F.lit(1), F.length(p) - 2), lambda i: F.substr(p, i, F.lit(3)))))
@@ -45,13 +48,13 @@ def clean_name(text: Column) -> Column:
 
 
 def rank(text: Column) -> Column:
-    """Text like 19/239 from '19ème / 239', else null."""
+    """Text like 4/52 from '4ème / 52', else null."""
     part = lambda k: F.regexp_extract(text, r"(\d+)\s*ème\s*/\s*(\d+)", k)
     return F.when(part(1) != "", F.concat(part(1), F.lit("/"), part(2)))
 
 
 def rank_parts(ranked: Column) -> Column:
-    """struct(place, total) of a rank like 19/239."""
+    """struct(place, total) of a rank like 4/52."""
     part = lambda k: F.split_part(ranked, F.lit("/"), F.lit(k)).try_cast("int")
     return F.struct(part(1).alias("place"), part(2).alias("total"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cadastra import schemas
 from cadastra.functions import codes, dates, numbers, text
+from cadastra.operators import keys
 
 
 def first_seen(reviews: DataFrame) -> DataFrame:
@@ -36,6 +37,28 @@ def nested(reviews: DataFrame, fields: list[str] | None = None) -> DataFrame:
     return reviews.groupBy("code_commune").agg(F.transform(ordered, lambda x: x["avis"]).alias("avis"))
 
 
+def chunked(reviews: DataFrame, size: int = 1000) -> DataFrame:
+    """(code_commune, chunk, avis): a municipality's reviews in input order, in arrays of at most ``size``, numbered from 0.
+
+    Chunks are cut from the place of a review among all reviews by (code_commune, seq), found by a range
+    partitioning, so that a municipality with most of the reviews is never gathered. Its first chunk may
+    be shorter than the others.
+    """
+    fields = [c for c in schemas.REVIEW_FIELDS if c in reviews.columns]
+    placed = keys.numbered(reviews.select("code_commune", "seq", F.struct(*fields).alias("avis")), ["code_commune", "seq"], "_nth")
+    dealt = placed.withColumn("_block", F.floor((F.col("_nth") - 1) / size))
+    ordered = F.array_sort(F.collect_list(F.struct("seq", "avis")))
+    blocks = dealt.groupBy("code_commune", "_block").agg(F.transform(ordered, lambda x: x["avis"]).alias("avis"))
+    first = dealt.groupBy("code_commune").agg(F.min("_block").alias("_first"))
+    return blocks.join(first, "code_commune").select("code_commune", (F.col("_block") - F.col("_first")).cast("int").alias("chunk"), "avis")
+
+
+def chunked_records(cities: DataFrame, reviews: DataFrame, size: int = 1000) -> DataFrame:
+    """Each city with its number of reviews, a row per chunk of them; a city without any has one row without a chunk."""
+    seen = first_seen(reviews)
+    return counted(cities, seen).join(chunked(seen, size), "code_commune", "left")
+
+
 def counted(cities: DataFrame, reviews: DataFrame) -> DataFrame:
     """Each city with its number of reviews (nb_avis); the reviews stay rows of their own table."""
     numbers_ = first_seen(reviews.select("code_commune", "review_id", "seq")).groupBy("code_commune").agg(F.count("*").cast("int").alias("nb_avis"))
@@ -133,9 +156,9 @@ def roll_up_pages(pages: DataFrame) -> DataFrame:
     return whole.withColumn("avis_complets", F.size(expected) == F.col("nb_pages_avis")).drop("_read")
 
 
-def summary(reviews: DataFrame) -> DataFrame:
-    """The served shape: count 0 and an empty cloud where they are absent."""
+def summary(reviews: DataFrame, more: list[str] | None = None) -> DataFrame:
+    """The served shape: count 0 and an empty cloud where they are absent; ``more`` names columns to carry along."""
     empty = F.filter(F.array(F.struct(F.lit("").alias("mot"), F.lit(0).cast("long").alias("frequence"))), lambda x: F.lit(False))
     return reviews.select(
-        "code_commune", "note_globale", F.coalesce("nb_avis", F.lit(0)).alias("nb_avis"), F.coalesce("word_cloud", empty).alias("word_cloud")
+        "code_commune", "note_globale", F.coalesce("nb_avis", F.lit(0)).alias("nb_avis"), F.coalesce("word_cloud", empty).alias("word_cloud"), *(more or [])
     )

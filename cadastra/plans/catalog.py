@@ -13,9 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastra import schemas
-from cadastra.operators import keys, reviews, sales
+from cadastra.operators import loads, reviews, sales
+from cadastra.operators.search import TrigramIndex
 from cadastra.plans import adapters, jobs, serving
 from cadastra.sources import readers, writers
+from cadastra.sources.buckets import BucketTable
+from cadastra.sources.grid import GridTable
 
 AS_OF = date(2026, 4, 1)
 BBOX = "-2.5,42,3,46.25"
@@ -210,8 +213,8 @@ _add("job_10_risk_flags", lambda t: t.flags, f"WITH {_FLAGS} SELECT * FROM flags
 _add("job_11_risk_points", lambda t: t.points, f"WITH {_POINTS} SELECT * FROM points")
 _PAGE = f"""page AS (SELECT regexp_extract(url, '_([0-9AB]{{5}})$', 1) AS code_commune,
   TRY_CAST(replace(regexp_extract(html, '<p id="ng">([^<]*)', 1), ',', '.') AS DOUBLE) AS note_globale,
-  TRY_CAST(replace(regexp_extract(html, '<th>E</th><td>([^<]*)', 1), ',', '.') AS DOUBLE) AS environnement, CASE WHEN doc_id % 10 <> 0 THEN CAST(7.28 AS DOUBLE) END AS transports,
-  CAST(doc_id % 239 AS VARCHAR) || '/239' AS rang, 8570 AS nb_villes_classees, CAST(1 + doc_id % 4 AS INT) AS nb_pages_avis,
+  TRY_CAST(replace(regexp_extract(html, '<th>E</th><td>([^<]*)', 1), ',', '.') AS DOUBLE) AS environnement, CASE WHEN doc_id % 10 <> 0 THEN CAST(3.94 AS DOUBLE) END AS transports,
+  CAST(doc_id % 187 AS VARCHAR) || '/187' AS rang, 1930 AS nb_villes_classees, CAST(1 + doc_id % 4 AS INT) AS nb_pages_avis,
   doc_id % 4 = 0 AS avis_complets, 1 AS nb_avis FROM v_page WHERE doc_id % 10 <> 0)"""
 _add(
     "job_12_review_pages",
@@ -221,14 +224,26 @@ _add(
     f"WITH {_PAGE} SELECT * FROM page",
 )
 _add("job_12_raw_pages_unrated", lambda t: reviews.parse_pages(t.raw("pages")).select("page_id"), "SELECT page_id FROM pages WHERE false")
+_NINE = schemas.REVIEW_FIELDS
+_CHUNK = 40
+
+
+def _nine(a: Column) -> Column:
+    return F.concat_ws("|", *[F.coalesce(a[c].cast("string"), F.lit("-")) for c in _NINE if c != "notes"])
+
+
 _add(
     "job_13_review_records",
-    lambda t: reviews.records(t("v_city"), t("v_review"), ["review_id"]).select(
-        "code_commune", "nom_ville", "nb_avis", F.array_join(F.transform("avis", lambda a: F.coalesce(a["review_id"], F.lit("-"))), ",").alias("ids")
+    lambda t: reviews.chunked_records(t("v_city"), t("v_review"), _CHUNK).select(
+        "code_commune", "nom_ville", "nb_avis", "chunk", F.coalesce(F.size("avis"), F.lit(0)).alias("n"), F.sha2(F.array_join(F.transform("avis", _nine), "#"), 256).alias("avis_sha256")
     ),
-    f"""WITH {_FIRST_SEEN} SELECT c.code_commune, c.nom_ville, CAST(count(s.seq) AS INT) AS nb_avis,
-      coalesce(string_agg(coalesce(s.review_id, '-'), ',' ORDER BY s.seq) FILTER (WHERE s.seq IS NOT NULL), '') AS ids
-      FROM v_city c LEFT JOIN seen s ON s.code_commune = c.code_commune GROUP BY 1, 2""",
+    f"""WITH {_FIRST_SEEN}, placed AS (SELECT *, (row_number() OVER (ORDER BY code_commune, seq) - 1) // {_CHUNK} AS block FROM seen),
+      chunks AS (SELECT code_commune, CAST(block - min(block) OVER (PARTITION BY code_commune) AS INT) AS chunk, CAST(count(*) AS INT) AS n,
+        sha256(string_agg({" || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in _NINE if c != "notes")}, '#' ORDER BY seq)) AS avis_sha256
+        FROM placed GROUP BY code_commune, block),
+      counts AS (SELECT code_commune, CAST(count(*) AS INT) AS nb_avis FROM seen GROUP BY 1)
+      SELECT c.code_commune, c.nom_ville, coalesce(nb_avis, 0) AS nb_avis, k.chunk, coalesce(k.n, 0) AS n, k.avis_sha256
+      FROM v_city c LEFT JOIN counts ON counts.code_commune = c.code_commune LEFT JOIN chunks k ON k.code_commune = c.code_commune""",
 )
 _add(
     "job_14_word_cloud",
@@ -237,32 +252,30 @@ _add(
 )
 
 
-def _load(t: Tables) -> DataFrame:
+def _load(t: Tables) -> tuple[BucketTable, loads.Loaded]:
     stats = jobs.equipment_stats(t("v_equip")).select("code_commune", "nb_equipements_total")
-    old = t.communes.select("code_commune", F.lit(0).cast("long").alias("nb_equipements_total"))
-    return jobs.load_with_guard(stats, t.communes, old, ["code_commune"])
+    table = BucketTable(t.spark, t.path("stats"))
+    table.create(t.communes.where("code_departement is not null").select("code_commune", F.lit(0).cast("long").alias("nb_equipements_total")), ["code_commune"], 16)
+    return table, jobs.load_with_guard(table, stats, t.communes)
 
 
 _add(
     "job_15_load_with_fk_guard",
-    _load,
-    f"""WITH {_STATS} SELECT c.code_commune, coalesce(s.nb_equipements_total, 0) AS nb_equipements_total
-      FROM v_communes c LEFT JOIN stats s ON s.code_commune = c.code_commune""",
+    lambda t: _load(t)[0].read(),
+    f"""WITH {_STATS} SELECT c.code_commune, coalesce(s.nb_equipements_total, 0) AS nb_equipements_total FROM v_communes c
+      LEFT JOIN stats s ON s.code_commune = c.code_commune WHERE c.code_departement IS NOT NULL OR s.code_commune IS NOT NULL""",
 )
-
 _add(
     "job_15_load_counts",
-    lambda t: keys.load_counts(
-        jobs.equipment_stats(t("v_equip")), t.communes, t.communes.where("code_departement is not null").select("code_commune"), ["code_commune"]
-    ),
+    lambda t: _load(t)[1].summary(t.spark),
     f"""WITH {_STATS} SELECT count(*) AS n_rows, count(*) FILTER (WHERE c.code_commune IS NOT NULL AND c.code_departement IS NULL) AS n_inserted,
       count(*) FILTER (WHERE c.code_departement IS NOT NULL) AS n_updated, count(*) FILTER (WHERE c.code_commune IS NULL) AS n_skipped
       FROM stats s LEFT JOIN v_communes c ON c.code_commune = s.code_commune""",
 )
 _add(
     "job_15_load_rejects",
-    lambda t: keys.unknown_keys(jobs.equipment_stats(t("v_equip")), t.communes),
-    f"WITH {_STATS} SELECT DISTINCT code_commune FROM stats WHERE code_commune NOT IN (SELECT code_commune FROM v_communes)",
+    lambda t: _load(t)[1].rejects.select("code_commune", "nb_equipements_total"),
+    f"WITH {_STATS} SELECT code_commune, nb_equipements_total FROM stats WHERE code_commune NOT IN (SELECT code_commune FROM v_communes)",
 )
 
 
@@ -299,11 +312,37 @@ _add(
 # Read queries
 _TRI = """list_distinct(flatten(list_transform(list_filter(string_split_regex(lower({}), '[^a-z0-9à-ÿ]+'), lambda w: w <> ''),
   lambda w: list_transform(generate_series(1, CAST(length(w) + 1 AS BIGINT)), lambda i: substr('  ' || w || ' ', i, 3)))))""".format
-_SIM = f"CAST(length(list_intersect({_TRI('nom')}, {_TRI(chr(39) + 'customer#0000001' + chr(39))})) AS DOUBLE) / length(list_distinct(list_concat({_TRI('nom')}, {_TRI(chr(39) + 'customer#0000001' + chr(39))})))"
+
+
+def _similarity(a: str, b: str) -> str:
+    x, y = _TRI(a), _TRI(b)
+    return f"CAST(length(list_intersect({x}, {y})) AS DOUBLE) / length(list_distinct(list_concat({x}, {y})))"
+
+
+def _search(t: Tables) -> DataFrame:
+    index = TrigramIndex(t.spark, t.path("trigrams"), "code_commune", 16)
+    index.build(t.communes, "nom")
+    return serving.search(t.communes, t("v_dept"), t("v_region"), "customer#0000001", 20, index)
+
+
+def district_grid(t: Tables) -> GridTable:
+    """The districts clustered by cells of eight degrees."""
+    grid = GridTable(t.spark, t.path("districts"))
+    grid.write(t.districts, [f"box.{c}" for c in ("minx", "miny", "maxx", "maxy")], "code_iris", (0, 0, 64, 64), 3)
+    return grid
+
+
+def sale_grid(t: Tables, sales: DataFrame, key: str) -> GridTable:
+    """Sales clustered by cells of about one degree."""
+    grid = GridTable(t.spark, t.path("sales"))
+    grid.write(sales, ["longitude", "latitude"] * 2, key, (-6, 40, 10, 56), 4)
+    return grid
+
+
 _add(
     "qry_01_commune_search",
-    lambda t: serving.search(t.communes, t("v_dept"), t("v_region"), "customer#0000001", 20),
-    f"""WITH {_STAR} SELECT code_commune, nom, code_postal, nom_departement, nom_region, {_SIM} AS score FROM star
+    _search,
+    f"""WITH {_STAR} SELECT code_commune, nom, code_postal, nom_departement, nom_region, {_similarity('nom', "'customer#0000001'")} AS score FROM star
       WHERE contains(lower(nom), 'customer#0000001') ORDER BY score DESC, population DESC NULLS LAST, code_commune LIMIT 20""",
 )
 _add("qry_02_commune_detail", lambda t: serving.detail(t.communes, t("v_dept"), t("v_region"), None), f"WITH {_STAR} SELECT * FROM star")
@@ -311,7 +350,7 @@ _add("qry_03_regions", lambda t: serving.list_regions(t("v_region")), "SELECT co
 _add("qry_04_departements", lambda t: serving.list_departements(t("v_dept"), "01"), "SELECT * FROM v_dept WHERE code_region = '01'")
 _add(
     "qry_05_districts_in_bbox",
-    lambda t: serving.districts_in_bbox(t.districts, "2,3,20,15", 50).select("type", "count", "truncated", _feature_text().alias("features")),
+    lambda t: serving.districts_in_bbox(district_grid(t), "2,3,20,15", 50).select("type", "count", "truncated", _feature_text().alias("features")),
     f"""WITH {_IRIS}, hit AS (SELECT *, row_number() OVER (ORDER BY code_iris) AS k FROM iris WHERE minx <= 20 AND maxx >= 2 AND miny <= 15 AND maxy >= 3)
       SELECT 'FeatureCollection' AS type, CAST(least(count(*), 50) AS INT) AS count, count(*) > 50 AS truncated,
       coalesce(string_agg(code_iris || ' ' || code_commune || ' ' || coalesce(nom_iris, '-') || ' ' || geometry, ';' ORDER BY k) FILTER (WHERE k <= 50), '') AS features FROM hit""",
@@ -323,7 +362,7 @@ _add(
 )
 _PRICE_POINTS = f"""SELECT latitude, longitude, {_R('avg(CAST(CAST(prix_m2 AS DECIMAL(18,2)) AS DOUBLE))', 0)} AS prix_m2_moyen, count(*) AS nb_transactions
   FROM clean WHERE longitude BETWEEN -2.5 AND 3 AND latitude BETWEEN 42 AND 46.25 AND prix_m2 > 0"""
-_add("qry_07_price_points", lambda t: serving.price_points(t.clean, BBOX), f"WITH {_CLEAN} {_PRICE_POINTS} GROUP BY 1, 2")
+_add("qry_07_price_points", lambda t: serving.price_points(sale_grid(t, t.clean, "code_commune"), BBOX), f"WITH {_CLEAN} {_PRICE_POINTS} GROUP BY 1, 2")
 _add(
     "qry_07_price_points_filtered",
     lambda t: serving.price_points(t.clean, BBOX, 1995, "Maison", 500),

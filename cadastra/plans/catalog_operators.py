@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadastra import schemas
 from cadastra.functions import codes, dates, numbers, spatial, text
-from cadastra.operators import keys, quality, reviews, sales
+from cadastra.operators import keys, loads, quality, reviews, sales
 from cadastra.plans import jobs, serving
 from cadastra.plans.catalog import (
     _CLEAN,
@@ -33,8 +33,12 @@ from cadastra.plans.catalog import (
     CATALOG,
     Tables,
     _add,
+    _similarity,
+    district_grid,
+    sale_grid,
 )
 from cadastra.sources import readers, writers
+from cadastra.sources.buckets import BucketTable
 from cadastra.streaming import reviews as intake
 
 _C = F.col
@@ -214,25 +218,36 @@ _add("snk_05_json_lines", _jsonl, f"SELECT {_REVIEW_COLUMNS} FROM v_review")
 _add("snk_06_bulk_csv_nulls", lambda t: _csv_back(t, "\\N", ["code_commune", "code_departement", "population"]), "SELECT code_commune, code_departement, population FROM v_communes")
 
 
+def _in_buckets(t: Tables, df: DataFrame, key: str = "code_commune", buckets: int = 16) -> BucketTable:
+    table = BucketTable(t.spark, t.path("buckets"))
+    table.create(df, [key], buckets)
+    return table
+
+
 def _upserted(t: Tables) -> DataFrame:
-    old = t.communes.select("code_commune", "nom", "population")
+    table = _in_buckets(t, t.communes.select("code_commune", "nom", "population"))
     new = t("v_reference").where("code_insee like '%3'").select(F.col("code_insee").alias("code_commune"), F.upper("nom_standard").alias("nom"), F.lit(7).alias("population"), F.lit(1).alias("seq"))
     newer = new.where("code_commune like '%13'").withColumns({"nom": F.lit("later"), "seq": F.lit(2)})
     fresh = t.spark.createDataFrame([("99999", "new", 1, 1)], "code_commune string, nom string, population int, seq int")
-    return keys.upsert(old.withColumn("seq", F.lit(0)), new.unionByName(newer).unionByName(fresh), ["code_commune"], "seq")
+    table.upsert(new.unionByName(newer).unionByName(fresh), "seq")
+    return table.read()
 
 
-_UPSERT = """SELECT code_commune, CASE WHEN code_commune LIKE '%13' THEN 'later' WHEN code_commune LIKE '%3' THEN upper(nom) ELSE nom END AS nom,
-  CASE WHEN code_commune LIKE '%3' THEN 7 ELSE population END AS population FROM v_communes UNION ALL SELECT '99999', 'new', 1"""
-_add("snk_07_upsert", _upserted, _UPSERT)
+_add(
+    "snk_07_upsert",
+    _upserted,
+    """SELECT code_commune, CASE WHEN code_commune LIKE '%13' THEN 'later' WHEN code_commune LIKE '%3' THEN upper(nom) ELSE nom END AS nom,
+      CASE WHEN code_commune LIKE '%3' THEN 7 ELSE population END AS population FROM v_communes UNION ALL SELECT '99999', 'new', 1""",
+)
 
 
 def _merged(t: Tables) -> DataFrame:
-    old = t.communes.select("code_commune", "nom", "population", "code_postal")
+    table = _in_buckets(t, t.communes.select("code_commune", "nom", "population", "code_postal"))
     new = t.communes.where("code_commune like '%5'").select(
         "code_commune", F.lower("nom").alias("nom"), F.when(F.col("code_commune").like("%55"), None).otherwise(F.lit(9)).alias("population"), F.lit("x").alias("code_postal")
     )
-    return keys.merge(old, new, "code_commune", {"nom": "new", "population": "coalesce"})
+    table.merge(new, {"nom": "new", "population": "coalesce"})
+    return table.read()
 
 
 _add(
@@ -251,17 +266,44 @@ def _reloaded(t: Tables) -> DataFrame:
 
 
 _add("snk_09_reload", _reloaded, "SELECT * FROM v_dept WHERE code_region = '02'")
+def _district_load(t: Tables) -> tuple[BucketTable, loads.Loaded]:
+    """Districts loaded over a table that holds every other one of those with a known municipality."""
+    rows = t.features.where("kind is not null").select("code_iris", F.col("properties")["code_insee"].alias("code_commune"), F.col("properties")["nom_iris"].alias("nom"))
+    old = rows.where("code_iris like '%2'").withColumn("nom", F.lit("old"))
+    table = _in_buckets(t, keys.known(old, t.communes).select(rows.columns), "code_iris")
+    return table, loads.guarded(table, rows, t.communes)
+
+
+_OLD_DISTRICT = "code_iris LIKE '%2' AND code_insee IN (SELECT code_commune FROM v_communes)"
 _add(
     "snk_10_guarded_insert",
-    lambda t: keys.guard_counts(t.features.where("kind is not null").select(F.col("properties")["code_insee"].alias("code_commune")), t.communes),
-    f"""SELECT count(*) AS n_rows, count(*) FILTER (WHERE ok) AS n_kept, count(*) FILTER (WHERE NOT ok) AS n_rejected,
-      {_R('CAST(count(*) FILTER (WHERE NOT ok) AS DOUBLE) / count(*) * 100', 2)} AS pct_rejected
-      FROM (SELECT code_insee IN (SELECT code_commune FROM v_communes) AS ok FROM v_features WHERE kind IS NOT NULL)""",
+    lambda t: _district_load(t)[0].read(),
+    "SELECT code_iris, code_insee AS code_commune, nom_iris AS nom FROM v_features WHERE kind IS NOT NULL AND code_insee IN (SELECT code_commune FROM v_communes)",
+)
+_add(
+    "snk_10_insert_counts",
+    lambda t: _district_load(t)[1].summary(t.spark),
+    f"""SELECT count(*) AS n_rows, count(*) FILTER (WHERE ok AND NOT old) AS n_inserted, count(*) FILTER (WHERE ok AND old) AS n_updated, count(*) FILTER (WHERE NOT ok) AS n_skipped
+      FROM (SELECT code_insee IN (SELECT code_commune FROM v_communes) AS ok, {_OLD_DISTRICT} AS old FROM v_features WHERE kind IS NOT NULL)""",
+)
+_add(
+    "snk_10_refused_rows",
+    lambda t: _district_load(t)[1].rejects.select("code_iris", "code_commune"),
+    "SELECT code_iris, code_insee AS code_commune FROM v_features WHERE kind IS NOT NULL AND code_insee NOT IN (SELECT code_commune FROM v_communes)",
 )
+
+
+def _registered(t: Tables, first: DataFrame, then: DataFrame, key: list[str], name: str) -> DataFrame:
+    """Numbers after two loads; the second brings the first one's rows again."""
+    registry = loads.KeyRegistry(t.spark, t.path("registry"), key, name, 8)
+    registry.assign(first)
+    return registry.assign(then)
+
+
 _add(
     "snk_11_surrogate_key",
-    lambda t: keys.numbered(t.communes.select("code_commune", "nom"), ["code_commune"]),
-    "SELECT code_commune, nom, row_number() OVER (ORDER BY code_commune) AS id FROM v_communes",
+    lambda t: _registered(t, t.communes.where("code_commune like '%3'").select("code_commune", "nom"), t.communes.select("code_commune", "nom"), ["code_commune"], "id"),
+    "SELECT code_commune, nom, row_number() OVER (ORDER BY code_commune NOT LIKE '%3', code_commune) AS id FROM v_communes",
 )
 _add(
     "snk_12_feature_collection",
@@ -275,12 +317,10 @@ _add(
 
 
 def _split_feed(t: Tables) -> DataFrame:
-    a, b = t.path("cities"), t.path("feed-reviews")
     feed = t("v_city").select(F.lit("city").alias("kind"), "code_commune", F.lit(None).cast("long").alias("seq")).unionByName(t("v_review").select(F.lit("review").alias("kind"), "code_commune", "seq"))
-    writers.split_by_type(feed, "kind", {"city": a, "review": b})
-    kind = "code_commune string, seq long"
-    read = lambda p, k: readers.json_lines(t.spark, p, kind).withColumn("kind", F.lit(k))
-    return read(a, "city").unionByName(read(b, "review"))
+    paths = writers.split_by_type(feed, "kind", t.path("feed"), ["city", "review"])
+    read = lambda k: readers.json_lines(t.spark, paths[k], "code_commune string, seq long").withColumn("kind", F.lit(k))
+    return read("city").unionByName(read("review"))
 
 
 _add("snk_13_split_feed", _split_feed, "SELECT 'city' AS kind, code_commune, CAST(NULL AS BIGINT) AS seq FROM v_city UNION ALL SELECT 'review', code_commune, seq FROM v_review")
@@ -336,7 +376,7 @@ _add(
     "SELECT code_commune, indicateur FROM v_crime WHERE indicateur <> 'Autre'",
 )
 _BOX = "longitude BETWEEN -2.5 AND 3 AND latitude BETWEEN 42 AND 46.25"
-_add("flt_09_bbox", lambda t: t("v_tx").where(spatial.in_bbox(_C("longitude"), _C("latitude"), spatial.parse_bbox("-2.5,42,3,46.25"))).select("longitude", "latitude"), f"SELECT longitude, latitude FROM v_tx WHERE {_BOX}")
+_add("flt_09_bbox", lambda t: sale_grid(t, t("v_tx").select("longitude", "latitude", "l_linenumber"), "l_linenumber").read(spatial.parse_bbox("-2.5,42,3,46.25")).select("longitude", "latitude"), f"SELECT longitude, latitude FROM v_tx WHERE {_BOX}")
 _add(
     "flt_10_optional_predicates",
     lambda t: t("v_tx").where(keys.all_of([c for c in (_C("type_local") == "Maison", None, _C("surface_reelle_bati") > 20) if c is not None])).select("id_mutation", "surface_reelle_bati"),
@@ -346,7 +386,15 @@ _add("flt_11_year", lambda t: readers.partition_filter(_partitioned(t), 1996).se
 _add("flt_12_substring_any_case", lambda t: t("v_reference").where(text.contains_ignoring_case(_C("nom_standard"), "CUSTOMER#00000012")).select("nom_standard"), "SELECT nom_standard FROM v_reference WHERE contains(lower(nom_standard), 'customer#00000012')")
 _add("flt_13_any_prefix", lambda t: t("v_reference").where(codes.any_prefix(_C("code_insee"), ["0002", "0003", "0101"])).select("code_insee"), "SELECT code_insee FROM v_reference WHERE code_insee LIKE '0002%' OR code_insee LIKE '0003%' OR code_insee LIKE '0101%'")
 _add("flt_14_departments", lambda t: t("v_reference").where(codes.in_departments(_C("code_insee"), ["01", "003"])).select("code_insee"), "SELECT code_insee FROM v_reference WHERE substr(code_insee, 1, 2) = '01' OR substr(code_insee, 1, 3) = '003'")
-_add("flt_15_point_lookup", lambda t: serving.of(t.communes, "00042"), "SELECT * FROM v_communes WHERE code_commune = '00042'")
+
+
+def _looked_up(t: Tables) -> DataFrame:
+    path = t.path("sorted")
+    writers.sorted_table(t.communes, path, "code_commune")
+    return serving.of(t.spark.read.parquet(path), "00042")
+
+
+_add("flt_15_point_lookup", _looked_up, "SELECT * FROM v_communes WHERE code_commune = '00042'")
 _add(
     "flt_16_freshness",
     lambda t: t("v_city").select("code_commune", dates.is_fresh(_C("date_scraping"), F.lit("2026-04-01").cast("date")).alias("a_jour")),
@@ -443,12 +491,42 @@ _add(
 _add("wn_01_first_seen", lambda t: reviews.first_seen(t("v_review")).select("code_commune", "review_id", "seq"), f"WITH {_FIRST_SEEN} SELECT code_commune, review_id, seq FROM seen")
 _add("wn_02_top_words", lambda t: reviews.top_words(reviews.word_counts(reviews.first_seen(t("v_review")))), f"WITH {_FIRST_SEEN}, {_WORDS} SELECT code_commune, mot, frequence, CAST(rang AS INT) AS rang FROM ranked WHERE rang <= 30")
 _add("wn_03_yearly_change", lambda t: jobs.price_trends(t.clean, t.communes).select("code_commune", "annee", "trimestre", "type_local", "variation_annuelle_pct"), f"WITH {_CLEAN}, {_MEDIANS}, {_TRENDS} SELECT code_commune, annee, trimestre, type_local, variation_annuelle_pct FROM trends")
-_add("wn_04_last_write_wins", _upserted, _UPSERT)
-_add("wn_05_sequence", lambda t: keys.numbered(t("v_dept"), ["code_region", "code_departement"], "rang"), "SELECT *, row_number() OVER (ORDER BY code_region, code_departement) AS rang FROM v_dept")
+
+
+def _written_in_turn(t: Tables) -> DataFrame:
+    """Sales by order: three loads one after the other, each over part of the keys."""
+    rows = t.raw("orders").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("valeur"), F.lit(0).alias("load"))
+    table = _in_buckets(t, rows, "id")
+    for k, share in ((1, 3), (2, 5), (3, 7)):
+        table.upsert(rows.where(F.col("id") % share == 0).withColumns({"valeur": F.col("valeur") + k, "load": F.lit(k)}))
+    return table.read()
+
+
+_add(
+    "wn_04_last_write_wins",
+    _written_in_turn,
+    """SELECT o_orderkey AS id, o_totalprice + CASE WHEN o_orderkey % 7 = 0 THEN 3 WHEN o_orderkey % 5 = 0 THEN 2 WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS valeur,
+      CASE WHEN o_orderkey % 7 = 0 THEN 3 WHEN o_orderkey % 5 = 0 THEN 2 WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS load FROM orders""",
+)
+_add(
+    "wn_05_sequence",
+    lambda t: _registered(t, t("v_dept").where("code_region > '02'"), t("v_dept"), ["code_region", "code_departement"], "rang"),
+    "SELECT *, row_number() OVER (ORDER BY code_region <= '02', code_region, code_departement) AS rang FROM v_dept",
+)
 
 # Sort, limit, set operations
 _add("sl_01_global_order", lambda t: jobs.crime_wide(jobs.crime_long(t("v_crime"))).orderBy("code_commune", "annee").select("code_commune", "annee"), f"WITH {_WIDE} SELECT code_commune, annee FROM wide ORDER BY 1, 2")
-_add("sl_02_relevance", CATALOG["qry_01_commune_search"][0], CATALOG["qry_01_commune_search"][1])
+_RELEVANCE = [F.col("score").desc(), F.col("population").desc_nulls_last(), F.col("code_commune")]
+_add(
+    "sl_02_relevance",
+    # 100 rows are left when they are numbered
+    lambda t: t.communes.withColumn("score", text.similarity(_C("nom"), F.lit("customer 00000042")))
+    .orderBy(*_RELEVANCE)
+    .limit(100)
+    .select("code_commune", "score", F.row_number().over(Window.orderBy(*_RELEVANCE)).alias("place")),
+    f"""SELECT code_commune, score, CAST(row_number() OVER (ORDER BY score DESC, population DESC NULLS LAST, code_commune) AS INT) AS place
+      FROM (SELECT *, {_similarity("nom", "'customer 00000042'")} AS score FROM v_communes) ORDER BY place LIMIT 100""",
+)
 _add("sl_03_by_name", lambda t: serving.list_regions(t("v_region")), "SELECT code_region, nom FROM v_region ORDER BY nom")
 _add("sl_04_checked_limit", lambda t: t.communes.orderBy("code_commune").limit(serving.checked(100, 1000)).select("code_commune"), "SELECT code_commune FROM v_communes ORDER BY 1 LIMIT 100")
 _add("sl_05_truncation", CATALOG["qry_05_districts_in_bbox"][0], CATALOG["qry_05_districts_in_bbox"][1])
@@ -485,15 +563,19 @@ _add("fn_10_truthy", lambda t: t.flags.select(text.is_true(F.when(_C("radon"), "
 _add("fn_11_year_in_text", lambda t: t("v_review").select(dates.year_in_text(F.concat(F.lit("Bilan "), F.when(_C("seq") % 2 == 0, F.lit("2021")).otherwise("x"), F.lit(" fin"))).alias("annee")), "SELECT CASE WHEN seq % 2 = 0 THEN 2021 ELSE 2024 END AS annee FROM v_review")
 _add(
     "fn_12_french_label",
-    lambda t: t("v_review").select("seq", dates.label_to_iso(F.when(_C("seq") % 3 == 0, "Avis posté le 21-03-2026 à 10:47").when(_C("seq") % 3 == 1, "le 02-02-2026").otherwise("pas de date")).alias("d")),
-    "SELECT seq, CASE seq % 3 WHEN 0 THEN '2026-03-21T10:47' WHEN 1 THEN '2026-02-02' END AS d FROM v_review",
+    lambda t: t("v_review").select("seq", dates.label_to_iso(F.when(_C("seq") % 3 == 0, "Avis posté le 14-07-2029 à 18:05").when(_C("seq") % 3 == 1, "le 02-02-2026").otherwise("pas de date")).alias("d")),
+    "SELECT seq, CASE seq % 3 WHEN 0 THEN '2029-07-14T18:05' WHEN 1 THEN '2026-02-02' END AS d FROM v_review",
 )
 _add("fn_13_department", lambda t: t("v_reference").select(codes.department(F.concat(F.when(_C("code_insee").like("%1"), "97").otherwise("2A"), F.substring("code_insee", 3, 3))).alias("d")), "SELECT CASE WHEN code_insee LIKE '%1' THEN '97' || substr(code_insee, 3, 1) ELSE '2A' END AS d FROM v_reference")
 _add("fn_14_code_from_url", lambda t: t("v_page").select(codes.from_url(_C("url")).alias("a"), codes.from_url(F.concat("url", F.lit(".php"))).alias("b")), "SELECT regexp_extract(url, '_([0-9AB]{5})$', 1) AS a, CAST(NULL AS VARCHAR) AS b FROM v_page")
-_add("fn_15_rank", lambda t: reviews.parse_pages(t("v_page")).select("rang", text.rank_parts(_C("rang")).alias("p"), "nb_villes_classees").select("rang", "p.*", "nb_villes_classees"), "SELECT CAST(doc_id % 239 AS VARCHAR) || '/239' AS rang, CAST(doc_id % 239 AS INT) AS place, 239 AS total, 8570 AS nb_villes_classees FROM v_page WHERE doc_id % 10 <> 0")
+_add("fn_15_rank", lambda t: reviews.parse_pages(t("v_page")).select("rang", text.rank_parts(_C("rang")).alias("p"), "nb_villes_classees").select("rang", "p.*", "nb_villes_classees"), "SELECT CAST(doc_id % 187 AS VARCHAR) || '/187' AS rang, CAST(doc_id % 187 AS INT) AS place, 187 AS total, 1930 AS nb_villes_classees FROM v_page WHERE doc_id % 10 <> 0")
 _add("fn_16_page_count", lambda t: t("v_page").select(text.page_count(_C("html")).alias("n"), text.page_count(_C("url")).alias("one")), "SELECT CAST(1 + doc_id % 4 AS INT) AS n, 1 AS one FROM v_page")
 _add("fn_17_tokens", lambda t: t("v_review").select("seq", F.array_join(text.tokens(_C("points_positifs")), " ").alias("mots")), f"WITH {_FIRST_SEEN}, {_WORDS} SELECT v.seq, array_to_string(list_filter(regexp_extract_all(lower(points_positifs), '[{schemas.LETTERS}]+'), lambda t: length(t) >= 3 AND t NOT IN ({', '.join(repr(w) for w in schemas.STOP_WORDS)})), ' ') AS mots FROM v_review v")
-_add("fn_18_similarity", CATALOG["qry_01_commune_search"][0], CATALOG["qry_01_commune_search"][1])
+_add(
+    "fn_18_similarity",
+    lambda t: t.communes.join(t("v_dept").select("code_departement", F.col("nom").alias("dep")), "code_departement").select("code_commune", text.similarity(F.concat_ws(" ", "nom", "dep"), F.concat_ws(" ", "dep", "code_postal")).alias("score")),
+    f"""SELECT code_commune, {_similarity("c.nom || ' ' || d.nom", "d.nom || ' ' || code_postal")} AS score FROM v_communes c JOIN v_dept d ON c.code_departement = d.code_departement""",
+)
 _add("fn_19_json", lambda t: t("v_dept").select(F.from_json(F.to_json(F.struct("nom", "code_region")), "nom string, code_region string").alias("j")).select("j.*"), "SELECT nom, code_region FROM v_dept")
 _add("fn_20_positional_struct", lambda t: t("v_review").select("seq", text.as_struct(F.array(F.lit("9"), F.lit("x"), _C("nb_accord").cast("string")), schemas.CRITERIA, "int").alias("n")).select("seq", "n.environnement", "n.transports", "n.securite", "n.culture"), "SELECT seq, 9 AS environnement, CAST(NULL AS INT) AS transports, nb_accord AS securite, CAST(NULL AS INT) AS culture FROM v_review")
 _add("fn_21_bbox_text", lambda t: t("v_region").select("code_region", *[F.lit(x).alias(n) for n, x in zip(("a", "b", "c", "d"), spatial.parse_bbox("1,2,3.5,4"))]), "SELECT code_region, CAST(1 AS DOUBLE) AS a, CAST(2 AS DOUBLE) AS b, CAST(3.5 AS DOUBLE) AS c, CAST(4 AS DOUBLE) AS d FROM v_region")
@@ -530,41 +612,48 @@ _add("sp_01_point", lambda t: t("v_tx").select(spatial.point(_C("longitude"), _C
 _add("sp_02_promotion", lambda t: t.districts.select("code_iris", "geometry"), f"WITH {_IRIS} SELECT code_iris, geometry FROM iris")
 _add("sp_03_geojson_text", lambda t: t.districts.select("code_iris", F.get_json_object("geometry", "$.type").alias("kind"), F.size(spatial.polygons(_C("geometry"))).alias("n")), f"WITH {_IRIS} SELECT code_iris, 'MultiPolygon' AS kind, 1 AS n FROM iris")
 _add("sp_04_envelope", lambda t: t.districts.select("code_iris", "box.*"), f"WITH {_IRIS} SELECT code_iris, minx, miny, maxx, maxy FROM iris")
-_add("sp_05_box_filter", lambda t: t.districts.where(spatial.intersects(_C("box"), (2, 3, 20, 15))).select("code_iris"), f"WITH {_IRIS} SELECT code_iris FROM iris WHERE minx <= 20 AND maxx >= 2 AND miny <= 15 AND maxy >= 3")
+_add("sp_05_box_filter", lambda t: district_grid(t).read((2, 3, 20, 15)).select("code_iris"), f"WITH {_IRIS} SELECT code_iris FROM iris WHERE minx <= 20 AND maxx >= 2 AND miny <= 15 AND maxy >= 3")
 _add("sp_06_centroids", lambda t: jobs.zone_risk_points(t.flags, t.communes), f"WITH {_FLAGS}, {_ZONE_POINTS} SELECT * FROM zone_points")
 
 
 # Streaming
-def _intake(t: Tables) -> DataFrame:
+def _third(k: int) -> Column:
+    """A third of the reviews; those with one id are spread over all three."""
+    return F.floor(F.col("seq") / 20) % 3 == k
+
+
+def _intake(t: Tables, keep: str = "first") -> DataFrame:
     inbox, root, state = t.path("inbox"), t.path("table"), t.path("state")
-    rows = t("v_review")
-    for k in range(3):
-        # three deliveries, in the order of their seq
-        bounds = rows.where((F.col("seq") % 1000 >= 334 * k) & (F.col("seq") % 1000 < 334 * (k + 1)))
-        bounds.write.mode("append").json(inbox)
-        intake.ingest(t.spark, inbox, root, state)
-    return intake.stored(t.spark, root).select("code_commune", "review_id")
+    # the least seq of a review does not come first, and one delivery comes twice
+    for k in (1, 2, 0, 1):
+        t("v_review").where(_third(k)).write.mode("append").json(inbox)
+        intake.ingest(t.spark, inbox, root, state, keep=keep)
+    return intake.stored(t.spark, root, keep)
 
 
 def _refresh(t: Tables) -> DataFrame:
     inbox, root, state = t.path("inbox"), t.path("table"), t.path("state")
-    rows = t("v_review")
-    for lo, hi in ((0, 500), (500, 1000)):
-        # the second delivery brings reviews of some municipalities only
-        own = rows.where((F.col("seq") % 1000 >= lo) & (F.col("seq") % 1000 < hi) & (F.lit(lo == 0) | (F.col("code_commune") < "00010")))
-        own.write.mode("append").json(inbox)
+    # the second delivery brings earlier reviews, of some municipalities only
+    for part in (~_third(0), _third(0) & (F.col("code_commune") < "00010")):
+        t("v_review").where(part).write.mode("append").json(inbox)
         intake.ingest(t.spark, inbox, root, state)
     return intake.refreshed(t.spark, root, 1, t("v_city")).withColumn("word_cloud", _cloud_text())
 
 
-_DELIVERED = """SELECT *, row_number() OVER (PARTITION BY code_commune, review_id ORDER BY seq % 1000 >= 500, seq) AS turn
-  FROM v_review WHERE seq % 1000 < 500 OR code_commune < '00010'"""
+_DELIVERED = """SELECT *, row_number() OVER (PARTITION BY code_commune, review_id ORDER BY seq) AS turn
+  FROM v_review WHERE seq // 20 % 3 > 0 OR code_commune < '00010'"""
 _add(
     "st_01_refreshed_summaries",
     _refresh,
     f"""WITH seen AS (SELECT * FROM ({_DELIVERED}) WHERE turn = 1 OR review_id IS NULL), {_WORDCLOUD.replace(_FIRST_SEEN + ', ', '')},
-      fresh AS (SELECT DISTINCT code_commune FROM seen WHERE seq % 1000 >= 500), n AS (SELECT code_commune, count(*) AS n FROM seen GROUP BY 1)
+      fresh AS (SELECT DISTINCT code_commune FROM seen WHERE seq // 20 % 3 = 0), n AS (SELECT code_commune, count(*) AS n FROM seen GROUP BY 1)
       SELECT c.code_commune, c.note_globale, CAST(coalesce(n.n, 0) AS INT) AS nb_avis, coalesce(w.nuage, '') AS word_cloud FROM v_city c
       JOIN fresh ON fresh.code_commune = c.code_commune LEFT JOIN n ON n.code_commune = c.code_commune LEFT JOIN cloud w ON w.code_commune = c.code_commune""",
 )
-_add("st_01_incremental_reviews", _intake, f"WITH {_FIRST_SEEN} SELECT code_commune, review_id FROM seen")
+_add("st_01_incremental_reviews", lambda t: _intake(t).select("code_commune", "review_id", "seq"), f"WITH {_FIRST_SEEN} SELECT code_commune, review_id, seq FROM seen")
+_add(
+    "st_01_changed_reviews",
+    lambda t: _intake(t, "last").select("code_commune", "review_id", "seq", "points_positifs"),
+    """SELECT code_commune, review_id, seq, points_positifs FROM (SELECT *, row_number() OVER (PARTITION BY code_commune, review_id ORDER BY seq DESC) AS turn FROM v_review)
+      WHERE turn = 1 OR review_id IS NULL""",
+)

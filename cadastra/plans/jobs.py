@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from cadastra import schemas
 from cadastra.functions import codes, numbers, spatial
-from cadastra.operators import keys, sales
+from cadastra.operators import keys, loads, medians, sales
+from cadastra.sources.buckets import BucketTable
 
 
 def equipment_rows(equipment: DataFrame) -> DataFrame:
@@ -39,13 +40,17 @@ def clean_sales(raw: DataFrame, order: Column) -> DataFrame:
 def quarterly_medians(clean: DataFrame, exact: bool = True) -> DataFrame:
     """Median price per square metre and number of sales by municipality, year, quarter and type.
 
-    ``exact=False`` uses percentile_approx, whose state is bounded however many sales a key has.
+    Exact medians never hold a key's values together (``medians.exact``); ``exact=False`` uses
+    percentile_approx in one pass.
     """
-    median = F.median("prix_m2") if exact else F.percentile_approx("prix_m2", 0.5, 10_000)
-    rows = clean.where(F.col("prix_m2").isNotNull() & F.col("date_mutation").isNotNull() & F.col("code_commune").isNotNull() & F.col("type_local").isNotNull())
-    return rows.groupBy(
-        "code_commune", F.year("date_mutation").alias("annee"), F.quarter("date_mutation").alias("trimestre"), "type_local"
-    ).agg(numbers.rounded(median, 2).alias("prix_median_m2"), F.count("prix_m2").alias("nb_transactions"))
+    key = ["code_commune", "annee", "trimestre", "type_local"]
+    dated = clean.select("code_commune", F.year("date_mutation").alias("annee"), F.quarter("date_mutation").alias("trimestre"), "type_local", "prix_m2")
+    rows = dated.where(keys.all_of([F.col(c).isNotNull() for c in [*key, "prix_m2"]]))
+    if exact:
+        found = medians.exact(rows, key, "prix_m2", "m")
+    else:
+        found = rows.groupBy(*key).agg(F.percentile_approx("prix_m2", 0.5, 10_000).alias("m"), F.count("*").alias("n"))
+    return found.select(*key, numbers.rounded(F.col("m"), 2).alias("prix_median_m2"), F.col("n").alias("nb_transactions"))
 
 
 def with_yearly_change(medians: DataFrame) -> DataFrame:
@@ -201,7 +206,11 @@ def geometry_load(existing: DataFrame, places: DataFrame, fine: DataFrame, coars
     return keys.merge(existing, own.unionByName(boroughs), "code_commune", {"geom": "new", "geom_simplified": "coalesce"})
 
 
-def load_with_guard(df: DataFrame, reference: DataFrame, existing: DataFrame | None, key: list[str], order: str | None = None) -> DataFrame:
-    """Rows with a known municipality, put into the existing table by key, or replacing it if that is None."""
-    kept = keys.known(df, reference)
-    return kept.drop(order) if existing is None and order else kept if existing is None else keys.upsert(existing, kept, key, order)
+def load_with_guard(table: BucketTable, df: DataFrame, reference: DataFrame, order: str | None = None, mode: str = "upsert") -> loads.Loaded:
+    """Load rows with a known municipality: put in by key, only new ones (``insert``), or in place of all (``replace``).
+
+    The result holds the counts, the refused rows and the buckets that were written.
+    """
+    if mode == "replace":
+        table.create(df.sparkSession.createDataFrame([], table.read().schema), table.key, table.n_buckets)
+    return loads.guarded(table, df, reference, order=order, mode="insert" if mode == "insert" else "upsert")

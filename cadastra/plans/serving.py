@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from cadastra import schemas
 from cadastra.functions import dates, numbers, spatial, text
 from cadastra.operators import keys, reviews
+from cadastra.operators.search import TrigramIndex
 from cadastra.sources import writers
+from cadastra.sources.grid import GridTable
 
 Codes = str | list[str] | DataFrame | None
 
@@ -36,12 +38,24 @@ def _star(communes: DataFrame, departements: DataFrame, regions: DataFrame) -> D
     return communes.join(d, "code_departement", "left").join(r, "code_region", "left")
 
 
-def search(communes: DataFrame, departements: DataFrame, regions: DataFrame, query: str, limit: int = 10) -> DataFrame:
-    """Municipalities whose name contains the text, most similar first, then by population (nulls last)."""
+def search(
+    communes: DataFrame, departements: DataFrame, regions: DataFrame, query: str, limit: int = 10, index: TrigramIndex | None = None
+) -> DataFrame:
+    """Municipalities whose name contains the text, most similar first, then by population (nulls last).
+
+    With an ``index`` of the names by code_commune only the postings of the query's trigrams are read, and
+    names are looked at where all sure trigrams are found; a query of very short words has none and
+    looks at every name.
+    """
     if not query:
         raise ValueError("the query is empty")
     checked(limit, 100)
-    hits = communes.where(text.contains_ignoring_case(F.col("nom"), query)).withColumn("score", text.similarity(F.col("nom"), F.lit(query)))
+    near = index.candidates(query) if index else None
+    if near is None:
+        scored = communes.withColumn("score", text.similarity(F.col("nom"), F.lit(query)))
+    else:
+        scored = communes.join(near, "code_commune")
+    hits = scored.where(text.contains_ignoring_case(F.col("nom"), query))
     relevance = [F.col("score").desc(), F.col("population").desc_nulls_last(), F.col("code_commune")]
     # the joins may shuffle, so the few rows are put in order again behind them
     found = _star(hits.orderBy(*relevance).limit(limit), departements, regions).orderBy(*relevance)
@@ -61,9 +75,10 @@ def list_departements(departements: DataFrame, region: str | None = None) -> Dat
     return rows.select("code_departement", "nom", "code_region").orderBy("nom", "code_departement")
 
 
-def districts_in_bbox(districts: DataFrame, bbox: str, limit: int = 1000) -> DataFrame:
+def districts_in_bbox(districts: DataFrame | GridTable, bbox: str, limit: int = 1000) -> DataFrame:
+    """Districts whose envelope meets the box; from a grid table only the cells near it are read."""
     box = spatial.parse_bbox(bbox)
-    rows = districts.where(spatial.intersects(F.col("box"), box))
+    rows = districts.read(box) if isinstance(districts, GridTable) else districts.where(spatial.intersects(F.col("box"), box))
     return writers.feature_collection(rows, ["code_iris", "code_commune", "nom_iris", "type_iris"], checked(limit, 5000), "code_iris")
 
 
@@ -71,7 +86,7 @@ def districts_of(districts: DataFrame, codes: Codes) -> DataFrame:
     return of(districts, codes).select("code_iris", "code_commune", "nom_iris", "type_iris", "geometry").orderBy("code_iris")
 
 
-def price_points(sales: DataFrame, bbox: str, year: int | None = None, kind: str | None = None, limit: int | None = None) -> DataFrame:
+def price_points(sales: DataFrame | GridTable, bbox: str, year: int | None = None, kind: str | None = None, limit: int | None = None) -> DataFrame:
     """Mean price per square metre and number of sales by coordinates; the year prunes partitions."""
     box = spatial.parse_bbox(bbox)
     conditions = [spatial.in_bbox(F.col("longitude"), F.col("latitude"), box), F.col("prix_m2") > 0]
@@ -80,7 +95,8 @@ def price_points(sales: DataFrame, bbox: str, year: int | None = None, kind: str
     if kind is not None:
         conditions.append(F.col("type_local") == kind)
     mean = F.avg(F.col("prix_m2").cast("decimal(18,2)"))
-    points = sales.where(keys.all_of(conditions)).groupBy("latitude", "longitude").agg(
+    rows = sales.read(box) if isinstance(sales, GridTable) else sales
+    points = rows.where(keys.all_of(conditions)).groupBy("latitude", "longitude").agg(
         numbers.rounded(mean, 0).alias("prix_m2_moyen"), F.count("*").alias("nb_transactions")
     )
     return points if limit is None else points.orderBy("latitude", "longitude").limit(checked(limit, 50_000))
@@ -89,8 +105,7 @@ def price_points(sales: DataFrame, bbox: str, year: int | None = None, kind: str
 def review_summary(records: DataFrame, codes: Codes, as_of: date) -> DataFrame:
     """Served summary and whether it is at most 30 days old."""
     fresh = dates.is_fresh(F.col("date_scraping"), F.lit(as_of))
-    rows = of(records, codes)
-    return reviews.summary(rows).join(rows.select("code_commune", "rang", fresh.alias("a_jour")), "code_commune")
+    return reviews.summary(of(records, codes).withColumn("a_jour", fresh), ["rang", "a_jour"])
 
 
 def risk_points(points: DataFrame, bbox: str | None = None, kind: str | None = None, codes: Codes = None, limit: int = 1000) -> DataFrame:

@@ -23,6 +23,13 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` written once as Parquet in the shared folder, and read from there: later uses evaluate nothing again."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Parquet, overwritten as a whole; with partitions, only those that the rows touch."""
     writer = df.write.mode("overwrite")
@@ -47,10 +54,24 @@ def json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def split_by_type(df: DataFrame, column: str, paths: dict[str, str]) -> None:
-    """One feed into one JSON table per record type."""
-    for kind, path in paths.items():
-        json_lines(df.where(F.col(column) == kind).drop(column), path)
+def sorted_table(df: DataFrame, path: str, key: str, rows_per_key: int = 1) -> None:
+    """Parquet for lookups by ``key``: files cover ranges of it and hold Bloom filters of its values.
+
+    A lookup skips row groups by their least and greatest value, and, where ranges overlap or the filter is
+    a list, by the Bloom filter.
+    """
+    different = max(1, df.count() // rows_per_key)
+    writer = df.repartitionByRange(F.col(key)).sortWithinPartitions(key).write.mode("overwrite")
+    writer.option(f"parquet.bloom.filter.enabled#{key}", "true").option(f"parquet.bloom.filter.expected.ndv#{key}", str(min(different, 1 << 20))).parquet(path)
+
+
+def split_by_type(df: DataFrame, column: str, path: str, kinds: list[str]) -> dict[str, str]:
+    """One feed into one JSON table per record type, in one pass; returns each type's folder.
+
+    A type without rows has no folder. Rows of other types, or none, go to folders that are not returned.
+    """
+    df.write.mode("overwrite").partitionBy(column).json(path)
+    return {k: f"{path}/{column}={k}" for k in kinds}
 
 
 def feature_collection(df: DataFrame, properties: list[str], limit: int, key: str) -> DataFrame:
