@@ -516,14 +516,16 @@ _add(
 
 # Sort, limit, set operations
 _add("sl_01_global_order", lambda t: jobs.crime_wide(jobs.crime_long(t("v_crime"))).orderBy("code_commune", "annee").select("code_commune", "annee"), f"WITH {_WIDE} SELECT code_commune, annee FROM wide ORDER BY 1, 2")
-_RELEVANCE = [F.col("score").desc(), F.col("population").desc_nulls_last(), F.col("code_commune")]
+def _by_relevance(t: Tables) -> DataFrame:
+    order = [F.col("score").desc(), F.col("population").desc_nulls_last(), F.col("code_commune")]
+    best = t.communes.withColumn("score", text.similarity(_C("nom"), F.lit("customer 00000042"))).orderBy(*order).limit(100)
+    # 100 rows are left when they are numbered
+    return best.select("code_commune", "score", F.row_number().over(Window.orderBy(*order)).alias("place"))
+
+
 _add(
     "sl_02_relevance",
-    # 100 rows are left when they are numbered
-    lambda t: t.communes.withColumn("score", text.similarity(_C("nom"), F.lit("customer 00000042")))
-    .orderBy(*_RELEVANCE)
-    .limit(100)
-    .select("code_commune", "score", F.row_number().over(Window.orderBy(*_RELEVANCE)).alias("place")),
+    _by_relevance,
     f"""SELECT code_commune, score, CAST(row_number() OVER (ORDER BY score DESC, population DESC NULLS LAST, code_commune) AS INT) AS place
       FROM (SELECT *, {_similarity("nom", "'customer 00000042'")} AS score FROM v_communes) ORDER BY place LIMIT 100""",
 )
