@@ -87,7 +87,7 @@ def segments(texts: DataFrame, text_col: str = "text") -> DataFrame:
 
 def outlines(texts: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
     """(row, id, lines, cross) of every row: a number of its own, the keys of its lines, the buckets across line ends."""
-    names = ["row", id_col, "lines", "cross"]
+    names = ["row", "id", "lines", "cross"]
     schema = T.StructType([*map(T.StructField, names, [T.LongType(), texts.schema[id_col].dataType, T.ArrayType(T.BinaryType()), T.BinaryType()])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,7 +101,7 @@ def outlines(texts: DataFrame, id_col: str, text_col: str = "text") -> DataFrame
             arrays = [batch.column(0), batch.column(1), pa.array(keys, pa.list_(pa.binary())), pa.array(cross, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return texts.select(F.monotonically_increasing_id().alias("row"), id_col, F.col(text_col).cast("binary").alias("text")).mapInArrow(run, schema)
+    return texts.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, schema)
 
 
 def _counted(buckets: DataFrame) -> DataFrame:
@@ -167,11 +167,11 @@ def weigh(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col:
     other = target.select(F.lit(0).alias("id"), F.col(text_col).alias("text"))
     gain = gains(totals(lines, rows), totals(segments(other), outlines(other, "id")))
     per_line = _gained(lines.select("key", "n_words", "buckets"), "buckets", gain)
-    across = _gained(rows.select("row", F.col(id_col).alias("id"), "cross", (F.octet_length("cross") / 2).cast("long").alias("n")), "cross", gain)
+    across = _gained(rows.select("row", "id", "cross", (F.octet_length("cross") / 2).cast("long").alias("n")), "cross", gain)
     # a pair across a line end is a feature without a word of its own, so it counts as one feature and no word
     ends = across.select("row", "id", F.lit(0).cast("long").alias("n_words"), F.col("n").alias("n_features"), "gain")
     found = (
-        rows.select("row", F.col(id_col).alias("id"), F.explode("lines").alias("key"))
+        rows.select("row", "id", F.explode("lines").alias("key"))
         .join(per_line, "key")
         .select("row", "id", F.col("n_words").cast("long"), F.greatest(2 * F.col("n_words") - 1, F.lit(0)).cast("long").alias("n_features"), "gain")
     )
@@ -197,11 +197,11 @@ def resample(
     in score and id in any order. An empty table gives an empty result, an empty target weighs all by
     rarity.
     """
-    weighed = weigh(docs, target, id_col, text_col).withColumn("score", F.col("weight") + noise(F.col(id_col), seed))
+    weighed = weigh(docs, target, id_col, text_col).withColumnRenamed(id_col, "id").withColumn("score", F.col("weight") + noise(F.col("id"), seed))
     fixed = stored(weighed.withColumn("able", F.col("n_words") >= least))
     drawn = fixed.where("able").count() * percent // 100
-    placed = ranked(fixed, [F.desc("able"), F.desc("score"), F.asc_nulls_last(id_col)])
-    return placed.select(id_col, "n_features", "weight", "score", F.when(F.col("place") < drawn, F.col("place") + 1).alias("rank"))
+    placed = ranked(fixed, [F.desc("able"), F.desc("score"), F.asc_nulls_last("id")])
+    return placed.select(F.col("id").alias(id_col), "n_features", "weight", "score", F.when(F.col("place") < drawn, F.col("place") + 1).alias("rank"))
 
 
 def keep_drawn(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
