@@ -624,13 +624,14 @@ def _third(k: int) -> Column:
     return F.floor(F.col("seq") / 20) % 3 == k
 
 
-def _intake(t: Tables, keep: str = "first") -> DataFrame:
+def _intake(t: Tables, keep: str = "first", merge: bool = False) -> DataFrame:
     inbox, root, state = t.path("inbox"), t.path("table"), t.path("state")
+    table = intake.table_at(t.spark, t.path("merged"), 16) if merge else None
     # the least seq of a review does not come first, and one delivery comes twice
     for k in (1, 2, 0, 1):
         t("v_review").where(_third(k)).write.mode("append").json(inbox)
-        intake.ingest(t.spark, inbox, root, state, keep=keep)
-    return intake.stored(t.spark, root, keep)
+        intake.ingest(t.spark, inbox, root, state, keep=keep, table=table)
+    return table.read() if merge else intake.stored(t.spark, root, keep)
 
 
 def _refresh(t: Tables) -> DataFrame:
@@ -655,7 +656,7 @@ _add(
 _add("st_01_incremental_reviews", lambda t: _intake(t).select("code_commune", "review_id", "seq"), f"WITH {_FIRST_SEEN} SELECT code_commune, review_id, seq FROM seen")
 _add(
     "st_01_changed_reviews",
-    lambda t: _intake(t, "last").select("code_commune", "review_id", "seq", "points_positifs"),
+    lambda t: _intake(t, "last", merge=True).select("code_commune", "review_id", "seq", "points_positifs"),
     """SELECT code_commune, review_id, seq, points_positifs FROM (SELECT *, row_number() OVER (PARTITION BY code_commune, review_id ORDER BY seq DESC) AS turn FROM v_review)
       WHERE turn = 1 OR review_id IS NULL""",
 )

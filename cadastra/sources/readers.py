@@ -85,12 +85,33 @@ _FEATURE = "type string, properties map<string, string>, geometry string"
 
 
 def features(spark: SparkSession, paths: str | list[str], by_line: bool = True) -> DataFrame:
-    """(properties, geometry) of GeoJSON features: one feature a line (splittable), or whole collections.
-
-    The geometry stays JSON text.
-    """
+    """(properties, geometry) of GeoJSON features: one feature a line, or collections. The geometry stays JSON text."""
     if by_line:
         return spark.read.schema(_FEATURE).json(paths).select("properties", "geometry")
+    return collections(spark, paths)
+
+
+#: What stands before the next feature of a collection, and what a collection ends with.
+_NEXT, _END = r'\{\s*"type"\s*:\s*$', r"\}\s*$"
+
+
+def collections(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(properties, geometry) of the features of whole GeoJSON collections, however large a file is.
+
+    Files are cut at ``"Feature"``, the value of each feature's leading type, so that one file is read by
+    many tasks. Each piece is closed again and parsed strictly: a file whose features do not begin with
+    their type, or in which that word stands elsewhere, is an error; ``whole_collections`` reads it.
+    """
+    pieces = spark.read.option("lineSep", '"Feature"').text(paths).where(~F.col("value").rlike(r"^[\s\x{FEFF}]*\{"))
+    sound = F.col("value").rlike(f"{_NEXT}|{_END}")
+    fault = F.raise_error(F.concat(F.lit("not a collection of features that begin with their type: ..."), F.right("value", F.lit(80))))
+    # a parser stops behind the feature, so what follows it does no harm
+    text = F.when(sound, F.concat(F.lit('{"type":"Feature"'), "value")).otherwise(fault)
+    return pieces.select(F.from_json(text, _FEATURE, {"mode": "FAILFAST"}).alias("f")).select("f.properties", "f.geometry")
+
+
+def whole_collections(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """As ``collections``, members in any order; each file is read by one task."""
     one = ", ".join(": ".join(f.split(" ", 1)) for f in _FEATURE.split(", "))
     whole = spark.read.schema(f"type string, features array<struct<{one}>>")
     return whole.option("multiLine", True).json(paths).select(F.explode("features").alias("f")).select("f.properties", "f.geometry")

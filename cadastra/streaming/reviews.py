@@ -2,7 +2,8 @@
 
 The stream's state remembers for every review which of its versions counts. A batch therefore reads
 nothing of what came before: it writes the rows that change something, and the table is the log of
-these, of which a reader takes the one that counts per review.
+these, of which a reader takes the one that counts per review. The log can be merged into a bucketed
+table on the way.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from cadastra import schemas
 from cadastra.operators import reviews
 from cadastra.session import SETTINGS
+from cadastra.sources.buckets import BucketTable
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Columns that tell reviews apart; one without an id is told apart by its seq.
@@ -72,13 +74,25 @@ def _session(spark: SparkSession) -> SparkSession:
     return own
 
 
-def ingest(spark: SparkSession, inbox: str, root: str, checkpoint: str, max_files: int = 1000, keep: str = "first") -> None:
+def table_at(spark: SparkSession, path: str, buckets: int = 64) -> BucketTable:
+    """The review table that intake can merge into, made empty if it isn't there."""
+    table = BucketTable(spark, path)
+    if not table.exists():
+        table.create(spark.createDataFrame([], schemas.REVIEW + ", _own long"), KEY, buckets)
+    return table
+
+
+def ingest(
+    spark: SparkSession, inbox: str, root: str, checkpoint: str, max_files: int = 1000, keep: str = "first", table: BucketTable | None = None
+) -> None:
     """Take in the review files that are new in ``inbox`` (JSON lines) and stop when there are no more.
 
     Rows need a code of five characters and a seq. Of the rows of one review (code_commune, review_id)
     the one with the least seq counts, or the greatest with ``keep="last"`` (a review that changed), in
     whatever order they are delivered; rows without an id all count. The batch number names the folder,
     so a batch that runs again after a failure replaces itself; a file delivered twice changes nothing.
+    With a ``table`` (of ``table_at``) each batch is also merged into it; only the buckets of its reviews
+    are read and written, and merging a batch twice is as merging it once.
     """
     stream = _session(spark).readStream.schema(schemas.REVIEW).option("maxFilesPerTrigger", max_files).json(inbox)
     valid = _own(stream.where((F.length("code_commune") == 5) & F.col("seq").isNotNull()))
@@ -86,6 +100,9 @@ def ingest(spark: SparkSession, inbox: str, root: str, checkpoint: str, max_file
 
     def take(batch: DataFrame, n: int) -> None:
         batch.write.mode("overwrite").parquet(_version(root, n))
+        if table is not None:
+            changes = _own(spark.read.schema(schemas.REVIEW).parquet(_version(root, n)))
+            table.rewrite(changes, lambda old, new: counting(old.unionByName(new), keep))
 
     query = decisive.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
     query.awaitTermination()
@@ -99,7 +116,7 @@ def log(spark: SparkSession, root: str) -> DataFrame:
 def counting(rows: DataFrame, keep: str = "first") -> DataFrame:
     """Of the rows of each review the one that counts: an aggregate, combined before it is shuffled."""
     best = F.min_by if _checked(keep) == "first" else F.max_by
-    return _own(rows).groupBy(*KEY).agg(best(F.struct(*rows.columns), "seq").alias("r")).select("r.*")
+    return (rows if "_own" in rows.columns else _own(rows)).groupBy(*KEY).agg(best(F.struct(*rows.columns), "seq").alias("r")).select("r.*")
 
 
 def stored(spark: SparkSession, root: str, keep: str = "first") -> DataFrame:

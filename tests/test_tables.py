@@ -283,6 +283,44 @@ def test_medians_equal_the_built_in_ones(spark):
     assert sorted(tuple(r) for r in medians.exact(rows, ["k"], "v", "m", 16).collect()) == want
 
 
+# Collections of features
+
+
+def collection(features, gap="", tail="]}"):
+    return '{"type":"FeatureCollection",' + gap + '"features":[' + f",{gap}".join(features) + gap + tail
+
+
+def test_one_collection_is_read_by_many_tasks(spark, tmp_path):
+    rows = [f'{{"type":"Feature","properties":{{"code":"{k:05d}","nom":"É \\"x\\" {{}}]"}},"geometry":{{"type":"Point","coordinates":[{k},{k % 7}.5]}}}}' for k in range(4000)]
+    (tmp_path / "a.json").write_text(collection(rows))
+    path = str(tmp_path / "a.json")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20001")
+    try:
+        found = readers.features(spark, path, by_line=False)
+        assert found.rdd.getNumPartitions() > 10
+        got = sorted(map(repr, found.collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(got) == 4000 and got == sorted(map(repr, readers.whole_collections(spark, path).collect()))
+
+
+def test_spaced_collections_with_other_members(spark, tmp_path):
+    (tmp_path / "a.json").write_text(collection(['{ "type" : "Feature", "properties": {"a": 1}, "geometry": null }', '{"type":"Feature"}'], "\n  ", '], "crs": {"n": {}} }\n'))
+    (tmp_path / "b.json").write_text(collection([]))
+    (tmp_path / "c.json").write_text("\ufeff" + collection(['{"type":"Feature","geometry":{"type":"Point"},"properties":{"a":"2"}}']))
+    got = sorted((r.properties or {}).get("a", "-") for r in readers.collections(spark, str(tmp_path)).collect())
+    assert got == ["-", "1", "2"]
+
+
+@pytest.mark.parametrize("odd", ['{"properties":{"a":"1"},"type":"Feature"}', '{"type":"Feature","properties":{"kind":"Feature"}}', '{"type":"Feature","properties":{"x":{"type":"Feature"}}}'])
+def test_collections_that_cannot_be_cut_are_errors(spark, tmp_path, odd):
+    (tmp_path / "a.json").write_text(collection([odd, odd]))
+    with pytest.raises(Exception):
+        readers.collections(spark, str(tmp_path / "a.json")).collect()
+    assert readers.whole_collections(spark, str(tmp_path / "a.json")).count() == 2
+
+
 # Feeds, lookups, chunks
 
 
@@ -351,6 +389,24 @@ def test_a_batch_reads_nothing_of_earlier_ones(spark, tmp_path):
     assert [(r.batch, r.seq) for r in intake.log(spark, root).collect()] == [(1, 1)]
 
 
+@pytest.mark.parametrize("keep", ["first", "last"])
+def test_batches_merge_into_the_table(spark, tmp_path, keep):
+    rows = [("90101", "1", s, f"t{s}", None, 1) for s in (2, 1, 3)] + [("90101", None, 4, "x", None, 1)]
+    rows += [(f"9{k:04d}", "r", 10 + k, "y", None, 1) for k in range(40)]
+    df = spark.createDataFrame(rows, REVIEW)
+    inbox, root, state = (str(tmp_path / x) for x in ("inbox", "root", "state"))
+    table = intake.table_at(spark, str(tmp_path / "table"), 16)
+    for n, part in enumerate([[2, 4, *range(10, 50)], [1, 3], [2, 4]]):
+        files = table.files()
+        df.where(F.col("seq").isin(part)).coalesce(1).write.mode("append").json(inbox)
+        intake.ingest(spark, inbox, root, state, keep=keep, table=table)
+        kept = files.items() & table.files().items()
+        assert len(kept) >= (0, len(files) - 1, len(files))[n]
+    found = {(r.code_commune, r.review_id, r.seq) for r in table.read().collect()}
+    assert found == {(r.code_commune, r.review_id, r.seq) for r in intake.stored(spark, root, keep).collect()}
+    assert ("90101", "1", 1 if keep == "first" else 3) in found and ("90101", None, 4) in found and len(found) == 42
+
+
 def test_rows_pass_whole(spark, tmp_path):
     full = spark.createDataFrame([("90101", "1", 1, "é\n\"q\"", None, None)], REVIEW)
     inbox, root, state = (str(tmp_path / x) for x in ("inbox", "root", "state"))
