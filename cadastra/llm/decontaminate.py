@@ -2,15 +2,16 @@
 
 Every Arrow batch of documents is a shard: its words become ids, its suffixes are sorted by their
 first words into a suffix array, and every suffix of every benchmark item is binary-searched in it by
-its first WINDOW words. The ranges found are all verbatim occurrences; each is extended along its item
-to the longest match, given with its places in the document and in the item. Suffixes that cannot start a window, because one of the words is in no benchmark
-item, are left out before the sort, which loses nothing.
+its first WINDOW words. The ranges found are all verbatim occurrences. Suffixes that cannot start a
+window, because one of the words is in no benchmark item, are left out before the sort, which loses
+nothing. ``locate`` gives the longest match from each place, by a suffix array of the items.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -26,21 +27,11 @@ WINDOW = 10
 BLOCK_BYTES = 32 << 20
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LONG = 4 << 20
+_LONGS = lambda *names: [T.StructField(n, T.LongType()) for n in names]
 RESULT = T.StructType(
-    [
-        T.StructField("n_words", T.LongType()),
-        T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
-        T.StructField("items", T.ArrayType(T.StringType())),
-        T.StructField(
-            "matches",
-            T.ArrayType(
-                T.StructType(
-                    [T.StructField(n, T.LongType()) for n in ("start", "end")] + [T.StructField("item", T.StringType()), T.StructField("item_start", T.LongType())]
-                )
-            ),
-        ),
-    ]
+    [*_LONGS("n_words"), T.StructField("spans", T.ArrayType(T.StructType(_LONGS("start", "end")))), T.StructField("items", T.ArrayType(T.StringType()))]
 )
+PLACES = T.ArrayType(T.StructType([*_LONGS("start", "end"), T.StructField("item", T.StringType()), *_LONGS("item_start", "n_items", "n_places")]))
 
 
 def _ids(text: bytes, vocabulary: dict[bytes, int]) -> np.ndarray:
@@ -59,7 +50,7 @@ def build_index(items: list[tuple[str, bytes | None]], window: int = WINDOW) ->
     """The distinct windows of the items in order, with the items that hold each."""
     texts = [(name, _WORD.findall((text or b"").lower())) for name, text in items]
     vocabulary = {w: i + 1 for i, w in enumerate(sorted({w for _, words in texts for w in words}))}
-    rows, owners, offsets = [], [], []
+    rows, owners = [], []
     for k, (_, words) in enumerate(texts):
         if not words:
             continue
@@ -68,12 +59,11 @@ def build_index(items: list[tuple[str, bytes | None]], window: int = WINDOW) ->
         own = np.lib.stride_tricks.sliding_window_view(ids, window)
         rows.append(own)
         owners += [k] * len(own)
-        offsets.append(np.arange(len(own)))
     if not rows:
         return {"empty": True, "vocabulary": {}}
     ids = np.concatenate(rows)
     _, first, inverse = np.unique(_keys(ids), return_index=True, return_inverse=True)
-    pairs, at = np.unique(np.stack([inverse.ravel(), np.array(owners)], axis=1), axis=0, return_index=True)
+    pairs = np.unique(np.stack([inverse.ravel(), np.array(owners)], axis=1), axis=0)
     ids = ids[first]
     lengths = (ids > 0).sum(axis=1)
     above = np.where(ids > 0, ids, np.uint32(0xFFFFFFFF))
@@ -85,9 +75,6 @@ def build_index(items: list[tuple[str, bytes | None]], window: int = WINDOW) ->
         "lengths": lengths,
         "owner_starts": np.searchsorted(pairs[:, 0], np.arange(len(ids) + 1)),
         "owners": pairs[:, 1],
-        # where a window comes first in its item
-        "offsets": np.concatenate(offsets)[at],
-        "item_ids": [np.array([vocabulary[w] for w in words], dtype=np.uint32) for _, words in texts],
         "names": np.array([name for name, _ in texts], dtype=object),
         "window": window,
     }
@@ -114,41 +101,15 @@ def _spread(counts: np.ndarray) -> np.ndarray:
     return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
-def _longest(ids: np.ndarray, found: list[tuple[int, int]], index: dict) -> list[tuple[int, int, str, int]]:
-    """Longest matches (start, end, item, item_start) of one text from its (start, window) occurrences.
-
-    An occurrence inside a match already found with the same item is part of it and isn't extended.
-    Words that an item repeats are matched where they come first in it.
-    """
-    out: list[tuple[int, int, str, int]] = []
-    reached: dict[int, int] = {}
-    for start, window in sorted(found):
-        size = int(index["lengths"][window])
-        for k in range(index["owner_starts"][window], index["owner_starts"][window + 1]):
-            owner, first = int(index["owners"][k]), int(index["offsets"][k])
-            if start + size <= reached.get(owner, 0):
-                continue
-            item = index["item_ids"][owner]
-            s, o = start, first
-            while s and o and ids[s - 1] == item[o - 1]:
-                s, o = s - 1, o - 1
-            length = min(len(ids) - s, len(item) - o)
-            unlike = np.flatnonzero(ids[s : s + length] != item[o : o + length])
-            e = s + (int(unlike[0]) if len(unlike) else length)
-            reached[owner] = max(e, reached.get(owner, 0))
-            out.append((s, e, index["names"][owner], o))
-    return out
-
-
-def search(texts: list[bytes | None], index: dict) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[list[str]], list[list[tuple]]]:
-    """Per text: number of words, maximal covered word ranges, names of items found (each once), longest matches."""
+def search(texts: list[bytes | None], index: dict) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[list[str]], list[list[int]]]:
+    """Per text: number of words, maximal covered word ranges, names of items found (each once), where windows start."""
     parts = [_ids(t or b"", index["vocabulary"]) for t in texts]
     n_words = np.array([len(p) for p in parts], dtype=np.int64)
     spans: list[list[tuple[int, int]]] = [[] for _ in texts]
     items: list[list[str]] = [[] for _ in texts]
-    longest: list[list[tuple]] = [[] for _ in texts]
+    places: list[list[int]] = [[] for _ in texts]
     if index["empty"] or not n_words.sum():
-        return n_words, spans, items, longest
+        return n_words, spans, items, places
     gap = np.zeros(1, dtype=np.uint32)
     ids = np.concatenate([x for p in parts for x in (p, gap)])
     begin = np.concatenate([[0], np.cumsum(n_words + 1)])
@@ -157,7 +118,7 @@ def search(texts: list[bytes | None], index: dict) -> tuple[np.ndarray, list[lis
     high = np.searchsorted(keys, index["high"], "right")
     found = np.flatnonzero(high > low)
     if not len(found):
-        return n_words, spans, items, longest
+        return n_words, spans, items, places
     counts = high[found] - low[found]
     windows = np.repeat(found, counts)
     starts = positions[np.repeat(low[found], counts) + _spread(counts)]
@@ -175,11 +136,11 @@ def search(texts: list[bytes | None], index: dict) -> tuple[np.ndarray, list[lis
     owner = index["owners"][np.repeat(index["owner_starts"][seen[:, 1]], held) + _spread(held)]
     for k, o in np.unique(np.stack([np.repeat(seen[:, 0], held), owner], axis=1), axis=0).tolist():
         items[k].append(index["names"][o])
-    for k in np.unique(doc_of).tolist():
-        own = doc_of == k
-        items[k] = sorted(set(items[k]))
-        longest[k] = _longest(parts[k], list(zip((starts[own] - begin[k]).tolist(), windows[own].tolist())), index)
-    return n_words, spans, items, longest
+    for k, names in enumerate(items):
+        items[k] = sorted(set(names))
+    for k, at in zip(doc_of.tolist(), (starts - begin[doc_of]).tolist()):
+        places[k].append(at)
+    return n_words, spans, items, places
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -196,58 +157,141 @@ def match_column(docs: DataFrame) -> str:
     return unused("match", docs)
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """``docs`` with one more column, the last: struct(n_words, spans, items, matches), named by ``match_column``.
-
-    spans are the maximal word ranges [start, end) that benchmark windows cover; items are the ids
-    (as strings, each once, though several rows may have it) of the items with an occurring window;
-    matches are the longest common runs of words with one item: their range, the item, their start in it. A window is ``window`` consecutive item
-    words; a shorter item that has words is one window. Null and empty texts have no words; a null
-    or empty item has no window; an empty benchmark matches nothing. Repeated rows each get their
-    own result, other columns pass through untouched. There is no shuffle: the benchmark (of at most
-    BLOCK_BYTES, else one block after the other) is broadcast.
-    """
-    spark = docs.sparkSession
+def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, bytes | None]]]:
+    """(item_id, text) of the benchmark in blocks of about BLOCK_BYTES at most, one after the other."""
     size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = size // BLOCK_BYTES + 1
     dealt = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.col("text").cast("binary"), F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).alias("block"))
-    names = list(docs.columns)
-    out = docs.withColumn(match_column(docs), F.lit(None).cast(RESULT))
-    schema = out.schema
-    place = names.index(text_col)
     for k in range(blocks):
-        rows = dealt.where(F.col("block") == k).select("item_id", "text").collect()
-        index = spark.sparkContext.broadcast(build_index([(r[0], r[1]) for r in rows], window))
+        yield [(r[0], r[1]) for r in dealt.where(F.col("block") == k).select("item_id", "text").collect()]
+
+
+def _passes(docs: DataFrame, benchmark: DataFrame, text_col: str, kind: T.DataType, prepare: Callable, results: Callable) -> DataFrame:
+    """``docs`` with one more column, the last, from one pass per block: ``results(texts, prepared block, values so far)``."""
+    place = docs.columns.index(text_col)
+    out = docs.withColumn(match_column(docs), F.lit(None).cast(kind))
+    schema = out.schema
+    for items in _blocks(benchmark):
+        shared = docs.sparkSession.sparkContext.broadcast(prepare(items))
 
-        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 texts = [x.as_py() for x in batch.column(place).cast(pa.large_binary())]
-                n_words, spans, items, longest = search(texts, index.value)
-                before = batch.column(batch.num_columns - 1).to_pylist()
-                result = [
-                    {
-                        "n_words": int(n_words[i]),
-                        "spans": [{"start": s, "end": e} for s, e in (_merged(spans[i] + [(x["start"], x["end"]) for x in old["spans"]]) if old else spans[i])],
-                        "items": sorted({*items[i], *(old["items"] if old else ())}),
-                        "matches": sorted(
-                            [{"start": s, "end": e, "item": n, "item_start": o} for s, e, n, o in longest[i]] + (old["matches"] if old else []),
-                            key=lambda m: tuple(m.values()),
-                        ),
-                    }
-                    for i, old in enumerate(before)
-                ]
-                kind = batch.schema.field(batch.num_columns - 1).type
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(result, kind)], schema=batch.schema)
+                found = results(texts, shared.value, batch.column(batch.num_columns - 1).to_pylist())
+                own = batch.schema.field(batch.num_columns - 1).type
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, own)], schema=batch.schema)
 
         out = out.mapInArrow(run, schema)
     return out
 
 
+def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
+    """``docs`` with one more column, the last: struct(n_words, spans, items), named by ``match_column``.
+
+    spans are the maximal word ranges [start, end) that benchmark windows cover; items are the ids
+    (as strings, each once, though several rows may have it) of the items with an occurring window. A
+    window is ``window`` consecutive item words; a shorter item that has words is one window. Null and
+    empty texts have no words; a null or empty item has no window; an empty benchmark matches nothing.
+    Repeated rows each get their own result, other columns pass through untouched. There is no shuffle:
+    the benchmark (of at most BLOCK_BYTES, else one block after the other) is broadcast.
+    """
+
+    def results(texts: list, index: dict, before: list) -> list[dict]:
+        n_words, spans, items, _ = search(texts, index)
+        return [
+            {
+                "n_words": int(n_words[i]),
+                "spans": [{"start": s, "end": e} for s, e in (_merged(spans[i] + [(x["start"], x["end"]) for x in old["spans"]]) if old else spans[i])],
+                "items": sorted({*items[i], *(old["items"] if old else ())}),
+            }
+            for i, old in enumerate(before)
+        ]
+
+    return _passes(docs, benchmark, text_col, RESULT, lambda items: build_index(items, window), results)
+
+
+class Suffixes:
+    """A suffix array of the items' words, by doubling the length that suffixes are sorted to."""
+
+    def __init__(self, items: list[tuple[str, bytes | None]], vocabulary: dict[bytes, int]):
+        parts = [_ids(text or b"", vocabulary) for _, text in items]
+        self.names = [name for name, _ in items]
+        # word number 0 parts the items
+        self.ids = np.concatenate([x for p in parts for x in (p, np.zeros(1, dtype=np.uint32))]).astype(np.int64)
+        lengths = np.array([len(p) + 1 for p in parts])
+        self.owner = np.repeat(np.arange(len(parts)), lengths)
+        self.begin = np.cumsum(lengths) - lengths
+        rank, k = self.ids.copy(), 1
+        while True:
+            behind = np.concatenate([rank[k:], np.zeros(min(k, len(rank)), dtype=np.int64)])
+            self.order = np.lexsort([behind, rank])
+            if k >= lengths.max():
+                break
+            new = np.diff(rank[self.order], prepend=-1).astype(bool) | np.diff(behind[self.order], prepend=-1).astype(bool)
+            rank[self.order] = np.cumsum(new)
+            k *= 2
+        self.known: dict[tuple[int, int], tuple] = {}
+
+    def longest(self, ids: np.ndarray, s: int) -> tuple[int, int, int]:
+        """Words from ``s`` on that some item has in a row, and the range of the suffixes that begin with them."""
+        low, high, n = 0, len(self.order), 0
+        while s + n < len(ids) and ids[s + n]:
+            at = lambda i, n=n: self.ids[self.order[i] + n]
+            first = bisect_left(range(len(self.order)), ids[s + n], low, high, key=at)
+            last = bisect_right(range(len(self.order)), ids[s + n], first, high, key=at)
+            if first == last:
+                break
+            low, high, n = first, last, n + 1
+        return n, low, high
+
+    def places(self, low: int, high: int) -> tuple[str, int, int, int]:
+        """Of a range of suffixes: the first item by name, its first place there, numbers of items and of places."""
+        if (low, high) not in self.known:
+            at = self.order[low:high]
+            names = {self.names[o] for o in np.unique(self.owner[at]).tolist()}
+            first = min(names)
+            start = min(int(p - self.begin[self.owner[p]]) for p in at.tolist() if self.names[self.owner[p]] == first)
+            self.known[low, high] = first, start, len(names), high - low
+        return self.known[low, high]
+
+
+def locate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
+    """``docs`` with one more column, the last: array of struct(start, end, item, item_start, n_items, n_places).
+
+    The longest runs of a document's words that an item has verbatim, of those in which a window occurs, in
+    order; a run inside another is left out. Each is given once however many items hold it: the first of
+    them by id with its first place there, and how many items and places there are. The work follows
+    the words matched and, once per run of a task, the places. A benchmark beyond BLOCK_BYTES is searched
+    in blocks, which give their runs each.
+    """
+
+    def prepare(items: list) -> tuple[dict, Suffixes | None]:
+        index = build_index(items, window)
+        return index, None if index["empty"] else Suffixes(items, index["vocabulary"])
+
+    def runs(text: bytes | None, starts: list[int], index: dict, suffixes: Suffixes) -> Iterator[tuple]:
+        ids, reached = _ids(text or b"", index["vocabulary"]), 0
+        for s in sorted(set(starts)):
+            n, low, high = suffixes.longest(ids, s)
+            if s + n > reached:
+                reached = s + n
+                yield s, reached, *suffixes.places(low, high)
+
+    def results(texts: list, prepared: tuple, before: list) -> list[list[dict]]:
+        index, suffixes = prepared
+        places = search(texts, index)[3]
+        names = PLACES.elementType.names
+        own = [[dict(zip(names, r)) for r in runs(t, p, index, suffixes)] if p else [] for t, p in zip(texts, places)]
+        return [sorted(a + (b or []), key=lambda m: tuple(m.values())) for a, b in zip(own, before)]
+
+    return _passes(docs, benchmark, text_col, PLACES, prepare, results)
+
+
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, n_words, n_hit, spans, items, matches): what ``scan`` finds, without the texts."""
+    """(doc_id, n_words, n_hit, spans, items): what ``scan`` finds, without the texts."""
     found = scan(docs.select("doc_id", "text"), benchmark).select("doc_id", "match.*")
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), "spans", "items", "matches")
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), "spans", "items")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import time
 import re
 
 import numpy as np
@@ -205,9 +206,48 @@ def test_longest_matches(spark):
     rows = [(1, " ".join(["x", *item[5:30], "y", *item[0:12], *item[35:40]])), (2, " ".join(item)), (3, "a " * 60), (4, words(rng, 50))]
     bench = spark.createDataFrame([(7, " ".join(item)), (8, "a " * 25), (7, " ".join(item))], "item_id long, text string")
     got = {r.doc_id: r for r in decontaminate.matches(corpus(spark, rows), bench).collect()}
-    assert {(m.start, m["end"], m["item"], m.item_start) for m in got[1].matches} == {(1, 26, "7", 5), (27, 39, "7", 0)}
-    assert got[1]["items"] == got[2]["items"] == ["7"] and {(m.start, m["end"]) for m in got[2].matches} == {(0, 40)}
-    assert got[3].n_hit == 60 and {m["end"] - m.start for m in got[3].matches} == {12, 25} and got[4].matches == []
+    found = {r.doc_id: r[-1] for r in decontaminate.locate(corpus(spark, rows), bench).collect()}
+    assert {(m.start, m["end"], m["item"], m.item_start) for m in found[1]} == {(1, 26, "7", 5), (27, 39, "7", 0)}
+    assert got[1]["items"] == got[2]["items"] == ["7"] and {(m.start, m["end"]) for m in found[2]} == {(0, 40)}
+    assert got[3].n_hit == 60 and [(m.start, m["end"]) for m in found[3]] == [(k, k + 25) for k in range(36)] and found[4] == []
+
+
+def test_a_passage_that_very_many_items_hold(spark):
+    licence = " ".join(f"w{k}" for k in range(30))
+    bench = spark.createDataFrame([(k, f"own{k} {licence} end{k}") for k in range(10_000)], "item_id long, text string")
+    text = " and ".join([licence] * 200)
+    docs = spark.createDataFrame([(1, text), (2, f"x {licence} end77 y")], "doc_id long, text string")
+    began = time.time()
+    one, two = decontaminate.locate(docs, bench).orderBy("doc_id").collect()
+    assert time.time() - began < 60
+    assert [(m.start, m["end"]) for m in one["match"]] == [(31 * k, 31 * k + 30) for k in range(200)]
+    assert {(m["item"], m.item_start, m.n_items, m.n_places) for m in one["match"]} == {("0", 1, 10_000, 10_000)}
+    assert [(m.start, m["end"], m["item"], m.item_start, m.n_items, m.n_places) for m in two["match"]] == [(1, 32, "77", 1, 1, 1)]
+    found = decontaminate.matches(docs, bench).orderBy("doc_id").collect()
+    assert [(r.n_hit, len(r["items"])) for r in found] == [(6000, 10_000), (31, 10_000)]
+
+
+def test_located_runs_equal_brute_force(spark):
+    rng = random.Random(31)
+    word = lambda n: " ".join(rng.choice("abc") for _ in range(n))
+    items = [(str(k), word(rng.randint(1, 20))) for k in range(12)] + [("5", word(9)), (None, "a b a b a"), ("6", None), ("7", "")]
+    rows = [(k, word(rng.randint(0, 60))) for k in range(40)]
+    found = decontaminate.locate(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string"), window=4).collect()
+    own = [(i or "", (t or "").split()) for i, t in items]
+    for (_, text), got in zip(rows, sorted(found, key=lambda r: r.doc_id)):
+        w, want, reached = text.split(), [], 0
+        for s in range(len(w)):
+            starts = [(i, x, o) for i, x in own for o in range(len(x)) if x[o] == w[s]]
+            size = lambda x, o, s=s: next((n for n in range(len(x) - o) if s + n >= len(w) or x[o + n] != w[s + n]), len(x) - o)
+            if not any(size(x, o) >= min(4, len(x)) for i, x, o in starts if o == 0 or len(x) >= 4):
+                continue
+            n = max(size(x, o) for _, x, o in starts)
+            places = [(i, o) for i, x, o in starts if size(x, o) == n]
+            if s + n > reached:
+                reached = s + n
+                first = min(places)
+                want.append((s, s + n, *first, len({i for i, _ in places}), len(places)))
+        assert [tuple(m) for m in got["match"]] == want
 
 
 def test_decontamination_in_blocks(spark, texts, monkeypatch):
