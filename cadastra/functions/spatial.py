@@ -17,6 +17,13 @@ def parse_bbox(text: str) -> tuple[float, float, float, float]:
     return parts[0], parts[1], parts[2], parts[3]
 
 
+def box_of_text(text: Column) -> Column:
+    """struct(minx, miny, maxx, maxy) of a text of four numbers with commas between; null if it isn't that."""
+    parts = F.transform(F.split(text, ","), lambda x: F.trim(x).try_cast("double"))
+    whole = (F.size(parts) == 4) & F.forall(parts, lambda x: x.isNotNull())
+    return F.when(whole, F.struct(*[F.get(parts, k).alias(n) for k, n in enumerate(("minx", "miny", "maxx", "maxy"))]))
+
+
 def point(longitude: Column, latitude: Column) -> Column:
     both = longitude.isNotNull() & latitude.isNotNull()
     return F.when(both, F.struct(longitude.alias("longitude"), latitude.alias("latitude")))

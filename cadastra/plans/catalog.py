@@ -224,6 +224,12 @@ _add(
     f"WITH {_PAGE} SELECT * FROM page",
 )
 _add("job_12_raw_pages_unrated", lambda t: reviews.parse_pages(t.raw("pages")).select("page_id"), "SELECT page_id FROM pages WHERE false")
+_add(
+    "job_12_page_reviews",
+    lambda t: reviews.parse_pages(t("v_page")).select("code_commune", F.posexplode("avis").alias("place", "a")).select("code_commune", "place", "a.review_id", "a.pseudonyme", "a.date_avis", "a.note_moyenne", F.col("a.notes.environnement").alias("environnement"), "a.points_positifs"),
+    """SELECT regexp_extract(url, '_([0-9AB]{5})$', 1) AS code_commune, 0 AS place, CAST(NULL AS VARCHAR) AS review_id, 'A' AS pseudonyme, '2029-07-14T18:05' AS date_avis, CAST(6.13 AS DOUBLE) AS note_moyenne,
+      9 AS environnement, CAST(NULL AS VARCHAR) AS points_positifs FROM v_page WHERE doc_id % 10 <> 0""",
+)
 _NINE = schemas.REVIEW_FIELDS
 _CHUNK = 40
 

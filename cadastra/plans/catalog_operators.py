@@ -214,7 +214,15 @@ def _csv_back(t: Tables, null: str, columns: list[str]) -> DataFrame:
 
 
 _add("snk_04_csv_columns", lambda t: _csv_back(t, "", ["code_commune", "nom", "code_departement", "population"]), "SELECT code_commune, nom, code_departement, population FROM v_communes")
-_add("snk_05_json_lines", _jsonl, f"SELECT {_REVIEW_COLUMNS} FROM v_review")
+
+
+def _city_lines(t: Tables) -> DataFrame:
+    path = t.path("cities")
+    writers.json_lines(t("v_city"), path)
+    return readers.json_lines(t.spark, path, "code_commune string, nom_ville string, note_globale double, rang string, avis_complets boolean, date_scraping date")
+
+
+_add("snk_05_json_lines", _city_lines, "SELECT * FROM v_city")
 _add("snk_06_bulk_csv_nulls", lambda t: _csv_back(t, "\\N", ["code_commune", "code_departement", "population"]), "SELECT code_commune, code_departement, population FROM v_communes")
 
 
@@ -413,8 +421,11 @@ _add("jn_04_previous_year", lambda t: jobs.price_trends(t.clean, t.communes).whe
 _add("jn_05_star", lambda t: serving.detail(t.communes, t("v_dept"), t("v_region"), None).select("code_commune", "nom_departement", "nom_region"), f"WITH {_STAR} SELECT code_commune, nom_departement, nom_region FROM star")
 _add(
     "jn_06_parent_children",
-    lambda t: reviews.records(t("v_city").unionByName(t("v_city").where("code_commune = '00001'")), t("v_review")).select("code_commune", "nb_avis"),
-    f"""WITH {_FIRST_SEEN}, n AS (SELECT c.code_commune, CAST(count(s.seq) AS INT) AS nb_avis FROM v_city c LEFT JOIN seen s
+    lambda t: reviews.records(t("v_city").unionByName(t("v_city").where("code_commune = '00001'")), t("v_review"), ["review_id", "pseudonyme", "nb_accord"]).select(
+        "code_commune", "nb_avis", F.array_join(F.transform("avis", lambda a: F.concat_ws("/", F.coalesce(a["review_id"], F.lit("-")), a["pseudonyme"], a["nb_accord"])), " ").alias("avis")
+    ),
+    f"""WITH {_FIRST_SEEN}, n AS (SELECT c.code_commune, CAST(count(s.seq) AS INT) AS nb_avis,
+      coalesce(string_agg(coalesce(review_id, '-') || '/' || pseudonyme || '/' || CAST(nb_accord AS VARCHAR), ' ' ORDER BY seq) FILTER (WHERE seq IS NOT NULL), '') AS avis FROM v_city c LEFT JOIN seen s
       ON s.code_commune = c.code_commune GROUP BY 1) SELECT * FROM n UNION ALL SELECT * FROM n WHERE code_commune = '00001'""",
 )
 _add("jn_07_unpivot_flags", lambda t: jobs.zone_risk_points(t.flags, t.communes), f"WITH {_FLAGS}, {_ZONE_POINTS} SELECT * FROM zone_points")
@@ -445,9 +456,18 @@ _add(
 )
 
 # Aggregates
-_add("ag_01_conditional_counts", lambda t: jobs.equipment_stats(t("v_equip")), f"WITH {_STATS} SELECT * FROM stats")
+_add(
+    "ag_01_conditional_counts",
+    lambda t: jobs.equipment_stats(t("v_equip").where("typequ like 'A%' or typequ like 'D2%'")),
+    "WITH " + _STATS.replace("FROM v_equip WHERE", "FROM v_equip WHERE (typequ LIKE 'A%' OR typequ LIKE 'D2%') AND") + " SELECT * FROM stats",
+)
 _add("ag_02_sum_by_three_keys", lambda t: jobs.crime_long(t("v_crime")), f"WITH {_CRIME} SELECT * FROM long")
-_add("ag_03_pivot", lambda t: jobs.crime_wide(jobs.crime_long(t("v_crime"))), f"WITH {_WIDE} SELECT * FROM wide")
+_add(
+    "ag_03_pivot",
+    # categories that a year lacks still have their columns
+    lambda t: jobs.crime_wide(jobs.crime_long(t("v_crime").where("annee >= 1996 and indicateur like 'V%'"))),
+    "WITH " + _WIDE.replace("FROM v_crime WHERE", "FROM v_crime WHERE annee >= 1996 AND indicateur LIKE 'V%' AND") + " SELECT * FROM wide",
+)
 _add("ag_04_weighted_mean", lambda t: jobs.exam_results(t("v_bac")).select("code_commune", "annee", "bac_taux_reussite"), CATALOG["job_05_exam_results"][1].replace("SELECT * FROM bac", "SELECT code_commune, annee, bac_taux_reussite FROM bac"))
 _GEO_COLUMNS = ", ".join(schemas.SALES_COLUMNS)
 _add("ag_05_lots_by_id", lambda t: sales.merge_lots_by_id(t.sold.where("source = 'geo'"), t.order), f"WITH {_SOLD}, {_GEO} SELECT {_GEO_COLUMNS} FROM geo")
@@ -462,7 +482,20 @@ _add(
     "SELECT code_commune, string_agg(CAST(nb_accord AS VARCHAR), ',' ORDER BY seq) AS votes FROM v_review GROUP BY 1",
 )
 _add("ag_12_token_frequency", lambda t: reviews.word_counts(reviews.first_seen(t("v_review"))).drop("position"), f"WITH {_FIRST_SEEN}, {_WORDS} SELECT code_commune, mot, frequence FROM counted")
-_add("ag_13_history_array", CATALOG["qry_14_exam_history"][0], CATALOG["qry_14_exam_history"][1])
+
+
+def _price_history(t: Tables) -> DataFrame:
+    found = jobs.quarterly_medians(keys.known(t.clean, t.communes)).where("type_local = 'Maison'")
+    entry = lambda h: F.concat_ws("/", h["annee"], h["trimestre"], h["nb_transactions"])
+    return serving.history(found, None, ["trimestre", "nb_transactions"]).select("code_commune", F.array_join(F.transform("historique", entry), " ").alias("historique"))
+
+
+_add(
+    "ag_13_history_array",
+    _price_history,
+    f"""WITH {_CLEAN}, {_MEDIANS} SELECT code_commune, string_agg(CAST(annee AS VARCHAR) || '/' || CAST(trimestre AS VARCHAR) || '/' || CAST(nb_transactions AS VARCHAR), ' ' ORDER BY annee, trimestre) AS historique
+      FROM medians WHERE type_local = 'Maison' GROUP BY 1""",
+)
 _add(
     "ag_14_counters",
     lambda t: keys.guard_counts(t.sold, t.communes),
@@ -531,9 +564,24 @@ _add(
 )
 _add("sl_03_by_name", lambda t: serving.list_regions(t("v_region")), "SELECT code_region, nom FROM v_region ORDER BY nom")
 _add("sl_04_checked_limit", lambda t: t.communes.orderBy("code_commune").limit(serving.checked(100, 1000)).select("code_commune"), "SELECT code_commune FROM v_communes ORDER BY 1 LIMIT 100")
-_add("sl_05_truncation", CATALOG["qry_05_districts_in_bbox"][0], CATALOG["qry_05_districts_in_bbox"][1])
+
+
+def _cut_at(t: Tables, limit: int) -> DataFrame:
+    rows = t("v_dept").withColumn("geometry", F.lit(None).cast("string"))
+    return writers.feature_collection(rows, ["nom"], limit, "code_departement").select(F.lit(limit).alias("n"), "count", "truncated", F.size("features").alias("n_features"))
+
+
+_add(
+    "sl_05_truncation",
+    lambda t: _cut_at(t, 24).unionByName(_cut_at(t, 25)).unionByName(_cut_at(t, 26)),
+    "SELECT n, CAST(least(n, m) AS INT) AS count, m > n AS truncated, CAST(least(n, m) AS INT) AS n_features FROM (SELECT count(*) AS m FROM v_dept), (VALUES (24), (25), (26)) AS limits(n)",
+)
 _add("so_01_union_by_name", lambda t: t("v_dept").select("nom", "code_region").unionByName(t("v_region").select("code_region", "nom")), "SELECT nom, code_region FROM v_dept UNION ALL SELECT nom, code_region FROM v_region")
-_add("so_02_union_points", lambda t: t.points, f"WITH {_POINTS} SELECT * FROM points")
+_add(
+    "so_02_union_points",
+    lambda t: t.points.groupBy("type_risque").agg(F.count("*").alias("n"), F.count_distinct("code_commune").alias("n_communes"), F.max("longitude").alias("longitude")),
+    f"WITH {_POINTS} SELECT type_risque, count(*) AS n, count(DISTINCT code_commune) AS n_communes, max(longitude) AS longitude FROM points GROUP BY 1",
+)
 
 
 def _paged(t: Tables) -> DataFrame:
@@ -580,7 +628,13 @@ _add(
 )
 _add("fn_19_json", lambda t: t("v_dept").select(F.from_json(F.to_json(F.struct("nom", "code_region")), "nom string, code_region string").alias("j")).select("j.*"), "SELECT nom, code_region FROM v_dept")
 _add("fn_20_positional_struct", lambda t: t("v_review").select("seq", text.as_struct(F.array(F.lit("9"), F.lit("x"), _C("nb_accord").cast("string")), schemas.CRITERIA, "int").alias("n")).select("seq", "n.environnement", "n.transports", "n.securite", "n.culture"), "SELECT seq, 9 AS environnement, CAST(NULL AS INT) AS transports, nb_accord AS securite, CAST(NULL AS INT) AS culture FROM v_review")
-_add("fn_21_bbox_text", lambda t: t("v_region").select("code_region", *[F.lit(x).alias(n) for n, x in zip(("a", "b", "c", "d"), spatial.parse_bbox("1,2,3.5,4"))]), "SELECT code_region, CAST(1 AS DOUBLE) AS a, CAST(2 AS DOUBLE) AS b, CAST(3.5 AS DOUBLE) AS c, CAST(4 AS DOUBLE) AS d FROM v_region")
+_add(
+    "fn_21_bbox_text",
+    # every seventh text lacks a number, every eleventh has a word for one
+    lambda t: t("v_iris").select("code_iris", spatial.box_of_text(F.expr("concat(x, ',', y, '.5, ', CASE WHEN x % 11 = 0 THEN 'x' ELSE cast(x + 1 AS string) END, CASE WHEN x % 7 = 0 THEN '' ELSE concat(',', y + 2) END)")).alias("b")).select("code_iris", "b.*"),
+    """SELECT code_iris, CASE WHEN ok THEN CAST(x AS DOUBLE) END AS minx, CASE WHEN ok THEN y + CAST(0.5 AS DOUBLE) END AS miny, CASE WHEN ok THEN CAST(x + 1 AS DOUBLE) END AS maxx,
+      CASE WHEN ok THEN CAST(y + 2 AS DOUBLE) END AS maxy FROM (SELECT *, x % 7 <> 0 AND x % 11 <> 0 AS ok FROM v_iris)""",
+)
 _add("fn_22_blank_to_null", lambda t: t("v_iris").select("code_iris", numbers.blank_to_null(_C("nom_iris")).alias("nom")), "SELECT code_iris, nullif(nom_iris, '') AS nom FROM v_iris")
 _add("fn_23_clean_name", lambda t: t("v_dept").select(text.clean_name(F.concat(F.lit(" Saint‑ "), "nom", F.lit(" "))).alias("nom")), "SELECT 'Saint- ' || nom AS nom FROM v_dept")
 _add("fn_24_int_from_decimal_text", lambda t: t("v_bac").select(numbers.to_int(_C("presents")).alias("n")), "SELECT CAST(CAST(presents AS DOUBLE) AS INT) AS n FROM v_bac")
@@ -592,7 +646,12 @@ _add("fn_27_labelled_paragraph", lambda t: t("v_review").select("seq", text.labe
 _CHECK = 'SELECT \'{}\' AS "check", \'{}\' AS "table", \'{}\' AS "column", CAST({} AS DOUBLE) AS observed, CAST({} AS DOUBLE) AS threshold, {} AS passed'.format
 _add("dq_01_volume", lambda t: quality.volume_and_nulls(t("v_tx"), "sales", [], 1_000_000), _CHECK("volume", "sales", "*", "count(*)", 1_000_000, "count(*) >= 1000000") + " FROM v_tx")
 _add("dq_02_required_columns", lambda t: quality.require(t("v_equip"), ["Code_Commune", "TYPEQU"]).agg(F.count("*").alias("n_rows")), "SELECT count(*) AS n_rows FROM v_equip")
-_add("dq_03_null_ceiling", CATALOG["ag_15_null_rates"][0], CATALOG["ag_15_null_rates"][1])
+_RATE = "round(CAST(avg(CAST({} IS NULL AS INT)) AS DECIMAL(38,10)), 6)"
+_add(
+    "dq_03_null_ceiling",
+    lambda t: quality.volume_and_nulls(t("v_tx"), "sales", ["id_mutation", "surface_terrain", "code_commune"], 0, 0.2).where("check = 'null_rate'"),
+    " UNION ALL ".join(_CHECK("null_rate", "sales", c, _RATE.format(c), 0.2, f"{_RATE.format(c)} <= 0.2") + " FROM v_tx" for c in ("id_mutation", "surface_terrain", "code_commune")),
+)
 _add("dq_04_required_inputs", lambda t: quality.require_inputs(t.spark, [f"{t.sf_dir}/events.parquet"]) or t.raw("events").agg(F.count("*").alias("n_rows")), "SELECT count(*) AS n_rows FROM events")
 _add("dq_05_references", lambda t: quality.references(t.sold, "sales", t.communes), f"WITH {_SOLD} " + _CHECK("reference", "sales", "code_commune", "count(*)", 0, "count(*) = 0") + f" FROM sold WHERE NOT {_KNOWN}")
 _add(
@@ -615,7 +674,11 @@ _add("sp_02_promotion", lambda t: t.districts.select("code_iris", "geometry"), f
 _add("sp_03_geojson_text", lambda t: t.districts.select("code_iris", F.get_json_object("geometry", "$.type").alias("kind"), F.size(spatial.polygons(_C("geometry"))).alias("n")), f"WITH {_IRIS} SELECT code_iris, 'MultiPolygon' AS kind, 1 AS n FROM iris")
 _add("sp_04_envelope", lambda t: t.districts.select("code_iris", "box.*"), f"WITH {_IRIS} SELECT code_iris, minx, miny, maxx, maxy FROM iris")
 _add("sp_05_box_filter", lambda t: district_grid(t).read((2, 3, 20, 15)).select("code_iris"), f"WITH {_IRIS} SELECT code_iris FROM iris WHERE minx <= 20 AND maxx >= 2 AND miny <= 15 AND maxy >= 3")
-_add("sp_06_centroids", lambda t: jobs.zone_risk_points(t.flags, t.communes), f"WITH {_FLAGS}, {_ZONE_POINTS} SELECT * FROM zone_points")
+_add(
+    "sp_06_centroids",
+    lambda t: sale_grid(t, jobs.zone_risk_points(t.flags, t.communes), "code_commune").read((-2.5, 42, 3, 46.25)),
+    f"WITH {_FLAGS}, {_ZONE_POINTS} SELECT * FROM zone_points WHERE longitude BETWEEN -2.5 AND 3 AND latitude BETWEEN 42 AND 46.25",
+)
 
 
 # Streaming
