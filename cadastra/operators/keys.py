@@ -47,16 +47,22 @@ def load_counts(df: DataFrame, reference: DataFrame, existing: DataFrame, key: l
     )
 
 
+def upserted(existing: DataFrame, new: DataFrame, key: list[str], order: str | None = None, keep_old: bool = False) -> DataFrame:
+    """As ``upsert``, with n_old and n_new: how many rows of either table had the key; ``keep_old`` lets old rows win."""
+    columns = [c for c in existing.columns if c != order]
+    rank = F.struct(F.lit(0) - F.col("_batch") if keep_old else F.col("_batch"), F.col(order) if order else F.lit(0))
+    rows = existing.withColumn("_batch", F.lit(0)).unionByName(new.withColumn("_batch", F.lit(1)), allowMissingColumns=True)
+    kept = F.max_by(F.struct(*columns), rank).alias("r")
+    return rows.groupBy(*key).agg(kept, F.count_if(F.col("_batch") == 0).alias("n_old"), F.count_if(F.col("_batch") == 1).alias("n_new")).select("r.*", "n_old", "n_new")
+
+
 def upsert(existing: DataFrame, new: DataFrame, key: list[str], order: str | None = None) -> DataFrame:
     """``existing`` with the rows of ``new`` put in by key; of several new rows the last by ``order`` counts.
 
     The result goes to a new table version: a table that is being read cannot be overwritten. Per key
     an aggregate keeps one row, so no key's rows are ever gathered.
     """
-    columns = [c for c in existing.columns if c != order]
-    rank = F.struct(F.col("_batch"), F.col(order) if order else F.lit(0))
-    rows = existing.withColumn("_batch", F.lit(0)).unionByName(new.withColumn("_batch", F.lit(1)), allowMissingColumns=True)
-    return rows.groupBy(*key).agg(F.max_by(F.struct(*columns), rank).alias("r")).select("r.*")
+    return upserted(existing, new, key, order).drop("n_old", "n_new")
 
 
 def merge(existing: DataFrame, new: DataFrame, key: str, policy: dict[str, str]) -> DataFrame:

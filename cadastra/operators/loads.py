@@ -16,7 +16,7 @@ STATUS = "_status"
 
 @dataclass
 class Loaded:
-    """What a load did: counts of its rows, the staged rows it refused, the buckets it wrote."""
+    """What a load did: counts of its rows, the rows without a known guard, the buckets it wrote."""
 
     counts: dict[str, int]
     rejects: DataFrame
@@ -30,36 +30,35 @@ class Loaded:
 def guarded(table: BucketTable, rows: DataFrame, reference: DataFrame, guard: str = "code_commune", order: str | None = None, mode: str = "upsert") -> Loaded:
     """Load ``rows`` into ``table``: those whose guard column is in ``reference``, the rest is refused.
 
-    The rows are marked and staged in one pass (a folder per mark) that counts them on the way; the load
-    and the refused rows both read the stage. With ``mode="insert"`` rows whose key exists are skipped too.
-    A row counts by whether its key was there before the load, so two new rows of one key are both
-    inserted ones, and the last by ``order`` is what the table holds. A null guard is never known.
+    One pass marks the rows and stages them in a folder per mark; the load and the refused rows both read the
+    stage. The write that puts rows in counts what it inserts and updates, from the old rows of the
+    buckets it rewrites anyway. With ``mode="insert"`` rows whose key exists are skipped too. A row counts by
+    whether its key was there before the load, so two new rows of one key are both inserted ones, and the
+    last by ``order`` is what the table holds. A null guard is never known; null keys are keys.
     """
     if mode not in ("upsert", "insert"):
         raise ValueError("mode is upsert or insert")
     spark, own = rows.sparkSession, table.key
     ok = reference.select(F.col(guard).alias("_guard")).distinct()
-    here = table.read().select(*own).distinct().withColumn("_here", F.lit(True))
     known = rows.join(ok, F.col(guard) == F.col("_guard"), "left")
-    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"h.{c}")) for c in own]
-    marks = known.alias("r").join(here.alias("h"), keys.all_of(same), "left").select("r.*", "h._here")
-    exists = F.when(F.col("_here").isNotNull(), F.lit("updated" if mode == "upsert" else "skipped")).otherwise("inserted")
-    marked = marks.withColumn(STATUS, F.when(F.col("_guard").isNull(), "refused").otherwise(exists)).drop("_guard", "_here")
-    seen = Observation()
-    counted = marked.observe(
-        seen,
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col(STATUS) == "inserted").alias("n_inserted"),
-        F.count_if(F.col(STATUS) == "updated").alias("n_updated"),
-        F.count_if(F.col(STATUS).isin("refused", "skipped")).alias("n_skipped"),
-    )
+    marked = known.withColumn(STATUS, F.when(F.col("_guard").isNull(), "refused").otherwise("known")).drop("_guard")
+    staged, loaded = Observation(), Observation()
     path = writers.scratch(spark, "stage")
-    counted.write.partitionBy(STATUS).parquet(path)
+    marked.observe(staged, F.count(F.lit(1)).alias("n"), F.count_if(F.col(STATUS) == "refused").alias("refused")).write.partitionBy(STATUS).parquet(path)
     stage = spark.read.schema(marked.schema).parquet(path)
-    wanted = stage.where(F.col(STATUS).isin("inserted", "updated")).drop(STATUS)
-    touched = table.upsert(wanted, order)
-    counts = {c: int(seen.get[c] or 0) for c in ("n_rows", "n_inserted", "n_updated", "n_skipped")}
-    return Loaded(counts, stage.where(F.col(STATUS).isin("refused", "skipped")), touched)
+
+    def combine(old: DataFrame, new: DataFrame) -> DataFrame:
+        there = F.col("n_old") > 0
+        return keys.upserted(old, new, own, order, keep_old=mode == "insert").observe(
+            loaded, F.sum(F.when(~there, F.col("n_new")).otherwise(0)).alias("inserted"), F.sum(F.when(there, F.col("n_new")).otherwise(0)).alias("matched")
+        )
+
+    touched = table.rewrite(stage.where(F.col(STATUS) == "known").drop(STATUS), combine)
+    put = loaded.get if touched else {}
+    inserted, matched = int(put.get("inserted") or 0), int(put.get("matched") or 0)
+    skipped = int(staged.get["refused"]) + (matched if mode == "insert" else 0)
+    counts = {"n_rows": int(staged.get["n"]), "n_inserted": inserted, "n_updated": 0 if mode == "insert" else matched, "n_skipped": skipped}
+    return Loaded(counts, stage.where(F.col(STATUS) == "refused").drop(STATUS), touched)
 
 
 class KeyRegistry:
@@ -77,9 +76,12 @@ class KeyRegistry:
         whole = keys.all_of([F.col(c).isNotNull() for c in self.key])
         wanted = writers.stored(df.where(whole).select(*self.key).distinct())
         if not self.table.exists():
-            self.table.create(keys.numbered(wanted, self.key, self.name).select(*self.key, F.col(self.name).cast("long")), self.key, self.buckets)
-        else:
-            fresh = wanted.join(self.table.lookup(wanted), self.key, "left_anti")
-            last = self.table.read().agg(F.max(self.name)).first()[0] or 0
-            self.table.append(keys.numbered(fresh, self.key, self.name).select(*self.key, (F.col(self.name) + last).cast("long").alias(self.name)))
+            none = wanted.where("false").withColumn(self.name, F.lit(0).cast("long"))
+            self.table.create(none, self.key, self.buckets)
+        fresh = writers.stored(wanted.join(self.table.lookup(wanted), self.key, "left_anti"))
+        # the table's note is the last number given
+        last, more = self.table.note, fresh.count()
+        if more:
+            given = keys.numbered(fresh, self.key, self.name).select(*self.key, (F.col(self.name) + last).cast("long").alias(self.name))
+            self.table.append(given, last + more)
         return df.join(self.table.lookup(wanted), self.key, "left")

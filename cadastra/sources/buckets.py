@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BUCKET = "_bucket"
-_MANIFEST = "bucket int, data_version int, n_buckets int, key array<string>, fields string"
+_MANIFEST = "bucket int, data_version int, n_buckets int, key array<string>, fields string, note long"
 
 
 class BucketTable:
@@ -46,6 +46,11 @@ class BucketTable:
     def key(self) -> list[str]:
         return self._manifest()[1][0]["key"]
 
+    @property
+    def note(self) -> int:
+        """A number that the last load left with the table, 0 at first."""
+        return self._manifest()[1][0]["note"]
+
     @property
     def n_buckets(self) -> int:
         return self._manifest()[1][0]["n_buckets"]
@@ -90,10 +95,10 @@ class BucketTable:
 
     # Loading
 
-    def create(self, df: DataFrame, key: list[str], buckets: int) -> None:
+    def create(self, df: DataFrame, key: list[str], buckets: int, note: int = 0) -> None:
         """The table anew from ``df``; what was there before stays readable for frames that read it."""
         version, _ = self._manifest()
-        head = {"n_buckets": buckets, "key": key, "fields": ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in df.schema.fields)}
+        head = {"n_buckets": buckets, "key": key, "fields": ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in df.schema.fields), "note": note}
         self._load(df, version, [], head, set(range(buckets)), keep=False)
 
     def rewrite(self, delta: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame]) -> set[int]:
@@ -109,12 +114,13 @@ class BucketTable:
             self._load(combine(old, delta).select(old.columns), version, manifest, manifest[0].asDict(), touched, keep=False)
         return touched
 
-    def append(self, df: DataFrame) -> set[int]:
+    def append(self, df: DataFrame, note: int | None = None) -> set[int]:
         """Add rows beside those that are there, without reading any; returns the buckets they fall into."""
         version, manifest = self._manifest()
         touched = self._dealt(df, manifest)
         if touched:
-            self._load(df, version, manifest, manifest[0].asDict(), touched, keep=True)
+            head = manifest[0].asDict()
+            self._load(df, version, manifest, head | {"note": head["note"] if note is None else note}, touched, keep=True)
         return touched
 
     def upsert(self, new: DataFrame, order: str | None = None) -> set[int]:
@@ -140,7 +146,7 @@ class BucketTable:
         left = [(r["bucket"], r["data_version"]) for r in manifest if keep or r["bucket"] not in touched]
         # an empty bucket has no folder; a table without any row keeps one line that names no files
         parts = [p for p in left if p[1] >= 0] + [(b, number) for b in sorted(touched & filled)] or [(0, -1)]
-        lines = [(b, v, head["n_buckets"], head["key"], head["fields"]) for b, v in parts]
+        lines = [(b, v, head["n_buckets"], head["key"], head["fields"], head["note"]) for b, v in parts]
         self.spark.createDataFrame(lines, _MANIFEST).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/version={number}")
 
     def _filled(self, number: int) -> set[int]:

@@ -136,7 +136,8 @@ def test_guarded_load_counts_in_the_pass_that_stages(spark, table):
     found = loads.guarded(wide, rows, reference, "g")
     assert found.counts == {"n_rows": 6, "n_inserted": 2, "n_updated": 2, "n_skipped": 2}
     assert sorted(r.k for r in found.rejects.collect()) == ["5", "6"]
-    assert evaluated.value == 6
+    # the rows are evaluated once, and of the table only the buckets that are written
+    assert evaluated.value == 6 and found.buckets < set(range(8)) and found.rejects.columns == rows.columns
     assert sorted(r.k for r in wide.read().where("v = 'new'").collect()) == ["1", "2", "300"] and wide.read().count() == 201
 
 
@@ -146,7 +147,9 @@ def test_guarded_insert_skips_what_exists(spark, table):
     rows = spark.createDataFrame([("1", "new", 2, "x"), ("301", "new", 2, "x")], "k string, v string, n int, code_commune string")
     found = jobs.load_with_guard(wide, rows, rows, mode="insert")
     assert found.counts == {"n_rows": 2, "n_inserted": 1, "n_updated": 0, "n_skipped": 1}
-    assert [r.k for r in wide.read().where("v = 'new'").collect()] == ["301"]
+    assert [r.k for r in wide.read().where("v = 'new'").collect()] == ["301"] and found.rejects.count() == 0
+    none = jobs.load_with_guard(wide, rows, rows.limit(0))
+    assert none.counts == {"n_rows": 2, "n_inserted": 0, "n_updated": 0, "n_skipped": 2} and none.buckets == set()
     replaced = jobs.load_with_guard(wide, rows, rows, mode="replace")
     assert replaced.counts["n_inserted"] == 2 and wide.read().count() == 2
     with pytest.raises(ValueError):
@@ -164,7 +167,7 @@ def test_numbers_survive_loads_in_any_order(spark, tmp_path, order):
         for r in found:
             assert given.setdefault(r.k, r.id) == r.id
     assert given.pop(None, None) is None
-    assert sorted(given.values()) == [1, 2, 3, 4]
+    assert sorted(given.values()) == [1, 2, 3, 4] and registry.table.note == 4
     again = {r.k: r.id for r in registry.assign(spark.createDataFrame(parts[0] + parts[1], "k string, x int")).collect() if r.k}
     assert again == given
 
