@@ -325,7 +325,7 @@ def _similarity(a: str, b: str) -> str:
     return f"CAST(length(list_intersect({x}, {y})) AS DOUBLE) / length(list_distinct(list_concat({x}, {y})))"
 
 
-def _search(t: Tables) -> DataFrame:
+def _indexed_search(t: Tables) -> DataFrame:
     index = TrigramIndex(t.spark, t.path("trigrams"), "code_commune", 16)
     index.build(t.communes, "nom")
     return serving.search(t.communes, t("v_dept"), t("v_region"), "customer#0000001", 20, index)
@@ -347,10 +347,11 @@ def sale_grid(t: Tables, sales: DataFrame, key: str) -> GridTable:
 
 _add(
     "qry_01_commune_search",
-    _search,
+    lambda t: serving.search(t.communes, t("v_dept"), t("v_region"), "customer#0000001", 20),
     f"""WITH {_STAR} SELECT code_commune, nom, code_postal, nom_departement, nom_region, {_similarity('nom', "'customer#0000001'")} AS score FROM star
       WHERE contains(lower(nom), 'customer#0000001') ORDER BY score DESC, population DESC NULLS LAST, code_commune LIMIT 20""",
 )
+_add("qry_01_indexed_search", _indexed_search, CATALOG["qry_01_commune_search"][1])
 _add("qry_02_commune_detail", lambda t: serving.detail(t.communes, t("v_dept"), t("v_region"), None), f"WITH {_STAR} SELECT * FROM star")
 _add("qry_03_regions", lambda t: serving.list_regions(t("v_region")), "SELECT code_region, nom FROM v_region")
 _add("qry_04_departements", lambda t: serving.list_departements(t("v_dept"), "01"), "SELECT * FROM v_dept WHERE code_region = '01'")
@@ -368,7 +369,8 @@ _add(
 )
 _PRICE_POINTS = f"""SELECT latitude, longitude, {_R('avg(CAST(CAST(prix_m2 AS DECIMAL(18,2)) AS DOUBLE))', 0)} AS prix_m2_moyen, count(*) AS nb_transactions
   FROM clean WHERE longitude BETWEEN -2.5 AND 3 AND latitude BETWEEN 42 AND 46.25 AND prix_m2 > 0"""
-_add("qry_07_price_points", lambda t: serving.price_points(sale_grid(t, t.clean, "code_commune"), BBOX), f"WITH {_CLEAN} {_PRICE_POINTS} GROUP BY 1, 2")
+_add("qry_07_price_points", lambda t: serving.price_points(t.clean, BBOX), f"WITH {_CLEAN} {_PRICE_POINTS} GROUP BY 1, 2")
+_add("qry_07_clustered_points", lambda t: serving.price_points(sale_grid(t, t.clean, "code_commune"), BBOX), CATALOG["qry_07_price_points"][1])
 _add(
     "qry_07_price_points_filtered",
     lambda t: serving.price_points(t.clean, BBOX, 1995, "Maison", 500),
