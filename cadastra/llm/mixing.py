@@ -6,7 +6,8 @@ dealt to permuted blocks by a hash; the partial pass takes blocks in hash order,
 crosses the target is split again, level by level, so no step sorts or gathers a whole source. The
 pass then goes on in hash order behind the document that crossed, over those that still fit. A
 multivariate-hypergeometric splitting tree divides each source's exact block quota among the output
-shards, and every shard shuffles its rows by another hash.
+shards, and every shard shuffles its rows by another hash. Last, single documents are taken in addition or
+left out once, as long as one brings a source nearer to its target.
 """
 
 from __future__ import annotations
@@ -164,13 +165,67 @@ def _fill(rows: DataFrame, edge: DataFrame, few: bool) -> tuple[DataFrame, DataF
     )
 
 
+def _nearest(rows: DataFrame, gaps: dict[str, float], tried: dict[str, list[int]], limit: int, few: bool) -> dict[str, tuple[int, int]]:
+    """For each source the order and size of the document that could move and comes closest to its gap."""
+    state = rows.sparkSession.createDataFrame([(k, float(g), tried[k]) for k, g in sorted(gaps.items())], "key string, gap double, tried array<bigint>")
+    # a document that is taken as often as it may be can only be left out, one that isn't taken only added
+    movable = F.when(F.col("gap") > 0, ~F.col("taken") & (F.col("passes") < limit)).otherwise(F.col("taken") | (F.col("passes") > 0))
+    near = rows.join(_sent(state, few), "key").where((F.col("size") > 0) & movable & ~F.array_contains("tried", F.col("order")))
+    off = F.struct(F.abs(F.col("size") - F.abs("gap")), F.col("order"))
+    return {r["key"]: (r["m"]["order"], r["m"]["size"]) for r in near.groupBy("key").agg(F.min_by(F.struct("order", "size"), off).alias("m")).collect()}
+
+
+def _corrected(rows: DataFrame, gap: DataFrame, limit: int, few: bool) -> DataFrame:
+    """(key, adds, drops): the orders of the documents to take once more or once less, so that gaps close.
+
+    ``rows`` has key, order, size, taken (by the partial pass) and passes. Each round looks, for all sources
+    at once, for the document whose size is closest to what is missing or too much, and for the one
+    that then makes up best for the difference; one of them or both move if that brings the sum nearer to the
+    target, else the source is done. A document moves at most once. The state is one row per source.
+    """
+    spark = rows.sparkSession
+    gaps = {k: float(g) for k, g in gap.collect()}
+    tried: dict[str, list[int]] = {k: [] for k in gaps}
+    moves: dict[str, tuple[list[int], list[int]]] = {k: ([], []) for k in gaps}
+    active = {k for k, g in gaps.items() if abs(g) >= 0.5}
+    while active:
+        one = _nearest(rows, {k: gaps[k] for k in active}, tried, limit, few)
+        for k, (order, _) in one.items():
+            tried[k].append(order)
+        after = {k: gaps[k] - (size if gaps[k] > 0 else -size) for k, (_, size) in one.items()}
+        two = _nearest(rows, {k: g for k, g in after.items() if g and g * gaps[k] < 0}, tried, limit, few)
+        chosen = [(k, order) for step in (one, two) for k, (order, _) in step.items()]
+        # rows alike in the order move together
+        found = rows.join(_sent(spark.createDataFrame(chosen, "key string, order bigint"), few), ["key", "order"]).groupBy("key", "order").agg(F.sum("size"))
+        whole = {(k, order): size for k, order, size in found.collect()} if chosen else {}
+        active = set()
+        for k, (order, _) in one.items():
+            add = gaps[k] > 0
+            options = [(gaps[k] - (whole[k, order] if add else -whole[k, order]), ((order, add),))]
+            if k in two:
+                other = two[k][0]
+                options.append((options[0][0] + (whole[k, other] if add else -whole[k, other]), ((order, add), (other, not add))))
+            left, taken = min(options, key=lambda o: abs(o[0]))
+            if abs(left) < abs(gaps[k]):
+                gaps[k] = left
+                tried[k] = [*tried[k][:-1], *(o for o, _ in taken)]
+                for o, added in taken:
+                    moves[k][not added].append(o)
+                if abs(left) >= 0.5:
+                    active.add(k)
+    return spark.createDataFrame([(k, a, d) for k, (a, d) in sorted(moves.items())], "key string, adds array<bigint>, drops array<bigint>")
+
+
 def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 17, weights: tuple[int, ...] = WEIGHTS, limit: int = LIMIT) -> DataFrame:
     """``docs`` with one more column, the last, named mix (with underscores if taken).
 
     It holds size, source_size, target, and shards: the output shard of each copy that the mix takes,
-    an empty list for none. A document is taken at most ``limit`` times; each source's taken words
-    come within a few words of its target where its documents allow it. Sizes count words; a null text has none. A null source is a source. Ties
-    in the hash (repeated ids; equal texts without an id) are taken together. Columns may have any names. Equal input gives equal output at any partitioning.
+    an empty list for none. A document is taken at most ``limit`` times. Sizes count words; a null text has
+    none. Each source's taken words come near its target: in the end no document that could be taken or left
+    out once more, closest to the difference, brings them nearer, nor does it with the one that then
+    fits best. A null source is a
+    source. Ties in the hash (repeated ids; equal texts without an id) are taken together. Columns may have any names.
+    Equal input gives equal output at any partitioning.
     Rows stay where they are: only sums by source and block are shuffled.
     """
     name = unused("mix", docs)
@@ -191,18 +246,18 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 17, weights: tuple[in
     edge = _boundaries(rows, plan, few)
     # the words before the crossing cell are taken; documents behind it fill the gap
     runs, gap = _fill(rows, edge, few)
-    # last, the document whose size is closest to the gap, if taking it brings the sum nearer to the target
-    off = F.abs(F.col("size") - F.col("gap"))
-    extra = (
-        rows.join(_sent(runs.join(gap, "key"), few), "key")
-        .where((F.col("place") >= F.col("runs")[0]["after"]) & ~_in_runs("runs", F.col("place"), F.col("size")))
-        .where((F.col("size") > 0) & (off < F.col("gap")))
-        .groupBy("key")
-        .agg(F.min_by("order", F.struct(off, F.col("order"))).alias("extra"))
+    # what the passes take, for the single documents that are moved last
+    crossed = edge.drop("gap").withColumnsRenamed({d: f"c{d}" for d in digits})
+    before = F.struct(*digits) < F.struct(*[f"c{d}" for d in digits])
+    passed = (
+        rows.join(_sent(plan.select("key", "passes").join(crossed, "key", "left").join(runs, "key", "left"), few), "key")
+        .withColumn("taken", F.coalesce(before, F.lit(False)) | F.coalesce(_in_runs("runs", F.col("place"), F.col("size")), F.lit(False)))
+        .select("key", "order", "size", "taken", "passes")
     )
-    sources = cut(plan.join(edge.drop("gap"), "key", "left").join(runs, "key", "left").join(extra, "key", "left"))
+    moved = _corrected(cut(passed), gap, limit, few)
+    sources = cut(plan.join(edge.drop("gap"), "key", "left").join(runs, "key", "left").join(moved, "key", "left"))
     blocks = _blocks(rows, sources, shards, seed)
-    found = F.struct("source_size", "target", "passes", *digits, "runs", "extra", "homes").alias("b")
+    found = F.struct("source_size", "target", "passes", *digits, "runs", "adds", "drops", "homes").alias("b")
     used = _sent(blocks.select("key", "block", found))
     # the documents travel as one column, so their names cannot clash with the ones used here
     whole = docs.select(
@@ -213,8 +268,8 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 17, weights: tuple[in
     cross = F.struct(*[F.col("b")[d].alias(d) for d in digits])
     part_taken = F.when(F.col("b.d0").isNull(), F.lit(False)).otherwise(here < cross)
     filled = F.coalesce(_in_runs("b.runs", _place(F.col("order")), F.col("size")), F.lit(False))
-    topped = filled | F.coalesce(F.col("b.extra") == F.col("order"), F.lit(False))
-    copies = F.col("b.passes") + (part_taken | topped).cast("int")
+    has = lambda c: F.coalesce(F.array_contains(f"b.{c}", F.col("order")), F.lit(False)).cast("int")
+    copies = F.col("b.passes") + (part_taken | filled).cast("int") + has("adds") - has("drops")
     result = F.struct(
         "size",
         F.col("b.source_size").alias("source_size"),
