@@ -24,6 +24,8 @@ SHARDS = 16
 #: Bits of the hash that number a source's blocks on each level: 1024 blocks, three levels.
 DIGIT = 10
 LEVELS = 3
+#: Share of a target within which a source's words are near enough to move no more documents, half a word at least.
+NEAR = 1e-4
 #: Bytes up to which a table of sources or blocks is broadcast; beyond, it joins by a shuffle.
 BROADCAST_BYTES = 32 << 20
 
@@ -181,13 +183,15 @@ def _corrected(rows: DataFrame, gap: DataFrame, limit: int, few: bool) -> DataFr
     ``rows`` has key, order, size, taken (by the partial pass) and passes. Each round looks, for all sources
     at once, for the document whose size is closest to what is missing or too much, and for the one
     that then makes up best for the difference; one of them or both move if that brings the sum nearer to the
-    target, else the source is done. A document moves at most once. The state is one row per source.
+    target, else the source is done, as it is within NEAR. A document moves at most once. ``gap`` and the state
+    have one row per source.
     """
     spark = rows.sparkSession
-    gaps = {k: float(g) for k, g in gap.collect()}
+    found = gap.select("key", "gap", "target").collect()
+    gaps, near = {r["key"]: float(r["gap"]) for r in found}, {r["key"]: max(0.5, NEAR * r["target"]) for r in found}
     tried: dict[str, list[int]] = {k: [] for k in gaps}
     moves: dict[str, tuple[list[int], list[int]]] = {k: ([], []) for k in gaps}
-    active = {k for k, g in gaps.items() if abs(g) >= 0.5}
+    active = {k for k, g in gaps.items() if abs(g) >= near[k]}
     while active:
         one = _nearest(rows, {k: gaps[k] for k in active}, tried, limit, few)
         for k, (order, _) in one.items():
@@ -211,7 +215,7 @@ def _corrected(rows: DataFrame, gap: DataFrame, limit: int, few: bool) -> DataFr
                 tried[k] = [*tried[k][:-1], *(o for o, _ in taken)]
                 for o, added in taken:
                     moves[k][not added].append(o)
-                if abs(left) >= 0.5:
+                if abs(left) >= near[k]:
                     active.add(k)
     return spark.createDataFrame([(k, a, d) for k, (a, d) in sorted(moves.items())], "key string, adds array<bigint>, drops array<bigint>")
 
@@ -221,7 +225,7 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 17, weights: tuple[in
 
     It holds size, source_size, target, and shards: the output shard of each copy that the mix takes,
     an empty list for none. A document is taken at most ``limit`` times. Sizes count words; a null text has
-    none. Each source's taken words come near its target: in the end no document that could be taken or left
+    none. Each source's taken words come within NEAR of its target, or in the end no document that could be taken or left
     out once more, closest to the difference, brings them nearer, nor does it with the one that then
     fits best. A null source is a
     source. Ties in the hash (repeated ids; equal texts without an id) are taken together. Columns may have any names.
@@ -254,7 +258,7 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 17, weights: tuple[in
         .withColumn("taken", F.coalesce(before, F.lit(False)) | F.coalesce(_in_runs("runs", F.col("place"), F.col("size")), F.lit(False)))
         .select("key", "order", "size", "taken", "passes")
     )
-    moved = _corrected(cut(passed), gap, limit, few)
+    moved = _corrected(cut(passed), gap.join(plan.select("key", "target"), "key"), limit, few)
     sources = cut(plan.join(edge.drop("gap"), "key", "left").join(runs, "key", "left").join(moved, "key", "left"))
     blocks = _blocks(rows, sources, shards, seed)
     found = F.struct("source_size", "target", "passes", *digits, "runs", "adds", "drops", "homes").alias("b")
