@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cadastra.plans import adapters, catalog
+from cadastra.sources.grid import GridTable
 from cadastra.streaming import reviews as intake
 
 SF = "/root/testdata/sf0.001"
@@ -76,3 +77,17 @@ def test_codes_that_stand_several_times(spark, shared_codes, name):
 )
 def test_operator_queries_do_the_whole_job(name, whole):
     assert catalog.oracle_sql()[name] == catalog.oracle_sql()[whole]
+
+
+def test_rows_at_one_place_are_parted_by_several_columns(spark, tmp_path):
+    rows = spark.range(4000).select(F.lit(None).cast("double").alias("x"), F.lit(1).alias("line"), F.col("id").alias("part"))
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        grid = GridTable(spark, str(tmp_path / "grid"))
+        grid.write(rows, ["x"] * 4, ["line", "part"])
+    finally:
+        spark.conf.set(name, before)
+    per_file = [r["count"] for r in grid.read().groupBy(F.input_file_name()).count().collect()]
+    assert sum(per_file) == 4000 and max(per_file) < 3000
