@@ -4,6 +4,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from cadastra.operators import reviews
 from cadastra.plans import adapters, catalog
 from cadastra.sources.grid import GridTable
 from cadastra.streaming import reviews as intake
@@ -91,3 +92,10 @@ def test_rows_at_one_place_are_parted_by_several_columns(spark, tmp_path):
         spark.conf.set(name, before)
     per_file = [r["count"] for r in grid.read().groupBy(F.input_file_name()).count().collect()]
     assert sum(per_file) == 4000 and max(per_file) < 3000
+
+
+def test_words_are_counted_in_a_hash_table(spark):
+    rows = [("00001", 2, "zebra lune", "lune"), ("00001", 1, None, "soleil zebra"), ("00001", None, "lune", None)]
+    found = reviews.word_counts(spark.createDataFrame(rows, "code_commune string, seq long, points_positifs string, points_negatifs string"))
+    assert "SortAggregate" not in found._jdf.queryExecution().toString()
+    assert [(r.mot, r.frequence) for r in found.orderBy("position").collect()] == [("lune", 3), ("soleil", 1), ("zebra", 2)]
