@@ -119,12 +119,15 @@ def deduplicate(docs: DataFrame, window: int = LINES, words: int = WORDS) -> Dat
     n_removed (non-blank lines). Blank lines neither match nor go. Null texts stay null, texts
     without a repeated run stay as they are, a text all of whose lines repeat becomes blank. Rows
     without an id take part, before all others. Other columns pass through.
+
+    The removed lines of a corpus are in proportion to it, so they meet the documents by a shuffle at
+    every size: a broadcast over small tables would hide what a large one takes.
     """
     name = unused("line_counts", docs)
     own = {c: unused(c, docs) for c in ("row_key", "line_array", "solid", "removed_lines")}
     key, lines, solid, removed = (F.col(c) for c in own.values())
     marks = later_copies(docs, window, words).withColumnsRenamed({"key": own["row_key"], "removed": own["removed_lines"]})
-    joined = docs.withColumn(own["row_key"], _row_key()).join(marks, own["row_key"], "left")
+    joined = docs.withColumn(own["row_key"], _row_key()).join(marks.hint("merge"), own["row_key"], "left")
     split = joined.withColumn(own["line_array"], F.split(F.coalesce("text", F.lit("")), "\n"))
     indexed = split.withColumn(
         own["solid"], F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.trim(F.get(lines, i)) != "")
