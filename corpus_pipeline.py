@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.llm import decontaminate, jaccard, lines, mixing, quality
+from cadastra.llm import decontaminate, jaccard, lines, mixing, quality, simhash
 from cadastra.llm.common import discard, held_out, shared_folder, table
 
 
@@ -24,8 +24,13 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that op1 links: fingerprints at 3 or fewer differing bits."""
+    return simhash.keep_one(docs)
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a similarity of 0.8 or more (Jaccard, 5-word shingles)."""
+    """One document of each group linked by a similarity of 0.8 or more (Jaccard, 5-word shingles); not in STAGES."""
     return jaccard.keep_one(docs)
 
 
@@ -52,7 +57,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
     ("quality_classifier", quality_stage),
     ("line_dedup", line_stage),
-    ("simhash_near_dedup", near_duplicate_stage),
+    ("simhash_near_dedup", simhash_stage),
     ("benchmark_decontamination", decontamination_stage),
     ("source_mixing", mixing_stage),
 ]
