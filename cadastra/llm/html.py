@@ -1,30 +1,33 @@
 """Main-text extraction by wrapper induction.
 
-A few pages of each host with different contents are parsed to block trees and aligned by simple tree
-matching (Yang, 1991). Text blocks that stay the same at aligned places form the host's template; the
-varying slots are content. What an element, role or class name declares to be no article (menus,
-adverts, forms and so on) is left out on every page, as its text varies too.
+All pages of a host are parsed to block trees, and those of one layout are aligned with one of them by
+simple tree matching (Yang, 1991). Text blocks that stay the same at aligned places form the host's
+template; the varying slots are content. Only a block that all pages of its layout hold can be constant,
+so these are counted first, and pages are aligned where there are any. What an element, role or class
+name declares to be no article (menus, adverts, forms and so on) is left out on every page, as its text
+varies too.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadastra.llm.common import stored
+from cadastra.llm.common import discard, stored
 
-#: Pages of a host that are aligned with one another, and how many of one layout tell constants from chance.
-SAMPLE = 6
+#: How many different pages of one layout tell constants from chance.
 LEAST = 3
+#: Trees that a task keeps to align further pages of their layouts with.
+TREES = 64
 #: Bytes of templates up to which they are broadcast; beyond, they join by a shuffle.
 BROADCAST_BYTES = 32 << 20
 #: Cells of one alignment table; longer lists of children are halved first, which keeps the result exact.
@@ -440,62 +443,139 @@ def match(a: Node, b: Node) -> list[tuple[Node, Node]]:
     return out
 
 
+def layout(found: list[Node]) -> int:
+    """A hash of the way down to the main text; pages with the same one are of one layout."""
+    key = 0
+    for x in found:
+        key = _step(_step(key, f"{_path(x):x}"), x.label)
+    return key
+
+
+def constants(first: Node, other: Node, wanted: frozenset[str] | None = None) -> list[tuple[int, str]]:
+    """(place, path and text) of the blocks of ``first`` that ``other`` has at aligned places, of those ``wanted``."""
+    met = {id(x): y for x, y in match(first, other) if x.tag == "#text"}
+    out, stack, place = [], [first], 0
+    while stack:
+        x = stack.pop()
+        if x.tag != "#text":
+            stack.extend(c for c in reversed(x.children) if not c.skip)
+            continue
+        place += 1
+        if id(x) in met and (text := _text(x)) and text == _text(met[id(x)]):
+            block = f"{_path(x):x}\n{text}"
+            if wanted is None or block in wanted:
+                out.append((place, block))
+    return out
+
+
 def induce(pages: list[str]) -> list[str]:
-    """The host's templates: path and text of the blocks that pages of one layout have at aligned places.
+    """The templates of a few different pages: path and text of the blocks that pages of one layout have at aligned places.
 
-    Pages with the same way down to their main text are of one layout; a layout of fewer than LEAST
-    pages has no template.
+    ``templates`` does the same for tables. A layout of fewer than LEAST pages has no template.
     """
-    layouts: dict[tuple, list[Node]] = {}
+    layouts: dict[int, list[Node]] = {}
     for page in pages:
         tree = parse(page)
-        layouts.setdefault(tuple((_path(x), x.label) for x in main_nodes(tree)), []).append(tree)
+        layouts.setdefault(layout(main_nodes(tree)), []).append(tree)
     out: set[str] = set()
-    for trees in layouts.values():
-        votes: dict[int, int] = {}
-        nodes: dict[int, Node] = {}
-        for other in trees[1:] if len(trees) >= LEAST else []:
-            for x, y in match(trees[0], other):
-                if x.tag == "#text" and _text(x) == _text(y):
-                    votes[id(x)] = votes.get(id(x), 0) + 1
-                    nodes[id(x)] = x
-        constant = [nodes[k] for k, n in votes.items() if n == len(trees) - 1]
-        out |= {f"{_path(x):x}\n{_text(x)}" for x in constant}
+    for first, *others in layouts.values():
+        if len(others) + 1 >= LEAST:
+            out |= {block for _, block in set.intersection(*(set(constants(first, x)) for x in others))}
     return sorted(out)
 
 
+def blocks(page: str) -> tuple[int, list[str]]:
+    """The page's layout, and path and text of the blocks of its main text, in order."""
+    found = main_nodes(parse(page))
+    return layout(found), [f"{p:x}\n{t}" for p, t in _leaves(found, [_path(x) for x in found])]
+
+
 def extract(page: str | None, template: frozenset[str] = frozenset()) -> str:
     """The main text: blocks of the main elements that are not part of the template."""
     if not page:
         return ""
-    found = main_nodes(parse(page))
-    blocks = _leaves(found, [_path(x) for x in found])
-    return "\n\n".join(t for p, t in blocks if not template or f"{p:x}\n{t}" not in template)
+    return "\n\n".join(x.partition("\n")[2] for x in blocks(page)[1] if x not in template)
 
 
 def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1))
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """(host, template) of each host with at least LEAST different pages of a layout.
+def _parsed(pages: DataFrame) -> DataFrame:
+    """(page_id, url, host, body, layout, blocks) of every row; body is a hash of the html, null as that is."""
+    columns = [pages.schema["page_id"], *(T.StructField(c, T.StringType()) for c in ("url", "host")), T.StructField("body", T.LongType())]
+    schema = T.StructType([*columns, T.StructField("layout", T.LongType()), T.StructField("blocks", T.ArrayType(T.StringType()))])
 
-    Of a host's different contents those with the SAMPLE least hashes are taken. The window sees hashes
-    only, and Spark limits its groups before the shuffle, so a host with a third of all pages costs no
-    more than SAMPLE rows per task.
-    """
-    body = F.xxhash64("html")
-    named = pages.select(host(F.col("url")).alias("host"), body.alias("body"), "html").where("host <> '' and html is not null")
-    place = F.row_number().over(Window.partitionBy("host").orderBy("body"))
-    picked = named.select("host", "body").distinct().withColumn("place", place).where(F.col("place") <= SAMPLE).drop("place")
-    sample = named.join(picked, ["host", "body"]).groupBy("host", "body").agg(F.min("html").alias("html"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [blocks(page.as_py()) if page.as_py() else (0, []) for page in batch.column(4)]
+            layouts = pa.array(np.array([x for x, _ in found], dtype=np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], layouts, pa.array([x for _, x in found], pa.list_(pa.string()))], schema.names)
+
+    body = F.when(F.col("html").isNotNull(), F.xxhash64("html"))
+    return pages.select("page_id", F.col("url").cast("string"), host(F.col("url")).alias("host"), body.alias("body"), "html").mapInArrow(run, schema)
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        found = induce(rows.sort_values("body")["html"].tolist()) if len(rows) >= LEAST else []
-        kept = rows["host"].iloc[:1] if found else rows["host"].iloc[:0]
-        return pd.DataFrame({"host": kept, "template": pd.Series([found] * len(kept), index=kept.index, dtype=object)})
 
-    return sample.groupBy("host").applyInPandas(run, "host string, template array<string>")
+def _aside(df: DataFrame, column: str) -> DataFrame:
+    """``df``, to be broadcast if its ``column``, a text or an array of texts, is no larger than BROADCAST_BYTES."""
+    text = F.array_join(column, "") if isinstance(df.schema[column].dataType, T.ArrayType) else F.col(column)
+    return F.broadcast(df) if (df.agg(F.sum(F.octet_length(text))).first()[0] or 0) <= BROADCAST_BYTES else df
+
+
+def templates(pages: DataFrame, parsed: DataFrame) -> DataFrame:
+    """(host, template) of each host that has one, from all of its pages; ``parsed`` is ``_parsed(pages)``.
+
+    A block is constant if all different pages of its layout have it at the place that is aligned with its
+    place in one of them, the one with the least hash; LEAST such pages are needed. First the blocks are
+    counted that all pages of a layout hold, by hashes; only pages of layouts with such blocks are aligned,
+    each in a row of its own, so that no task holds the pages of a host.
+    """
+    rows = parsed.where("host <> '' and body is not null").select(
+        "host", "layout", "body", F.array_distinct(F.transform("blocks", lambda x: F.xxhash64(x))).alias("held"), "blocks"
+    )
+    # rows with the same contents count once
+    kinds = rows.groupBy("host", "layout", "body").agg(F.count("*").alias("copies"))
+    layouts = kinds.groupBy("host", "layout").agg(F.count("*").alias("n"), F.min("body").alias("first"), F.sum("copies").alias("n_rows")).where(F.col("n") >= LEAST)
+    layouts = stored(layouts)
+    counted = rows.select("host", "layout", F.explode("held").alias("block")).groupBy("host", "layout", "block").agg(F.count("*").alias("n_rows"))
+    common = counted.join(layouts, ["host", "layout", "n_rows"]).groupBy("host", "layout", "first", "n").agg(F.collect_list("block").alias("common"))
+    open_ = stored(common)
+    if open_.isEmpty():
+        discard(layouts)
+        return open_.select("host", F.array().cast("array<string>").alias("template"))
+    own = pages.select(host(F.col("url")).alias("host"), F.xxhash64("html").alias("body"), "html").where("html is not null")
+    named = open_.select("host", "layout", F.col("first").alias("body"), "n")
+    texts = own.join(named, ["host", "body"]).groupBy("host", "layout", "n").agg(F.min("html").alias("html_first"))
+    chosen = rows.join(open_.select("host", "layout", F.col("first").alias("body"), "common"), ["host", "layout", "body"])
+    wanted = chosen.groupBy("host", "layout").agg(F.first(F.filter("blocks", lambda x: F.array_contains("common", F.xxhash64(x)))).alias("wanted"))
+    firsts = stored(texts.join(wanted, ["host", "layout"]))
+    schema = "host string, layout long, body long, place int, block string"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees: OrderedDict[tuple[str, int], Node] = OrderedDict()
+        for batch in batches:
+            for row in zip(*batch.columns):
+                name, key, body, page = (x.as_py() for x in row[:4])
+                if (name, key) not in trees:
+                    trees[name, key] = parse(row[4].as_py())
+                    if len(trees) > TREES:
+                        trees.popitem(last=False)
+                trees.move_to_end((name, key))
+                found = constants(trees[name, key], parse(page), frozenset(row[5].as_py()))
+                if found:
+                    n = len(found)
+                    columns = [[name] * n, [key] * n, [body] * n, [x for x, _ in found], [x for _, x in found]]
+                    kinds_ = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds_)], ["host", "layout", "body", "place", "block"])
+
+    kept = kinds.join(open_.select("host", "layout"), ["host", "layout"]).select("host", "layout", "body")
+    members = own.join(kept, ["host", "body"])
+    met = members.join(_aside(firsts, "html_first"), ["host", "layout"]).select("host", "layout", "body", "html", "html_first", "wanted")
+    votes = met.mapInArrow(run, schema).distinct()
+    agreed = votes.groupBy("host", "layout", "place", "block").agg(F.count("*").alias("votes")).join(open_.select("host", "layout", "n"), ["host", "layout"])
+    found = stored(agreed.where("votes = n").groupBy("host").agg(F.collect_set("block").alias("template")))
+    discard(layouts, firsts)
+    return found
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -504,19 +584,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     Pages without a usable host get no template. Extra columns are ignored, repeated rows kept. Pages
     of any length and depth are parsed whole.
     """
-    known = stored(templates(pages))
-    rows = pages.select("page_id", "url", "html", host(F.col("url")).alias("host"))
-    size = known.agg(F.sum(F.octet_length(F.array_join("template", "")))).first()[0] or 0
-    side = F.broadcast(known) if size <= BROADCAST_BYTES else known
-    schema = T.StructType([pages.schema["page_id"], T.StructField("url", T.StringType()), T.StructField("text", T.StringType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [
-                extract(page.as_py(), frozenset(own.as_py() or ()))
-                for page, own in zip(batch.column(2), batch.column(3))
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
-
-    joined = rows.join(side, "host", "left").select("page_id", F.col("url").cast("string"), "html", "template")
-    return joined.mapInArrow(run, schema)
+    parsed = stored(_parsed(pages))
+    known = _aside(templates(pages, parsed), "template")
+    left = F.filter("blocks", lambda x: ~F.array_contains(F.coalesce("template", F.array().cast("array<string>")), x))
+    text = F.array_join(F.transform(left, lambda x: F.substring_index(x, "\n", -1)), "\n\n")
+    return parsed.join(known, "host", "left").select("page_id", "url", text.alias("text"))
