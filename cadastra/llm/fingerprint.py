@@ -257,7 +257,7 @@ def edit_and_compare(docs: DataFrame) -> DataFrame:
     edited = F.concat(F.expr("left(text, cast(n_chars - n_chars div 2 as int))"), F.col("gift"))
     versions = own.select("key", F.col("n_chars").cast("long").alias("n_chars"), digests(F.col("text")).alias("a"), edited.alias("edited"), "next")
     sketched = versions.select(
-        "key", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "a", digests(F.col("edited")).alias("e"), "next"
+        "key", "n_chars", F.unhex(F.sha2(F.col("edited").cast("binary"), 256)).alias("edited_sha256"), "a", digests(F.col("edited")).alias("e"), "next"
     )
     ready = sketched.select("*", _groups(F.col("a"), F.col("e")).alias("groups_e"), _groups(F.col("a"), F.col("next")).alias("groups_next"))
     # the digests are small next to the work on them, so they are dealt out finer than by their size
@@ -268,8 +268,9 @@ def edit_and_compare(docs: DataFrame) -> DataFrame:
     found = sketches(ready.repartition(parts, "key").select("key", F.explode(units).alias("u")).select("key", "u.*"), "key", 3)
     tried = found.select(
         "key",
-        fingerprint_text(F.col("v0")).alias("fingerprint"),
-        fingerprint_text(F.col("v1")).alias("edited_fingerprint"),
+        # bytes until the end: hex digits take twice the room in tables and shuffles
+        F.unhex(fingerprint_text(F.col("v0"))).alias("fingerprint"),
+        F.unhex(fingerprint_text(F.col("v1"))).alias("edited_fingerprint"),
         _compared(F.col("v0"), F.col("v1")).alias("d0"),
         _compared(F.col("v0"), F.col("v2")).alias("d1"),
     )
@@ -293,9 +294,12 @@ def edit_and_compare(docs: DataFrame) -> DataFrame:
         "key",
         "n_chars",
         "edited_sha256",
-        F.coalesce("fingerprint", F.lit("")).alias("fingerprint"),
-        F.coalesce("edited_fingerprint", F.lit("")).alias("edited_fingerprint"),
+        "fingerprint",
+        "edited_fingerprint",
         _likeness(F.col("size"), pick("p", 0), pick("m", 0)).alias("near_edited"),
         _likeness(F.col("size"), pick("p", 1), pick("m", 1)).alias("near_next"),
     )
-    return docs.select("doc_id", _row_key().alias("key")).join(result, "key").drop("key")
+    text = lambda c: F.coalesce(F.lower(F.hex(c)), F.lit("")).alias(c)
+    return docs.select("doc_id", _row_key().alias("key")).join(result, "key").select(
+        "doc_id", "n_chars", text("edited_sha256"), text("fingerprint"), text("edited_fingerprint"), "near_edited", "near_next"
+    )
