@@ -4,8 +4,8 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from cadastra.operators import reviews
-from cadastra.plans import adapters, catalog
+from cadastra.operators import loads, reviews
+from cadastra.plans import adapters, catalog, jobs
 from cadastra.sources.grid import GridTable
 from cadastra.streaming import reviews as intake
 
@@ -99,3 +99,20 @@ def test_words_are_counted_in_a_hash_table(spark):
     found = reviews.word_counts(spark.createDataFrame(rows, "code_commune string, seq long, points_positifs string, points_negatifs string"))
     assert "SortAggregate" not in found._jdf.queryExecution().toString()
     assert [(r.mot, r.frequence) for r in found.orderBy("position").collect()] == [("lune", 3), ("soleil", 1), ("zebra", 2)]
+
+
+def test_many_keys_reach_no_broadcast(spark, tmp_path):
+    registry = loads.KeyRegistry(spark, str(tmp_path / "r"), ["k"], buckets=2)
+    rows = spark.range(150_000).select(F.col("id").cast("string").alias("k"))
+    found = registry.assign(rows)
+    assert "Broadcast" not in found._jdf.queryExecution().toString()
+    assert found.agg(F.count_distinct("id"), F.min("id"), F.max("id")).first()[:] == (150_000, 1, 150_000)
+    assert registry.assign(rows.limit(3)).where("id is null").count() == 0 and registry.table.note == 150_000
+
+
+def test_populations_reach_no_broadcast(spark, tmp_path):
+    spark.createDataFrame([("00001", 4.0)], "codgeo string, p23_pop double").write.parquet(str(tmp_path / "p"))
+    reference = spark.createDataFrame([("00001", 2.0)], "code_commune string, superficie double")
+    found = jobs.communes(reference, spark.read.parquet(str(tmp_path / "p")))
+    assert "Broadcast" not in found._jdf.queryExecution().toString()
+    assert [(r.population, r.densite) for r in found.collect()] == [(4, 2.0)]
