@@ -64,6 +64,14 @@ def test_codes_that_stand_several_times(spark, shared_codes, name):
     assert _rows(df.collect(), df.columns, sorted(df.columns)) == _rows(expected.fetchall(), expected.columns, sorted(df.columns))
 
 
+def test_search_where_codes_stand_several_times(spark, shared_codes):
+    folder, con = shared_codes
+    df, expected = catalog.queries()["qry_01_indexed_search"](spark, folder), con.sql(catalog.oracle_sql()["qry_01_indexed_search"])
+    # which of one code's rows comes last is open
+    columns = ["code_commune", "nom", "score"]
+    assert _rows(df.collect(), df.columns, columns) == _rows(expected.fetchall(), expected.columns, columns)
+
+
 @pytest.mark.parametrize(
     "name, whole",
     [
