@@ -124,3 +124,19 @@ def test_populations_reach_no_broadcast(spark, tmp_path):
     found = jobs.communes(reference, spark.read.parquet(str(tmp_path / "p")))
     assert "Broadcast" not in found._jdf.queryExecution().toString()
     assert [(r.population, r.densite) for r in found.collect()] == [(4, 2.0)]
+
+
+def test_geometry_load_holds_only_existing_rows_and_shapes_of_a_code(spark):
+    place = "code_commune string, nom string, code_departement string, code_region string"
+    old = [(c, "old", "a", "b", None, "was") for c in ("1", "1", "7", None, "75101")]
+    existing = spark.createDataFrame(old, place + ", geom string, geom_simplified string")
+    places = spark.createDataFrame([(c, "place", "a", "b") for c in ("1", "1", "1", "2", "3")], place)
+    codes = [("i", "1"), ("j", "1"), ("k", "2"), ("l", "75101"), ("m", "75102"), ("n", "9")]
+    fine = spark.createDataFrame([(*c, "new", "75", "11", '{"type":"MultiPolygon","coordinates":[]}') for c in codes], "id string, code string, nom string, departement string, region string, geometry string")
+    found = jobs.geometry_load(existing, places, fine, fine.where("id in ('i', 'm')").withColumn("geometry", F.replace("geometry", F.lit("[]"), F.lit("[[]]"))))
+    assert "FullOuter" not in found._jdf.queryExecution().toString()
+    simple = {"was": "was", None: None}
+    got = sorted((r.code_commune or "", r.nom, r.geom is not None, simple.get(r.geom_simplified, "coarse")) for r in found.collect())
+    # two existing rows by three places by two shapes, one of which has a coarse one
+    assert [r for r in got if r[0] == "1"] == [("1", "old", True, "coarse")] * 6 + [("1", "old", True, "was")] * 6
+    assert [r for r in got if r[0] != "1"] == [("", "old", False, "was"), ("2", "place", True, None), ("7", "old", False, "was"), ("75101", "old", True, "was"), ("75102", "new", True, "coarse")]
